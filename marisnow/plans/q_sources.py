@@ -1 +1,439 @@
-"""Registered queries for sources and sinks (listing-derived)."""
+"""Registered queries for sources and sinks.
+
+Inputs are derived from the driver tables so their size grows with them:
+* a metadata directory tree from customer x nation (one profile per
+  customer, cruises = nations, file kinds by key);
+* image and mask listings from the particles' paths;
+* run directories from the events table (artefact kind and mtime per event).
+Round-trip sinks write derived tables to the shared scratch folder and read
+them back through our readers; their oracle is the SQL of the original."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marisnow.functions import paths as PF
+from marisnow.operators.rows import random_sample
+from marisnow.plans import oracle as O
+from marisnow.plans.registry import register
+from marisnow.session import scratch_path
+from marisnow.sources import listing as LS
+from marisnow.sources import metadata as MD
+from marisnow.sources import runs as RN
+from marisnow.sources.tables import load, particles
+
+ROOT = "/src"
+
+# ------------------------------------------------------- derived listings ---
+
+
+def meta_listing(spark, d):
+    c = load(spark, d, "customer").select("c_custkey", "c_nationkey")
+    n = load(spark, d, "nation").select("n_nationkey", "n_name")
+    j = c.join(n, c.c_nationkey == n.n_nationkey)
+    k = F.col("c_custkey")
+    cr = F.col("n_name")
+    base = (F.when(k % 13 == 0, F.concat(F.lit(ROOT + "/"), cr, F.lit("/"), cr, F.lit("-Profiles-old")))
+            .when(k % 5 == 0, F.concat(F.lit(ROOT + "/"), cr, F.lit("/"), cr, F.lit("-Notes")))
+            .otherwise(F.concat(F.lit(ROOT + "/"), cr, F.lit("/"), cr, F.lit("-Profiles"))))
+    p = F.concat(F.lit("p"), k.cast("string"))
+    res = F.concat(base, F.lit("/"), p, F.lit("/"), p, F.lit("_Results/"))
+    eco = F.concat(res, F.lit("EcoTaxa/"))
+    has = k % 11 != 0
+    files = F.array(
+        F.when(~has, F.concat(res, F.lit("log.txt"))),
+        F.when(has & (k % 4 == 0), F.concat(eco, p, F.lit("_crops_metadata.csv"))),
+        F.when(has & (k % 4 != 3), F.concat(eco, p, F.lit("_ecotaxa.tsv"))),
+        F.when(has & (k % 4 == 1), F.concat(eco, F.lit("ecotaxa_metadata.tsv"))),
+        F.when(has & (k % 4 == 3), F.concat(eco, p, F.lit("_extra_metadata.csv"))),
+        F.when(has & (k % 4 == 3), F.concat(eco, F.lit("zz_metadata.csv"))),
+    )
+    return j.select(F.explode(files).alias("path")).filter(F.col("path").isNotNull()) \
+        .withColumn("length", F.lit(1).cast("long")).withColumn("mtime", F.lit(None).cast("timestamp"))
+
+
+META_LISTING = f"""(select path from (
+  select unnest([
+    case when k % 11 = 0 then res || 'log.txt' end,
+    case when k % 11 <> 0 and k % 4 = 0 then res || 'EcoTaxa/' || p || '_crops_metadata.csv' end,
+    case when k % 11 <> 0 and k % 4 <> 3 then res || 'EcoTaxa/' || p || '_ecotaxa.tsv' end,
+    case when k % 11 <> 0 and k % 4 = 1 then res || 'EcoTaxa/ecotaxa_metadata.tsv' end,
+    case when k % 11 <> 0 and k % 4 = 3 then res || 'EcoTaxa/' || p || '_extra_metadata.csv' end,
+    case when k % 11 <> 0 and k % 4 = 3 then res || 'EcoTaxa/zz_metadata.csv' end]) as path
+  from (select c_custkey as k, 'p' || cast(c_custkey as varchar) as p,
+          (case when c_custkey % 13 = 0 then '{ROOT}/' || n_name || '/' || n_name || '-Profiles-old'
+                when c_custkey % 5 = 0 then '{ROOT}/' || n_name || '/' || n_name || '-Notes'
+                else '{ROOT}/' || n_name || '/' || n_name || '-Profiles' end) || '/p' ||
+            cast(c_custkey as varchar) || '/p' || cast(c_custkey as varchar) || '_Results/' as res
+        from customer join nation on c_nationkey = n_nationkey) c0) u where path is not null)"""
+
+
+def _dirs_sql(listing: str) -> str:
+    return f"""(select distinct dir, regexp_extract(dir, '^(.*)/[^/]*$', 1) as parent,
+      regexp_extract(dir, '([^/]*)$', 1) as name from (
+      select array_to_string(sp[1:i], '/') as dir from (
+        select sp, unnest(range(2, len(sp))) as i from (select string_split(path, '/') as sp from {listing} l0) a) b
+      ) c where dir <> '')"""
+
+
+DIRS = _dirs_sql(META_LISTING)
+BASES = f"""(with dirs as {DIRS},
+children as (select * from dirs where parent = '{ROOT}'),
+pc as (select dir from children where name like '%Profiles%'),
+g as (select min(d.dir) as base from children c join dirs d on d.parent = c.dir
+      where d.name like '%Profiles%' group by c.dir)
+select dir as base from pc union select base from g where (select count(*) from pc) = 0)"""
+PROFILES = f"""(with dirs as {DIRS},
+eco as (select regexp_extract(regexp_extract(dir, '^(.*)/[^/]*$', 1), '^(.*)/[^/]*$', 1) as profile_dir,
+               regexp_extract(regexp_extract(dir, '^(.*)/[^/]*$', 1), '([^/]*)$', 1) as results
+        from dirs where name = 'EcoTaxa')
+select distinct regexp_extract(profile_dir, '^(.*)/[^/]*$', 1) as base,
+  regexp_extract(profile_dir, '([^/]*)$', 1) as profile, profile_dir
+from eco where results = regexp_extract(profile_dir, '([^/]*)$', 1) || '_Results'
+  and regexp_extract(profile_dir, '^(.*)/[^/]*$', 1) in (select base from {BASES} b0))"""
+
+
+def _pick_sql(choice: str = "auto") -> str:
+    pats = [LS.glob_to_regex(p) for p in ("*_crops_metadata.csv", "*_metadata.csv",
+                                           "ecotaxa_metadata.tsv", "*_ecotaxa.tsv")]
+    order = ["profile || '_ecotaxa.tsv'", "'ecotaxa_metadata.tsv'", "profile || '_crops_metadata.csv'"] \
+        if choice == "ecotaxa" else \
+        ["profile || '_crops_metadata.csv'", "'ecotaxa_metadata.tsv'", "profile || '_ecotaxa.tsv'"]
+    prio = (f"case when fname = {order[0]} then 0 when fname = {order[1]} then 1 when fname = {order[2]} then 2 "
+            + " ".join(f"when regexp_matches(fname, '{p}') then {10 + i}" for i, p in enumerate(pats))
+            + " end")
+    return f"""(select profile_dir, profile, path from (
+  select *, row_number() over (partition by profile_dir, profile order by prio, fname, path) as rn from (
+    select f.path, f.fname, p.profile_dir, p.profile, {prio} as prio
+    from (select path, regexp_extract(path, '^(.*)/[^/]*$', 1) as eco_dir,
+                 regexp_extract(path, '([^/]*)$', 1) as fname from {META_LISTING} l1) f
+    join {PROFILES} p on f.eco_dir = p.profile_dir || '/' || p.profile || '_Results/EcoTaxa') q
+  where prio is not null) r where rn = 1)"""
+
+
+@register("resolve_profile_bases", f"select base from {BASES} x")
+def q_resolve_profile_bases(spark, d):
+    return LS.resolve_profile_bases(meta_listing(spark, d), ROOT)
+
+
+@register("list_profiles", f"select base, profile, profile_dir from {PROFILES} x")
+def q_list_profiles(spark, d):
+    lst = meta_listing(spark, d)
+    return LS.list_profiles(lst, LS.resolve_profile_bases(lst, ROOT))
+
+
+@register("pick_metadata_file", f"select profile_dir, profile, path from {_pick_sql('auto')} x")
+def q_pick_metadata_file(spark, d):
+    lst = meta_listing(spark, d)
+    prof = LS.list_profiles(lst, LS.resolve_profile_bases(lst, ROOT))
+    return LS.pick_metadata_file(lst, prof, "auto")
+
+
+@register("discover_metadata", f"select distinct path from {_pick_sql('ecotaxa')} x")
+def q_discover_metadata(spark, d):
+    return LS.discover_metadata(meta_listing(spark, d), ROOT, "ecotaxa")
+
+
+# ------------------------------------------------ image / mask listings ----
+
+def _rewritten(spark, d):
+    return particles(spark, d).select("object_id", PF.rewrite_crops("full_path").alias("image_path"))
+
+
+def image_listing(spark, d):
+    """Images exist for every particle but those with key % 10 == 3; masks
+    in a Masks folder for even nations, a masks folder for nations % 3 == 0,
+    and flat mask files for keys % 4 == 0."""
+    r = _rewritten(spark, d)
+    imgs = r.filter(F.col("object_id").cast("long") % 10 != 3).select(F.col("image_path").alias("path"))
+    n = load(spark, d, "nation").select("n_nationkey", "n_name")
+    res = F.concat(F.lit("/data/"), F.col("n_name"), F.lit("/"), F.col("n_name"), F.lit("_Results/"))
+    m1 = n.filter(F.col("n_nationkey") % 2 == 0).select(F.concat(res, F.lit("Masks/m.png")).alias("path"))
+    m2 = n.filter(F.col("n_nationkey") % 3 == 0).select(F.concat(res, F.lit("masks/m.png")).alias("path"))
+    m3 = r.filter(F.col("object_id").cast("long") % 4 == 0).select(
+        F.concat(F.lit("/masks/"), F.regexp_extract("image_path", r"([^/]*)\.png$", 1), F.lit(".png")).alias("path"))
+    return imgs.union(m1).union(m2).union(m3)
+
+
+REWRITTEN = (f"(select object_id, regexp_replace(full_path, '([/\\\\])Crops([/\\\\])', '\\1Deconv_crops\\2', 'g')"
+             f" as image_path from ({O.PARTICLES}) p0)")
+IMG_LISTING = f"""(select image_path as path from {REWRITTEN} r where cast(object_id as bigint) % 10 <> 3
+  union all select '/data/' || n_name || '/' || n_name || '_Results/Masks/m.png' from nation where n_nationkey % 2 = 0
+  union all select '/data/' || n_name || '/' || n_name || '_Results/masks/m.png' from nation where n_nationkey % 3 = 0
+  union all select '/masks/' || regexp_extract(image_path, '([^/]*)\\.png$', 1) || '.png' from {REWRITTEN} r2
+    where cast(object_id as bigint) % 4 = 0)"""
+
+
+@register("image_exists", f"""select object_id, image_path from {REWRITTEN} r
+where image_path in (select path from {IMG_LISTING} l)""")
+def q_image_exists(spark, d):
+    return LS.image_exists(_rewritten(spark, d), image_listing(spark, d), "image_path")
+
+
+@register("resolve_mask_dir", f"""
+with first as (select image_path as p from {REWRITTEN} r order by p limit 5000),
+cand as (select regexp_extract(regexp_extract(p, '^(.*)/[^/]*$', 1), '^(.*)/[^/]*$', 1) || '/' ||
+           unnest(['Masks', 'masks', 'Mask', 'mask']) as mask_dir
+         from first where lower(regexp_extract(regexp_extract(p, '^(.*)/[^/]*$', 1), '([^/]*)$', 1))
+           in ('deconv_crops', 'crops')),
+dirs as {_dirs_sql(IMG_LISTING)},
+v as (select mask_dir, count(*) as votes from cand where mask_dir in (select dir from dirs) group by mask_dir)
+select mask_dir, votes from v order by votes desc, mask_dir limit 1""")
+def q_resolve_mask_dir(spark, d):
+    return LS.resolve_mask_dir(_rewritten(spark, d), image_listing(spark, d), "image_path")
+
+
+@register("resolve_mask_path", f"""
+select r.object_id, r.image_path, l.path as mask_path from {REWRITTEN} r
+left join (select distinct path from {IMG_LISTING} l0) l
+  on l.path = '/masks/' || regexp_extract(regexp_extract(r.image_path, '([^/]*)$', 1), '^(.+?)(\\.[^.]*)?$', 1)
+             || '.png'""")
+def q_resolve_mask_path(spark, d):
+    return LS.resolve_mask_path(_rewritten(spark, d), image_listing(spark, d), "/masks", "image_path")
+
+
+# -------------------------------------------------------------- runs -------
+
+def run_listing(spark, d):
+    e = load(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    art = (F.when(F.col("event_id") % 6 == 0, "sample_index.csv")
+           .when(F.col("event_id") % 6 == 1, "cluster_assignments.csv")
+           .when(F.col("event_id") % 6 == 2, "umap_2d.csv")
+           .when(F.col("event_id") % 6 == 3, "features_nonliving.h5")
+           .when(F.col("event_id") % 6 == 4, F.concat(F.lit("validation_part_"),
+                                                      (F.col("event_id") % 3).cast("string"), F.lit(".zip")))
+           .otherwise(F.concat(F.lit("ssl_"), (F.col("event_id") % 4).cast("string"), F.lit(".pth"))))
+    run = F.concat(F.lit("/runs/r"), (F.col("user_id") % 40).cast("string"))
+    return e.select(F.concat(run, F.lit("/"), art).alias("path"),
+                    F.abs(F.col("value") * 1e6).cast("long").alias("length"), F.col("ts").alias("mtime"))
+
+
+RUN_LISTING = """(select '/runs/r' || cast(user_id % 40 as varchar) || '/' ||
+  case event_id % 6 when 0 then 'sample_index.csv' when 1 then 'cluster_assignments.csv' when 2 then 'umap_2d.csv'
+    when 3 then 'features_nonliving.h5' when 4 then 'validation_part_' || cast(event_id % 3 as varchar) || '.zip'
+    else 'ssl_' || cast(event_id % 4 as varchar) || '.pth' end as path,
+  cast(abs(value * 1e6) as bigint) as length, ts as mtime from events)"""
+
+
+@register("discover_runs", f"""
+with a as (select regexp_extract(path, '^(.*)/[^/]*$', 1) as run_dir, regexp_extract(path, '([^/]*)$', 1) as artefact,
+             mtime from {RUN_LISTING} l
+           where regexp_extract(path, '^(.*)/[^/]*$', 1) like '/runs/%'
+             and regexp_extract(path, '([^/]*)$', 1) in
+                 ('sample_index.csv', 'cluster_assignments.csv', 'umap_2d.csv', 'features_nonliving.h5')),
+g as (select run_dir, max(mtime) as ts, bool_or(artefact = 'cluster_assignments.csv') as clustered,
+        bool_or(artefact = 'features_nonliving.h5') as features, bool_or(artefact = 'sample_index.csv') as hs
+      from a group by run_dir)
+select run_dir, ts, clustered, features,
+  regexp_extract(run_dir, '([^/]*)$', 1) || '  [' || strftime(ts, '%Y-%m-%d %H:%M') || ']  (' ||
+  case when clustered and features then 'clustered, features' when clustered then 'clustered'
+       when features then 'features' else 'sample' end || ')' as label
+from g where hs order by ts desc, run_dir limit 20""")
+def q_discover_runs(spark, d):
+    return RN.discover_runs(run_listing(spark, d), ["/runs"], 20)
+
+
+@register("recent_runs_topk", f"""
+select run_dir, max(mtime) as ts from (select regexp_extract(path, '^(.*)/[^/]*$', 1) as run_dir,
+  regexp_extract(path, '([^/]*)$', 1) as artefact, mtime from {RUN_LISTING} l) a
+where artefact in ('sample_index.csv', 'cluster_assignments.csv', 'umap_2d.csv', 'features_nonliving.h5')
+group by run_dir having bool_or(artefact = 'sample_index.csv') order by ts desc, run_dir limit 5""")
+def q_recent_runs_topk(spark, d):
+    return RN.discover_runs(run_listing(spark, d), ["/runs"], 5).select("run_dir", "ts")
+
+
+_EXPECTED = ["all_crops_metadata.pkl", "sample_index.csv", "features_nonliving.h5", "umap_2d.csv",
+             "cluster_assignments.csv"]
+
+
+def _size_sql(n: str) -> str:
+    return (f"case when {n} > 1e9 then printf('%.2f GB', {n} / 1e9) when {n} > 1e6 then printf('%.1f MB', {n} / 1e6)"
+            f" else printf('%.0f KB', {n} / 1e3) end")
+
+
+@register("run_inventory", f"""
+with a as (select regexp_extract(path, '([^/]*)$', 1) as artefact, length, mtime from {RUN_LISTING} l
+           where regexp_extract(path, '^(.*)/[^/]*$', 1) = '/runs/r0'),
+s as (select artefact, sum(length) as bytes, max(mtime) as mtime from a group by artefact),
+e as (select * from (values {", ".join(f"('{x}', {i})" for i, x in enumerate(_EXPECTED))}) t(artefact, ord)
+      union all select artefact, 10000 from s where artefact like '%.zip'
+      union all select arg_max(artefact, mtime), -1 from s where artefact like '%.pth' having count(*) > 0)
+select e.artefact, e.ord, s.bytes is not null as exists,
+  case when s.bytes is not null then {_size_sql('s.bytes')} end as size_text
+from e left join s using (artefact)""")
+def q_run_inventory(spark, d):
+    return RN.run_inventory(run_listing(spark, d), "/runs/r0", _EXPECTED)
+
+
+# ------------------------------------------------------ round-trip sinks ---
+
+def _sample(spark, d):
+    return random_sample(particles(spark, d), 2000, seed=42)
+
+
+SAMPLE_SQL = f"(select * from ({O.PARTICLES}) p order by md5('42:' || object_id), object_id limit 2000)"
+
+
+@register("write_sample_index", f"select object_id, full_path, top1, area, cruise from {SAMPLE_SQL} s")
+def q_write_sample_index(spark, d):
+    run = scratch_path(spark, "run")
+    RN.write_sample_index(_sample(spark, d).select("object_id", "full_path", "top1", "area", "cruise"), run)
+    back = RN.read_sample_index(spark, run, expected_rows=2000)
+    return back.select(F.col("object_id").cast("string").alias("object_id"), "full_path", "top1",
+                       F.col("area").cast("double").alias("area"), "cruise")
+
+
+@register("load_export_inputs", f"""
+with s as {SAMPLE_SQL}, lab as ({O.LABELS})
+select s.object_id, coalesce(lab.cluster_label, replace(coalesce(s.top1, 'nan'), '_', ' '))
+  as object_annotation_category from s left join lab on s.object_id = lab.object_id""")
+def q_load_export_inputs(spark, d):
+    from marisnow.operators.export import build_export_table
+    from marisnow.plans.q_export import labels_from_embeddings
+    run = scratch_path(spark, "run")
+    RN.write_sample_index(_sample(spark, d).select("object_id", "full_path", "top1"), run)
+    lab = labels_from_embeddings(spark, d).withColumn("image_path", F.lit("")) \
+        .withColumn("cluster_raw", F.lit(0)).withColumn("cluster_final", F.lit(0))
+    RN.write_assignments(lab, run)
+    sample, labels = RN.load_export_inputs(spark, run)
+    et = build_export_table(sample, labels)
+    return et.select(F.col("object_id").cast("string").alias("object_id"), "object_annotation_category")
+
+
+@register("write_assignments", f"""
+select cast(vec_id as varchar) as object_id, {O.clabel('(case when vec_id % 7 = 0 then -1 else label end)')}
+  as cluster_label, case when vec_id % 7 = 0 then -1 else label end as cluster_raw from embeddings""")
+def q_write_assignments(spark, d):
+    e = load(spark, d, "embeddings")
+    raw = F.when(F.col("vec_id") % 7 == 0, -1).otherwise(F.col("label"))
+    from marisnow.functions.text import cluster_label
+    t = e.select(F.col("vec_id").cast("string").alias("object_id"), F.lit("").alias("image_path"),
+                 raw.alias("cluster_raw"), raw.alias("cluster_final"), cluster_label(raw).alias("cluster_label"))
+    run = scratch_path(spark, "run")
+    RN.write_assignments(t, run)
+    back = RN.read_table(spark, f"{run}/cluster_assignments.csv", schema=RN.ASSIGN_SCHEMA)
+    return back.select("object_id", "cluster_label", "cluster_raw")
+
+
+@register("write_view2d", """
+select cast(vec_id as varchar) as object_id, round(embedding[1], 6) as umap_x, round(embedding[2], 6) as umap_y,
+  label as cluster_final from embeddings""")
+def q_write_view2d(spark, d):
+    e = load(spark, d, "embeddings")
+    t = e.select(F.col("vec_id").cast("string").alias("object_id"),
+                 F.col("embedding")[0].cast("double").alias("umap_x"),
+                 F.col("embedding")[1].cast("double").alias("umap_y"),
+                 F.col("label").alias("cluster_raw"), F.col("label").alias("cluster_final"),
+                 F.lit("x").alias("cluster_label"))
+    run = scratch_path(spark, "run")
+    RN.write_view2d(t, run, fmt="parquet")
+    back = RN.read_table(spark, f"{run}/umap_2d.csv", fmt="parquet")
+    return back.select("object_id", F.round("umap_x", 6).alias("umap_x"), F.round("umap_y", 6).alias("umap_y"),
+                       "cluster_final")
+
+
+@register("explorer_join", """
+with a as (select cast(vec_id % 300 as varchar) as object_id, 'img' || cast(vec_id as varchar) as image_path,
+             label as cluster_final, vec_id as ord from embeddings),
+af as (select object_id, arg_min(image_path, ord) as image_path, arg_min(cluster_final, ord) as cluster_final
+       from a group by object_id)
+select cast(e.vec_id as varchar) as object_id, round(e.embedding[1], 6) as umap_x, af.image_path,
+  af.cluster_final, case when af.cluster_final is null then 'unknown'
+    else 'non_living/cluster_' || printf('%02d', af.cluster_final) end as cluster_label
+from embeddings e left join af on cast(e.vec_id as varchar) = af.object_id""")
+def q_explorer_join(spark, d):
+    e = load(spark, d, "embeddings")
+    view = e.select(F.col("vec_id").cast("string").alias("object_id"),
+                    F.round(F.col("embedding")[0].cast("double"), 6).alias("umap_x"))
+    a = e.select((F.col("vec_id") % 300).cast("string").alias("object_id"),
+                 F.concat(F.lit("img"), F.col("vec_id").cast("string")).alias("image_path"),
+                 F.col("label").alias("cluster_final"), F.col("vec_id").alias("_ord"))
+    return RN.explorer_join(view, a).select("object_id", "umap_x", "image_path", "cluster_final", "cluster_label")
+
+
+def _two_header_files(spark, d, sep: str):
+    """Particles written as files of two header kinds (even / odd nation)."""
+    p = particles(spark, d).withColumn("_k", F.col("object_id").cast("long") % 2)
+    a = p.filter("_k = 0").select("object_id", "full_path", "top1", "area")
+    b = p.filter("_k = 1").select("object_id", F.col("full_path").alias("object_full_path"),
+                                  F.col("top1").alias("object_annotation_category"), "area", "esd")
+    root = scratch_path(spark, "meta")
+    opts = {"header": "true", "sep": sep}
+    a.repartition(3).write.options(**opts).csv(f"{root}/a")
+    b.repartition(2).write.options(**opts).csv(f"{root}/b")
+    files = [r.path for r in LS.file_listing(spark, root).filter(F.col("path").rlike(r"part-.*\.csv$")).collect()]
+    return files
+
+
+UNION_SQL = f"""(select object_id, full_path, top1, area, null::double as esd,
+  null::varchar as object_full_path, null::varchar as object_annotation_category
+  from ({O.PARTICLES}) p where cast(object_id as bigint) % 2 = 0
+union all select object_id, null, null, area, esd, full_path, top1
+  from ({O.PARTICLES}) p where cast(object_id as bigint) % 2 = 1)"""
+
+
+@register("read_metadata_csv", f"""
+select object_id, coalesce(full_path, object_full_path) as image_path,
+  coalesce(top1, object_annotation_category) as category, area from {UNION_SQL} u""")
+def q_read_metadata_csv(spark, d):
+    files = _two_header_files(spark, d, ",")
+    df = MD.read_metadata(spark, files)
+    df = MD.resolve_columns(df, ["full_path", "object_full_path", "img_path"], "image_path", coalesce=True)
+    df = MD.resolve_columns(df, ["top1", "object_annotation_category"], "category", coalesce=True)
+    return df.select(F.col("object_id").cast("string").alias("object_id"), "image_path", "category",
+                     F.col("area").cast("double").alias("area"))
+
+
+@register("union_metadata", f"select object_id, full_path, object_full_path, esd from {UNION_SQL} u")
+def q_union_metadata(spark, d):
+    df = MD.read_metadata(spark, _two_header_files(spark, d, ","))
+    return df.select(F.col("object_id").cast("string").alias("object_id"), "full_path", "object_full_path",
+                     F.col("esd").cast("double").alias("esd"))
+
+
+@register("resolve_columns", f"select object_id, full_path as image_path from {UNION_SQL} u")
+def q_resolve_columns(spark, d):
+    """First present candidate on the unioned schema (upstream rule): rows
+    whose file used another path name get null."""
+    df = MD.read_metadata(spark, _two_header_files(spark, d, ","))
+    df = MD.resolve_columns(df, ["full_path", "object_full_path", "img_path"], "image_path")
+    return df.select(F.col("object_id").cast("string").alias("object_id"), "image_path")
+
+
+@register("read_metadata_tsv", f"""
+select object_id, full_path, top1, area, cruise from ({O.PARTICLES}) p""")
+def q_read_metadata_tsv(spark, d):
+    from marisnow.operators.bundles import write_tagged_tsv
+    root = scratch_path(spark, "tsv")
+    p = particles(spark, d).select("object_id", "full_path", "top1", "area", "cruise")
+    write_tagged_tsv(p.withColumn("_file", F.col("cruise")), root, "_file")
+    files = [r.path for r in LS.file_listing(spark, root).filter(F.col("path").rlike(r"/part-[^/]*$")).collect()]
+    df = MD.read_metadata(spark, files, infer_numeric=True, sep="\t")
+    return df.select(F.col("object_id").cast("string").alias("object_id"), "full_path", "top1",
+                     F.col("area").cast("double").alias("area"), "cruise")
+
+
+@register("metadata_cache", f"select object_id, full_path from ({O.PARTICLES}) p")
+def q_metadata_cache(spark, d):
+    path = scratch_path(spark, "cache")
+    meta = {"source_root": d, "metadata_patterns": None, "metadata_choice": "auto", "crop_path_token": None,
+            "crop_filter_strict": True, "rewrite_crops_to_deconv": False}
+    build = lambda: particles(spark, d).select("object_id", "full_path")
+    RN.metadata_cache(spark, path, meta, build)
+    return RN.metadata_cache(spark, path, meta, lambda: (_ for _ in ()).throw(RuntimeError("cache miss")))
+
+
+@register("write_features", """
+select cast(vec_id as varchar) as object_id, len(embedding) as dim, round(list_sum(list_transform(embedding, lambda x: x::double)), 4) as s
+from embeddings""")
+def q_write_features(spark, d):
+    e = load(spark, d, "embeddings")
+    f = e.select(F.col("vec_id").cast("string").alias("object_id"), F.lit("").alias("image_path"),
+                 F.col("embedding").alias("features"))
+    path = scratch_path(spark, "features")
+    RN.write_features(f.filter(F.col("vec_id") % 2 == 0), path)
+    todo = RN.missing_features(f, RN.read_features(spark, path))
+    RN.write_features(todo, path)
+    back = RN.read_features(spark, path)
+    return back.select("object_id", F.size("features").alias("dim"),
+                       F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("s"))
