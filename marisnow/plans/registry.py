@@ -28,7 +28,7 @@ def register(key: str, sql: str | None = None):
 
 def _load_all() -> None:
     # importing the modules populates the registry
-    from marisnow.plans import q_cluster, q_export, q_sources, q_vectors  # noqa: F401
+    from marisnow.plans import q_cluster, q_export, q_images, q_sources, q_vectors  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

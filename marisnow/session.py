@@ -51,8 +51,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
+    """A fresh, unique path under the shared checkpoint folder (``file:``
+    URIs are returned as plain paths so Python tasks can write there too)."""
     base = ensure_checkpoint_dir(spark)
+    if base.startswith("file:"):
+        base = "/" + base[len("file:"):].lstrip("/")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
