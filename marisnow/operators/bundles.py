@@ -3,9 +3,8 @@
 ``bundle_plan`` reproduces the greedy, order-preserving cut exactly: a new
 part starts before row i when running + size(i) > max and running > 0.  The
 running sums are a distributed prefix sum (per-partition totals + offsets);
-each part boundary is then one small aggregate over that table ("first row
-whose prefix passes start + max"), so jobs scale with the number of parts —
-a handful for upload-sized bundles — never with the number of rows.
+part boundaries are then resolved many at a time from the few rows inside
+provable cum-windows (see ``bundle_plan``), never from the whole table.
 
 ``bundle_export`` writes one ZIP per part from a grouped pandas function:
 rows of a part (bounded by the part's byte budget) arrive in one task, which
@@ -78,37 +77,72 @@ def prefix_sum(df: DataFrame, size_col: str, order: list[str], out: str = "cum")
             .drop("_pid", "_to", "_no"))
 
 
+def _next_cut(cands: list[tuple[int, float, float]], start: int, base: float, max_bytes: float):
+    """First candidate row j > start with cum(j) - base > max and
+    prev(j) - base > 0 (the greedy cut rule), or None."""
+    for rn, cum, prev in cands:
+        if rn > start and cum - base > max_bytes and prev - base > 0:
+            return rn, prev
+    return None
+
+
 def bundle_plan(df: DataFrame, size_col: str, order: list[str], max_bytes: float,
-                group_col: str | None = None, part_col: str = "part") -> DataFrame:
-    """Adds ``part`` (1-based, per group) by the greedy size cut."""
+                group_col: str | None = None, part_col: str = "part",
+                max_candidates: int = 200_000) -> DataFrame:
+    """Adds ``part`` (1-based, per group) by the exact greedy size cut.
+
+    Boundaries are found in windows: every part's total T satisfies
+    max - S < T <= max(max, S) (S = largest row), so the k-th next boundary
+    row lies where cum > base + k (max - S) and cum - size <= base + k max(max, S).
+    One job fetches the few rows inside the next K windows (K sized so that
+    at most ``max_candidates`` rows come back) and the boundaries are
+    resolved from them exactly; jobs scale with parts / K, not rows."""
     g = group_col or "_g"
     src = df if group_col else df.withColumn("_g", F.lit("all"))
-    src = src.withColumn("_sz", F.coalesce(F.col(size_col).cast("double"), F.lit(0.0)))
-    cum = _cut(prefix_sum(src, "_sz", [g, *order], "_cum"))
-    groups = [r[0] for r in cum.groupBy(g).agg(F.min("_rn")).orderBy(g).collect()]
+    src = src.withColumn("_sz", F.greatest(F.coalesce(F.col(size_col).cast("double"), F.lit(0.0)), F.lit(0.0)))
+    cum = _cut(prefix_sum(src, "_sz", [g, *order], "_cum").withColumn("_prev", F.col("_cum") - F.col("_sz")))
+    stats = cum.groupBy(g).agg(F.min("_rn").alias("r0"), F.max("_sz").alias("smax"), F.count(F.lit(1)).alias("n"),
+                               F.min_by("_prev", "_rn").alias("base0"), F.max("_cum").alias("total"))
     starts: list[tuple] = []
-    for gv in groups:
+    for st in stats.orderBy(g).collect():
+        gv, smax, n = st[g], float(st["smax"] or 0.0), int(st["n"])
         gdf = cum.filter(F.col(g) == gv)
-        first = gdf.agg(F.min_by(F.struct("_rn", "_cum", "_sz"), "_rn")).first()[0]
-        start_rn, base = first["_rn"], first["_cum"] - first["_sz"]
-        part = 1
-        while start_rn is not None:
-            starts.append((gv, part, int(start_rn)))
-            nxt = (gdf.filter((F.col("_rn") > start_rn) & (F.col("_cum") - F.lit(base) > F.lit(float(max_bytes)))
-                              & (F.col("_cum") - F.col("_sz") - F.lit(base) > 0))
-                   .agg(F.min_by(F.struct("_rn", "_cum", "_sz"), "_rn")).first()[0])
-            if nxt is None:
-                break
-            start_rn, base = nxt["_rn"], nxt["_cum"] - nxt["_sz"]
-            part += 1
+        start, base, part = int(st["r0"]), float(st["base0"]), 1
+        starts.append((gv, part, start))
+        mx = max(float(max_bytes), smax)
+        lo_step = float(max_bytes) - smax
+        avg = (float(st["total"]) - float(st["base0"])) / max(n, 1)
+        per_window = max(1.0, (2.0 * smax) / max(avg, 1e-9))
+        k_cap = int(max(1, min(4096, (2.0 * max_candidates / per_window) ** 0.5)))
+        while float(st["total"]) - base > float(max_bytes):
+            k = k_cap
+            cond = F.exists(F.sequence(F.lit(1), F.lit(k)), lambda i: (
+                (F.col("_cum") > F.lit(base) + i.cast("double") * F.lit(lo_step))
+                & (F.col("_prev") <= F.lit(base) + i.cast("double") * F.lit(mx))))
+            rows = (gdf.filter((F.col("_rn") > start) & cond).select("_rn", "_cum", "_prev")
+                    .orderBy("_rn").collect())
+            cands = [(int(r[0]), float(r[1]), float(r[2])) for r in rows]
+            progressed = False
+            for _ in range(k):
+                nxt = _next_cut(cands, start, base, float(max_bytes))
+                if nxt is None:
+                    break
+                start, base = nxt
+                part += 1
+                starts.append((gv, part, start))
+                progressed = True
+                if float(st["total"]) - base <= float(max_bytes):
+                    break
+            if not progressed:
+                break  # no further cut exists (only zero-size rows remain)
     spark = df.sparkSession
-    st = spark.createDataFrame([(gv, p, s) for gv, p, s in starts], f"{g} string, _part int, _start long")
-    # few rows (one per part): each row finds its part as the last start <= its row number
-    tab = st.groupBy(g).agg(F.sort_array(F.collect_list(F.struct("_start", "_part"))).alias("_starts"))
+    st_df = spark.createDataFrame([(gv, p, s) for gv, p, s in starts], f"{g} string, _part int, _start long")
+    # one row per part: each row finds its part as the last start <= its row number
+    tab = st_df.groupBy(g).agg(F.sort_array(F.collect_list(F.struct("_start", "_part"))).alias("_starts"))
     j = cum.join(F.broadcast(tab), g)
     part = F.aggregate("_starts", F.lit(0),
                        lambda acc, s: F.when(s["_start"] <= F.col("_rn"), s["_part"]).otherwise(acc))
-    res = j.withColumn(part_col, part).drop("_starts", "_cum", "_sz")
+    res = j.withColumn(part_col, part).drop("_starts", "_cum", "_sz", "_prev")
     res = res.withColumnRenamed("_rn", "_row")
     return res.drop("_g") if not group_col else res
 

@@ -55,7 +55,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
         small = (s2.join(m2, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(m2.select("u", F.col("m").alias("v"))))
         small = _cut(small.filter(F.col("u") != F.col("v")).distinct())
-        changed = small.exceptAll(e).limit(1).count() + e.exceptAll(small).limit(1).count()
+        changed = small.exceptAll(e).union(e.exceptAll(small)).limit(1).count()
         e = small
         if changed == 0:
             break

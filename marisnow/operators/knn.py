@@ -101,3 +101,36 @@ def nearest(points: DataFrame, id_col: str, vec_col: str, targets: DataFrame, ta
     t = targets.select(F.col(target_id).alias(id_col), F.col(target_vec).alias(vec_col))
     r = knn(points, id_col, vec_col, 1, metric, include_self=True, candidates=t)
     return r.select("id", "nbr", "dist")
+
+
+def _dist_sum_fn(metric: str):
+    def fn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if len(left) == 0 or len(right) == 0:
+            return pd.DataFrame({"id": [], "lbl": [], "s": []})
+        d = _distances(_matrix(left["v"]), _matrix(right["v"]), metric)
+        same = left["lbl"].to_numpy()[:, None] == right["lbl"].to_numpy()[None, :]
+        s = np.where(same, d, 0.0).sum(axis=1)
+        return pd.DataFrame({"id": left["id"].to_numpy(), "lbl": left["lbl"].to_numpy(), "s": s})
+    return fn
+
+
+def cluster_medoids(df: DataFrame, id_col: str, vec_col: str, label_col: str, metric: str = "euclidean",
+                    block_rows: int = 2048) -> DataFrame:
+    """(label, medoid id, medoid vector): the member with the least summed
+    distance to the other members of its cluster (noise -1 excluded; ties
+    -> smallest id).  Same-cluster distance sums come from the blocked
+    all-pairs pass, so no pair is materialised even for a huge cluster."""
+    pts = df.filter(F.col(label_col) != -1)
+    nb = _blocks_for(pts.count(), block_rows)
+    base = pts.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"),
+                      F.col(label_col).cast("int").alias("lbl"),
+                      F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(nb)).cast("int").alias("blk"))
+    partner = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
+    qx = base.select("id", "v", "lbl", F.col("blk").alias("qb"), partner.alias("cb"))
+    cx = base.select(*[F.col(c).alias(c) for c in ("id", "v", "lbl")], partner.alias("qb"), F.col("blk").alias("cb"))
+    sums = (qx.groupBy("qb", "cb").cogroup(cx.groupBy("qb", "cb"))
+            .applyInPandas(_dist_sum_fn(metric), "id long, lbl int, s double")
+            .groupBy("id", "lbl").agg(F.sum("s").alias("s")))
+    best = sums.groupBy("lbl").agg(F.min(F.struct(F.round("s", 9).alias("s"), "id")).alias("m"))
+    med = best.select(F.col("lbl").alias(label_col), F.col("m.id").alias("medoid_id"))
+    return med.join(base.select(F.col("id").alias("medoid_id"), F.col("v").alias("medoid")), "medoid_id")

@@ -65,9 +65,11 @@ def q_mst_edges(spark, d):
 
 @register("hdbscan")
 def q_hdbscan(spark, d):
-    """Exact level cut (every rank) on the embeddings, min cluster size 5."""
+    """Level-cut HDBSCAN on the embeddings (min cluster size 5, the default
+    64 rank levels; the exact every-rank mode is cross-checked against a
+    sequential implementation in tests)."""
     e = load(spark, d, "embeddings")
-    return HD.hdbscan(e, "vec_id", "embedding", min_cluster_size=5, levels="all") \
+    return HD.hdbscan(e, "vec_id", "embedding", min_cluster_size=5) \
         .select(F.col("id").alias("vec_id"), "cluster_raw")
 
 
@@ -117,3 +119,29 @@ def q_bundle_plan(spark, d):
     li = load(spark, d, "lineitem").withColumn("_cents", F.round(F.col("l_extendedprice") * 100).cast("long"))
     plan = BU.bundle_plan(li, "_cents", _ORDER, MAX_CENTS)
     return plan.groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("_cents").alias("bytes"))
+
+
+@register("cluster_features")
+def q_cluster_features(spark, d):
+    """PCA to 8 dims, HDBSCAN (min size 5, 64 levels), stats (rows-only)."""
+    from marisnow.plans.cluster_run import RunConfig, cluster_features
+    e = load(spark, d, "embeddings")
+    cfg = RunConfig(umap_dims=8, min_cluster_size=5)
+    out, _info = cluster_features(e, "vec_id", "embedding", cfg)
+    return out.select(F.col("id").alias("vec_id"), "cluster_raw")
+
+
+@register("cluster_run")
+def q_cluster_run(spark, d):
+    """Whole run on the particles view with embedding features keyed by
+    object id: augmentation, sample, reduce, cluster, labels (rows-only)."""
+    from marisnow.plans.cluster_run import RunConfig, cluster_run
+    from marisnow.sources.tables import particles
+    e = load(spark, d, "embeddings")
+    feats = e.select(F.col("vec_id").cast("string").alias("object_id"),
+                     F.concat(F.lit("/img/"), F.col("vec_id").cast("string"), F.lit(".png")).alias("image_path"),
+                     F.col("embedding").alias("features"))
+    cfg = RunConfig(n_samples=5000, min_cluster_size=5, umap_dims=8, size_feature_mode="append_log_area",
+                    size_feature_weight=0.5)
+    res = cluster_run(spark, particles(spark, d), feats, cfg)
+    return res["assignments"]

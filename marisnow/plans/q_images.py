@@ -87,3 +87,46 @@ def q_extract_features(spark, d):
     f = IP.extract_features(_images(spark, d), "object_id", input_size=32, foreground_crop=True,
                             threshold=THRESHOLD, size_aware_canvas=True, canvas_size=16)
     return f.select("object_id", F.size("features").alias("dims"))
+
+
+CROP_SQL = BBOX_SQL.replace(
+    "select cast(e.vec_id as varchar) as object_id, cast(ok.x0 as int) as x0, cast(ok.y0 as int) as y0,\n"
+    "  cast(ok.x1 + 1 as int) as x1, cast(ok.y1 + 1 as int) as y1",
+    "select cast(e.vec_id as varchar) as object_id, cast(coalesce(ok.y1 + 1 - ok.y0, 8) as int) as height,\n"
+    "  cast(coalesce(ok.x1 + 1 - ok.x0, 8) as int) as width")
+
+
+@register("foreground_crop", CROP_SQL)
+def q_foreground_crop(spark, d):
+    return IP.prepared_shapes(_images(spark, d), "object_id", True, THRESHOLD, 8)
+
+
+@register("size_canvas", f"""select object_id, greatest(6, height, width) as height, greatest(6, height, width) as width
+from ({CROP_SQL}) c""")
+def q_size_canvas(spark, d):
+    return IP.prepared_shapes(_images(spark, d), "object_id", True, THRESHOLD, 8, True, 6)
+
+
+@register("inference_transform")
+def q_inference_transform(spark, d):
+    """Tensor shape and mean per rendered image (rows-only)."""
+    return IP.transformed_stats(_images(spark, d), "object_id", 16)
+
+
+@register("bundle_export")
+def q_bundle_export(spark, d):
+    """ZIP bundles of the rendered images, split living / non-living, 20 KB
+    per part (rows-only; ZIP contents are re-read in tests)."""
+    from marisnow.operators.bundles import bundle_export
+    from marisnow.operators.export import build_export_table
+    from marisnow.sources.images import read_image_bytes
+    idx, out = materialize_embedding_images(spark, d)
+    e = load(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("object_id"), "label")
+    parts = idx.join(e, "object_id").select(
+        "object_id", F.col("image_path").alias("full_path"),
+        F.when(F.col("label") % 2 == 1, "non_living").otherwise("copepod").alias("top1"),
+        F.col("label").cast("double").alias("esd"))
+    et = build_export_table(parts, keep_source=True)
+    res = bundle_export(et, read_image_bytes(spark, out), scratch_path(spark, "zips"), max_mb=20 / 1024,
+                        split_mode="living_non_living")
+    return res.select("group", "part", "rows", "images")

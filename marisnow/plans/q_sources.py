@@ -437,3 +437,23 @@ def q_write_features(spark, d):
     back = RN.read_features(spark, path)
     return back.select("object_id", F.size("features").alias("dim"),
                        F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("s"))
+
+
+register("read_sample_index", f"select object_id, full_path, top1, area, cruise from {SAMPLE_SQL} s")(
+    q_write_sample_index)
+register("read_features", """
+select cast(vec_id as varchar) as object_id, len(embedding) as dim,
+  round(list_sum(list_transform(embedding, lambda x: x::double)), 4) as s from embeddings""")(q_write_features)
+
+
+@register("dtype_tag_row", f"""
+select E'[t]\\t[t]\\t[t]\\t[f]' as tagline, count(distinct cruise) as n_files from ({O.PARTICLES}) p""")
+def q_dtype_tag_row(spark, d):
+    from marisnow.operators.bundles import write_tagged_tsv
+    root = scratch_path(spark, "tags")
+    p = particles(spark, d).select("object_id", "full_path", "top1", "area", "cruise")
+    write_tagged_tsv(p, root, "cruise")
+    t = spark.read.text(root).select("value", F.col("_metadata.file_path").alias("f"))
+    tags = t.filter(F.col("value").startswith("[")).groupBy(F.col("value").alias("tagline")) \
+        .agg(F.count_distinct("f").alias("n_files"))
+    return tags

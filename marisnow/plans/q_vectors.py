@@ -155,3 +155,14 @@ def _knn_query(k, metric):
 
 register("knn_cosine", knn_sql(10, "cosine"))(_knn_query(10, "cosine"))
 register("knn_euclidean", knn_sql(5, "euclidean"))(_knn_query(5, "euclidean"))
+
+
+@register("cluster_medoids", f"""
+with x as {X},
+d as (select a.vec_id as a, b.vec_id as b, a.lbl, sqrt(sum((a.v - b.v) * (a.v - b.v))) as dist
+      from x a join x b on a.pos = b.pos and a.lbl = b.lbl and a.lbl <> -1 group by a.vec_id, b.vec_id, a.lbl),
+s as (select a, lbl, sum(dist) as s from d group by a, lbl)
+select lbl, arg_min(a, (round(s, 9), a)) as medoid_id from s group by lbl""")
+def q_cluster_medoids(spark, d):
+    r = KN.cluster_medoids(noisy(spark, d), "vec_id", "embedding", "lbl")
+    return r.select("lbl", "medoid_id")

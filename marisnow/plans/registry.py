@@ -31,9 +31,22 @@ def _load_all() -> None:
     from marisnow.plans import q_cluster, q_export, q_images, q_sources, q_vectors  # noqa: F401
 
 
+def _prepared(fn: QueryFn) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from marisnow.session import ensure_checkpoint_dir, ship_package
+        ship_package(spark)
+        ensure_checkpoint_dir(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, QueryFn]:
+    """Registered queries; each first makes sure the Python workers can
+    import this package and a checkpoint folder is configured."""
     _load_all()
-    return dict(QUERIES)
+    return {k: _prepared(f) for k, f in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
