@@ -3,9 +3,9 @@
 distributed rank, and the minimum spanning forest of the complete
 mutual-reachability graph by Borůvka rounds over blocked point pairs.
 
-Every iterative loop cuts lineage with ``checkpoint()`` (reliable storage in
-``spark.checkpoint.dir``), so a lost executor recomputes one round, not the
-whole history."""
+Every iterative loop cuts lineage by writing its state as parquet under
+``spark.checkpoint.dir`` (reliable, shared storage), so a lost executor
+recomputes one round, not the whole history."""
 
 from __future__ import annotations
 
@@ -17,14 +17,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marisnow.operators.knn import _blocks_for, _matrix
-from marisnow.session import ensure_checkpoint_dir
+from marisnow.session import materialize
 
 log = logging.getLogger(__name__)
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write the frame as parquet under the shared checkpoint
+    folder and read it back (one job; ``Dataset.checkpoint`` would compute
+    its input twice — once for the action, once to write the checkpoint)."""
+    return materialize(df, name="cut")
 
 
 def _sym(e: DataFrame) -> DataFrame:
@@ -92,6 +94,28 @@ def global_rank(df: DataFrame, order: list[str], out: str = "rank") -> DataFrame
 
 # ---------------------------------------------------------------- MST -------
 
+def merge_roots(ptr: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """(c, root) from Borůvka parent pointers (c -> p).  Every tree of
+    pointers has one 2-cycle (two components that chose the same edge); its
+    smaller id becomes the root, then pointer jumping p <- p(p) halves the
+    depth each round until every pointer reaches its root."""
+    back = ptr.select(F.col("comp").alias("p"), F.col("p").alias("pp"))
+    p = (ptr.join(back, "p", "left")
+         .select(F.col("comp").alias("c"),
+                 F.when((F.col("pp") == F.col("comp")) & (F.col("comp") < F.col("p")), F.col("comp"))
+                 .otherwise(F.col("p")).alias("root")))
+    p = _cut(p)
+    for _ in range(max_rounds):
+        nxt = p.select(F.col("c").alias("root"), F.col("root").alias("rr"))
+        p2 = _cut(p.join(nxt, "root", "left").select("c", F.coalesce("rr", "root").alias("root"),
+                                                   (F.col("rr") != F.col("root")).alias("_moved")))
+        if p2.filter("_moved").limit(1).count() == 0:
+            return p2.drop("_moved")
+        p = p2.drop("_moved")
+    log.warning("merge_roots: no convergence after %d rounds", max_rounds)
+    return p
+
+
 def _min_out_edge_fn(metric: str):
     def fn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"p": [], "w": [], "a": [], "b": []})
@@ -133,21 +157,19 @@ def mst_edges(points: DataFrame, id_col: str, vec_col: str, core_col: str | None
     Borůvka: each round every component takes its lightest outgoing edge in
     the total order (w, a, b) — found by a blocked pass over all point pairs
     that never materialises a pair — the chosen edges join the tree and the
-    components merge by connected components on the (small) component graph."""
+    components merge by pointer jumping over the chosen edges (``merge_roots``)."""
     spark = points.sparkSession
     n = points.count()
-    nb = _blocks_for(n, block_rows)
+    nb = _blocks_for(n, block_rows, spark.sparkContext.defaultParallelism)
     core = F.col(core_col).cast("double") if core_col else F.lit(0.0)
     pts = _cut(points.select(F.col(id_col).cast("long").alias("id"),
                              F.col(vec_col).cast("array<double>").alias("v"),
                              core.alias("core"),
                              F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(nb)).cast("int").alias("blk")))
     comp = pts.select("id", F.col("id").alias("comp"))
-    tree = spark.createDataFrame([], "a long, b long, w double")
+    rounds: list[DataFrame] = []
     partner = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
     for rnd in range(max_rounds):
-        if comp.select("comp").distinct().limit(2).count() <= 1:
-            break
         cur = pts.join(comp, "id")
         qx = cur.select("id", "v", "core", "comp", F.col("blk").alias("qb"), partner.alias("cb"))
         # fresh aliases: the two cogroup sides must not share attribute ids
@@ -155,17 +177,21 @@ def mst_edges(points: DataFrame, id_col: str, vec_col: str, core_col: str | None
                         partner.alias("qb"), F.col("blk").alias("cb"))
         best_p = (qx.groupBy("qb", "cb").cogroup(cx.groupBy("qb", "cb"))
                   .applyInPandas(_min_out_edge_fn(metric), "p long, w double, a long, b long"))
-        per_comp = (best_p.join(comp.withColumnRenamed("id", "p"), "p")
-                    .groupBy("comp").agg(F.min(F.struct("w", "a", "b")).alias("e")))
-        chosen = _cut(per_comp.select(F.col("e.a").alias("a"), F.col("e.b").alias("b"),
-                                      F.col("e.w").alias("w")).distinct())
-        if chosen.limit(1).count() == 0:
-            break
-        tree = _cut(tree.union(chosen))
+        picked = _cut(best_p.join(comp.withColumnRenamed("id", "p"), "p")
+                      .groupBy("comp").agg(F.min(F.struct("w", "a", "b")).alias("e"))
+                      .select("comp", F.col("e.a").alias("a"), F.col("e.b").alias("b"), F.col("e.w").alias("w")))
+        if picked.limit(1).count() == 0:
+            break  # one component left: no outgoing edge anywhere
+        rounds.append(picked.select("a", "b", "w"))
         ca = comp.withColumnRenamed("id", "a").withColumnRenamed("comp", "ca")
         cb = comp.withColumnRenamed("id", "b").withColumnRenamed("comp", "cb")
-        cedges = chosen.join(ca, "a").join(cb, "b").select(F.col("ca").alias("src"), F.col("cb").alias("dst"))
-        merged = connected_components(cedges, vertices=comp.select(F.col("comp").alias("id")))
-        comp = _cut(comp.join(merged.withColumnRenamed("id", "comp"), "comp")
-                    .select("id", F.col("component").alias("comp")))
+        # each component chose exactly one edge: parent pointer to the component across it
+        ptr = (picked.join(ca, "a").join(cb, "b")
+               .select("comp", F.when(F.col("ca") == F.col("comp"), F.col("cb")).otherwise(F.col("ca")).alias("p")))
+        roots = merge_roots(ptr)
+        comp = _cut(comp.join(roots.withColumnRenamed("c", "comp"), "comp", "left")
+                    .select("id", F.coalesce("root", "comp").alias("comp")))
+    tree = spark.createDataFrame([], "a long, b long, w double")
+    for r in rounds:
+        tree = tree.union(r)
     return tree.distinct()

@@ -21,8 +21,14 @@ from pyspark.sql import functions as F
 NEIGHBOUR_SCHEMA = "id long, nbr long, dist double"
 
 
-def _blocks_for(n: int, block_rows: int) -> int:
-    return max(1, math.ceil(n / max(1, block_rows)))
+def _blocks_for(n: int, block_rows: int, parallelism: int | None = None) -> int:
+    """Blocks per side: enough to keep a block under ``block_rows`` rows,
+    and enough (B^2 >= parallelism) to give every core a block pair."""
+    b = max(1, math.ceil(n / max(1, block_rows)))
+    if parallelism and n > block_rows // 2:
+        # enough work to be worth spreading: one block pair per core at least
+        b = max(b, math.ceil(math.sqrt(parallelism)))
+    return min(b, max(1, n))
 
 
 def _prep(df: DataFrame, id_col: str, vec_col: str, nblocks: int) -> DataFrame:
@@ -80,7 +86,8 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int, metric: str = "cosine"
     the points themselves (self pairs excluded unless ``include_self``)."""
     cand = candidates if candidates is not None else df
     if nblocks is None:
-        nblocks = _blocks_for(max(df.count(), cand.count()), block_rows)
+        nblocks = _blocks_for(max(df.count(), cand.count()), block_rows,
+                              df.sparkSession.sparkContext.defaultParallelism)
     b = nblocks
     q = _prep(df, id_col, vec_col, b)
     c = _prep(cand, id_col, vec_col, b)
@@ -121,7 +128,7 @@ def cluster_medoids(df: DataFrame, id_col: str, vec_col: str, label_col: str, me
     -> smallest id).  Same-cluster distance sums come from the blocked
     all-pairs pass, so no pair is materialised even for a huge cluster."""
     pts = df.filter(F.col(label_col) != -1)
-    nb = _blocks_for(pts.count(), block_rows)
+    nb = _blocks_for(pts.count(), block_rows, df.sparkSession.sparkContext.defaultParallelism)
     base = pts.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"),
                       F.col(label_col).cast("int").alias("lbl"),
                       F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(nb)).cast("int").alias("blk"))

@@ -91,6 +91,7 @@ def materialize(df, spark: SparkSession | None = None, name: str = "stage", fmt:
     it back.  Survives executor loss (unlike caching) and gives the next
     stage exact statistics for AQE."""
     spark = spark or df.sparkSession
-    path = scratch_path(spark, name)
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
