@@ -50,13 +50,15 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
         m = s.groupBy("u").agg(F.min("v").alias("mv")).select("u", F.least("mv", "u").alias("m"))
         large = (s.join(m, "u").filter(F.col("v") > F.col("u"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")))
-        large = _cut(large.filter(F.col("u") != F.col("v")).distinct())
+        # used twice below; cached for the round only (the round's output is cut)
+        large = large.filter(F.col("u") != F.col("v")).distinct().persist()
         # small star: link u and its smaller neighbours to the min of them
         s2 = _sym(large).filter(F.col("v") < F.col("u"))
         m2 = s2.groupBy("u").agg(F.min("v").alias("m"))
         small = (s2.join(m2, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(m2.select("u", F.col("m").alias("v"))))
         small = _cut(small.filter(F.col("u") != F.col("v")).distinct())
+        large.unpersist()
         changed = small.exceptAll(e).union(e.exceptAll(small)).limit(1).count()
         e = small
         if changed == 0:

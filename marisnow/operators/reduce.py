@@ -54,18 +54,55 @@ def _smooth_knn(dists: np.ndarray, k: int, n_iter: int = 64, tol: float = 1e-5):
     return rho, sigma
 
 
+def _smooth_knn_batch(d: np.ndarray, k: int, n_iter: int = 64, tol: float = 1e-5):
+    """Vectorised rho/sigma for a batch of points (rows of sorted distances,
+    NaN-padded): the same bisection as ``_smooth_knn`` on every row at once."""
+    target = math.log2(k)
+    pos = np.where(d > 0, d, np.inf)
+    rho = np.min(pos, axis=1)
+    rho = np.where(np.isfinite(rho), rho, 0.0)
+    lo = np.zeros(len(d))
+    hi = np.full(len(d), np.inf)
+    mid = np.ones(len(d))
+    done = np.zeros(len(d), dtype=bool)
+    for _ in range(n_iter):
+        psum = np.nansum(np.exp(-np.maximum(d - rho[:, None], 0.0) / mid[:, None]), axis=1)
+        done |= np.abs(psum - target) < tol
+        over = (psum > target) & ~done
+        under = (psum <= target) & ~done
+        hi = np.where(over, mid, hi)
+        lo = np.where(under, mid, lo)
+        mid = np.where(over, (lo + hi) / 2.0,
+                       np.where(under, np.where(np.isinf(hi), mid * 2.0, (lo + hi) / 2.0), mid))
+    mean_d = np.nanmean(d, axis=1)
+    return rho, np.maximum(mid, 1e-3 * np.nan_to_num(mean_d))
+
+
 def fuzzy_graph(knn_edges: DataFrame, k: int) -> DataFrame:
-    """(a, b, w) symmetric membership strengths from kNN rows (id, nbr, dist)."""
-    def memb(pdf: pd.DataFrame) -> pd.DataFrame:
-        d = pdf["dist"].to_numpy(dtype=np.float64)
-        rho, sigma = _smooth_knn(d, k)
-        w = np.exp(-np.maximum(d - rho, 0.0) / sigma)
-        return pd.DataFrame({"a": pdf["id"].to_numpy(), "b": pdf["nbr"].to_numpy(), "p": w,
-                             "rho": rho, "sigma": sigma})
-    directed = knn_edges.groupBy("id").applyInPandas(memb, "a long, b long, p double, rho double, sigma double")
-    both = directed.select("a", "b", "p").union(
-        directed.select(F.col("b").alias("a"), F.col("a").alias("b"), "p"))
-    g = both.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
+    """(a, b, w) symmetric membership strengths from kNN rows (id, nbr, dist).
+
+    Each point's k distances (a bounded list) go through one vectorised
+    pandas UDF per Arrow batch for rho/sigma; memberships and the
+    symmetrisation w = a + b - ab are built-in expressions and one grouped
+    aggregate over both directions."""
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("struct<rho double, sigma double>")
+    def rho_sigma(ds: pd.Series) -> pd.DataFrame:
+        width = max((len(x) for x in ds), default=0)
+        mat = np.full((len(ds), max(width, 1)), np.nan)
+        for i, x in enumerate(ds):
+            mat[i, :len(x)] = x
+        rho, sigma = _smooth_knn_batch(mat, k)
+        return pd.DataFrame({"rho": rho, "sigma": sigma})
+
+    per_point = knn_edges.groupBy("id").agg(F.sort_array(F.collect_list("dist")).alias("ds"))
+    rs = per_point.select("id", rho_sigma("ds").alias("rs")).select("id", "rs.rho", "rs.sigma")
+    directed = knn_edges.join(rs, "id").select(
+        F.col("id").alias("a"), F.col("nbr").alias("b"),
+        F.exp(-F.greatest(F.col("dist") - F.col("rho"), F.lit(0.0)) / F.col("sigma")).alias("p"))
+    # each directed kNN edge once; a pair seen from both ends gets a + b - ab
+    g = directed.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
         F.sum("p").alias("s"), F.exp(F.sum(F.log(F.col("p")))).alias("prod"), F.count(F.lit(1)).alias("c"))
     # two directions present: a + b - ab; one: just that strength
     return g.select("a", "b", F.when(F.col("c") == 2, F.col("s") - F.col("prod")).otherwise(F.col("s")).alias("w"))

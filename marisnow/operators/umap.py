@@ -9,7 +9,8 @@
    contributions are clipped to [-4, 4], averaged per node by one grouped
    aggregate, and applied with a learning rate decaying 1 -> 0.
    Coordinates are rounded each epoch (sums of doubles depend on partition
-   order) and lineage is cut with ``checkpoint()`` every few epochs.
+   order) and each epoch's coordinates are written to the checkpoint folder
+   (the next epoch reads them several times).
 
 Not bit-equal to the library's per-sample stochastic optimiser; checked by
 neighbour preservation and determinism."""
@@ -53,7 +54,7 @@ def _clip(c):
 
 def umap_reduce(df: DataFrame, id_col: str, vec_col: str, n_components: int = 20, n_neighbors: int = 30,
                 min_dist: float = 0.0, metric: str = "cosine", seed: int = 42, n_epochs: int = 50,
-                negative_rate: int = 5, checkpoint_every: int = 5) -> DataFrame:
+                negative_rate: int = 5) -> DataFrame:
     """(id, embedding array<double>)."""
     a, b = curve_params(min_dist)
     nn = knn(df, id_col, vec_col, n_neighbors, metric)
@@ -92,8 +93,8 @@ def umap_reduce(df: DataFrame, id_col: str, vec_col: str, n_components: int = 20
         upd = y.join(grads.select("id", vector_to_array("m").alias("m")), "id", "left")
         y = upd.select("id", F.when(F.col("m").isNull(), F.col("y")).otherwise(
             F.zip_with("y", "m", lambda p, q: F.round(p + F.lit(alpha) * q, 6))).alias("y"))
-        if (epoch + 1) % checkpoint_every == 0 or epoch == n_epochs - 1:
-            y = _cut(y)
+        # the next epoch reads y four times: cut every epoch so no epoch is recomputed
+        y = _cut(y)
     return y.withColumnRenamed("y", "embedding")
 
 

@@ -145,3 +145,24 @@ def q_cluster_run(spark, d):
                     size_feature_weight=0.5)
     res = cluster_run(spark, particles(spark, d), feats, cfg)
     return res["assignments"]
+
+
+@register("umap_reduce")
+def q_umap_reduce(spark, d):
+    """Neighbour-graph layout of the embeddings to 8 dims (15 neighbours,
+    min_dist 0, cosine, 10 full-batch epochs) — rows-only; neighbour
+    preservation and determinism are tested."""
+    from marisnow.operators.umap import umap_reduce
+    e = load(spark, d, "embeddings")
+    y = umap_reduce(e, "vec_id", "embedding", n_components=8, n_neighbors=15, min_dist=0.0, n_epochs=10)
+    return y.select(F.col("id").alias("vec_id"), F.size("embedding").alias("dims"))
+
+
+@register("umap_2d")
+def q_umap_2d(spark, d):
+    """Second, independent 2-D layout for viewing (min_dist 0.1, seed 0)."""
+    from marisnow.operators.umap import umap_reduce
+    e = load(spark, d, "embeddings")
+    y = umap_reduce(e, "vec_id", "embedding", n_components=2, n_neighbors=15, min_dist=0.1, seed=0, n_epochs=10)
+    return y.select(F.col("id").alias("vec_id"), F.col("embedding")[0].alias("umap_x"),
+                    F.col("embedding")[1].alias("umap_y"))

@@ -183,3 +183,29 @@ def test_bundle_export_roundtrip(spark):
             total += len(lines) - 2
             assert len(names) - 1 == len(lines) - 2
     assert total == 6
+
+
+def test_run_config_and_cache_sidecar(spark):
+    from marisnow.plans.cluster_run import RunConfig
+    root = tempfile.mkdtemp(prefix="ms-cfg-")
+    cfg = RunConfig(source_root="/src", n_samples=10).to_dict()
+    assert len(cfg) == 19
+    RN.save_json(spark, f"{root}/run_config.json", cfg)
+    assert RN.load_json(spark, f"{root}/run_config.json") == cfg
+    assert RN.load_json(spark, f"{root}/missing.json") is None
+    settings = {"source_root": "/src", "metadata_patterns": None, "metadata_choice": "auto",
+                "crop_path_token": "auto", "crop_filter_strict": True, "rewrite_crops_to_deconv": True}
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(3)
+    path = f"{root}/cache"
+    assert RN.metadata_cache(spark, path, settings, build).count() == 3
+    assert RN.metadata_cache(spark, path, settings, build).count() == 3
+    assert len(calls) == 1  # second call reused the cache
+    changed = dict(settings, metadata_choice="crops")
+    RN.metadata_cache(spark, path, changed, build)
+    assert len(calls) == 2  # settings changed -> rebuild
+    RN.metadata_cache(spark, path, changed, build, refresh=True)
+    assert len(calls) == 3
