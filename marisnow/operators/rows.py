@@ -62,11 +62,11 @@ def path_token_filter(df: DataFrame, path_col: str, token: str | None,
     if raw.lower() == "auto":
         deconv = P.path_contains(path_col, P.DECONV_TOKEN)
         crops = P.path_contains(path_col, P.CROPS_ANY_RE)
-        # scalar subqueries: each aggregate runs once, its value is inlined
-        has_deconv = df.agg(F.max(deconv.cast("int"))).scalar()
-        has_crops = df.agg(F.max(crops.cast("int"))).scalar()
-        keep = (F.when(has_deconv == 1, deconv)
-                .when(has_crops == 1, crops)
+        # one scalar subquery (a single scan) decides which rule applies
+        flags = df.agg(F.struct(F.max(deconv.cast("int")).alias("d"),
+                                F.max(crops.cast("int")).alias("c"))).scalar()
+        keep = (F.when(flags.getField("d") == 1, deconv)
+                .when(flags.getField("c") == 1, crops)
                 .otherwise(F.lit(True)))
         return df.filter(keep)
     hit = P.path_contains(path_col, raw.lower())
@@ -86,8 +86,9 @@ def augmented_non_living(df: DataFrame, category_col: str, classes: Sequence[str
     joins the class list for this run.  Decided by scalar subqueries."""
     base = T.non_living(category_col, classes)
     aug = T.non_living(category_col, list(classes) + [NOT_LIVING_VARIANT])
-    any_base = F.coalesce(df.agg(F.max(base.cast("int"))).scalar(), F.lit(0))
-    any_variant = F.coalesce(df.agg(F.max(T.mentions_not_living(category_col).cast("int"))).scalar(),
-                             F.lit(0))
+    flags = df.agg(F.struct(F.max(base.cast("int")).alias("b"),
+                            F.max(T.mentions_not_living(category_col).cast("int")).alias("v"))).scalar()
+    any_base = F.coalesce(flags.getField("b"), F.lit(0))
+    any_variant = F.coalesce(flags.getField("v"), F.lit(0))
     use_aug = (any_base == 0) & (any_variant == 1)
     return df.withColumn(out, F.when(use_aug, aug).otherwise(base))

@@ -1,7 +1,6 @@
 """Temp-dir trees: discovery, metadata choice, header groups, TSV tag row,
 runs, images and bundle export (ZIP re-read)."""
 
-import io
 import os
 import tempfile
 import zipfile
