@@ -135,19 +135,20 @@ def _min_out_edge_fn(metric: str):
         qi, ci = left["id"].to_numpy(), right["id"].to_numpy()
         same = left["comp"].to_numpy()[:, None] == right["comp"].to_numpy()[None, :]
         w = np.where(same, np.inf, w)
-        a = np.minimum(qi[:, None], ci[None, :])
-        b = np.maximum(qi[:, None], ci[None, :])
-        # total order (w, a, b): lexsort per row over the candidate block
-        ps, ws, as_, bs = [], [], [], []
-        for i in range(w.shape[0]):
-            if not np.isfinite(w[i]).any():
-                continue
-            j = np.lexsort((b[i], a[i], w[i]))[0]
-            ps.append(qi[i]); ws.append(w[i, j]); as_.append(a[i, j]); bs.append(b[i, j])
-        if not ps:
+        a = np.minimum(qi[:, None], ci[None, :]).astype(np.float64)
+        b = np.maximum(qi[:, None], ci[None, :]).astype(np.float64)
+        # per row the minimum in the total order (w, a, b), vectorised:
+        # least w, then least a among those, then least b
+        wmin = w.min(axis=1)
+        has = np.isfinite(wmin)
+        m = w == wmin[:, None]
+        amin = np.where(m, a, np.inf).min(axis=1)
+        m &= a == amin[:, None]
+        bmin = np.where(m, b, np.inf).min(axis=1)
+        if not has.any():
             return empty
-        return pd.DataFrame({"p": np.asarray(ps, np.int64), "w": np.asarray(ws, np.float64),
-                             "a": np.asarray(as_, np.int64), "b": np.asarray(bs, np.int64)})
+        return pd.DataFrame({"p": qi[has].astype(np.int64), "w": wmin[has].astype(np.float64),
+                             "a": amin[has].astype(np.int64), "b": bmin[has].astype(np.int64)})
     return fn
 
 

@@ -58,23 +58,21 @@ def _topk_fn(k: int, metric: str, include_self: bool):
     def fn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if len(left) == 0 or len(right) == 0:
             return pd.DataFrame({"id": [], "nbr": [], "dist": []})
+        right = right.sort_values("id", kind="stable")  # column order = id order breaks ties
         q, c = _matrix(left["v"]), _matrix(right["v"])
         qid, cid = left["id"].to_numpy(), right["id"].to_numpy()
         d = _distances(q, c, metric)
         if not include_self:
             d = np.where(qid[:, None] == cid[None, :], np.inf, d)
         kk = min(k, d.shape[1])
-        key = np.round(d, 9)
-        out_id, out_nbr, out_d = [], [], []
-        for i in range(d.shape[0]):
-            order = np.lexsort((cid, key[i]))[:kk]
-            order = order[np.isfinite(d[i, order])]
-            out_id.append(np.full(len(order), qid[i]))
-            out_nbr.append(cid[order])
-            out_d.append(d[i, order])
-        return pd.DataFrame({"id": np.concatenate(out_id).astype(np.int64),
-                             "nbr": np.concatenate(out_nbr).astype(np.int64),
-                             "dist": np.concatenate(out_d).astype(np.float64)})
+        # vectorised top-k per row in (round(d, 9), id) order: a stable sort
+        # over id-ordered columns keeps equal keys in id order
+        order = np.argsort(np.round(d, 9), axis=1, kind="stable")[:, :kk]
+        dk = np.take_along_axis(d, order, axis=1)
+        ok = np.isfinite(dk)
+        rows = np.repeat(qid[:, None], kk, axis=1)
+        return pd.DataFrame({"id": rows[ok].astype(np.int64), "nbr": cid[order][ok].astype(np.int64),
+                             "dist": dk[ok].astype(np.float64)})
     return fn
 
 
