@@ -135,16 +135,18 @@ def _min_out_edge_fn(metric: str):
         qi, ci = left["id"].to_numpy(), right["id"].to_numpy()
         same = left["comp"].to_numpy()[:, None] == right["comp"].to_numpy()[None, :]
         w = np.where(same, np.inf, w)
-        a = np.minimum(qi[:, None], ci[None, :]).astype(np.float64)
-        b = np.maximum(qi[:, None], ci[None, :]).astype(np.float64)
-        # per row the minimum in the total order (w, a, b), vectorised:
-        # least w, then least a among those, then least b
+        qi, ci = qi.astype(np.int64), ci.astype(np.int64)
+        a = np.minimum(qi[:, None], ci[None, :])
+        b = np.maximum(qi[:, None], ci[None, :])
+        # per row the minimum in the total order (w, a, b), vectorised in
+        # exact integer arithmetic: least w, then least a, then least b
+        big = np.iinfo(np.int64).max
         wmin = w.min(axis=1)
         has = np.isfinite(wmin)
         m = w == wmin[:, None]
-        amin = np.where(m, a, np.inf).min(axis=1)
+        amin = np.where(m, a, big).min(axis=1)
         m &= a == amin[:, None]
-        bmin = np.where(m, b, np.inf).min(axis=1)
+        bmin = np.where(m, b, big).min(axis=1)
         if not has.any():
             return empty
         return pd.DataFrame({"p": qi[has].astype(np.int64), "w": wmin[has].astype(np.float64),

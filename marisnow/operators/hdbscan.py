@@ -14,7 +14,8 @@ as relational work.
 5. point labels come back by joining the selected (level, component) pairs
    to the per-level components.
 
-Labels are numbered by the smallest point id of each selected cluster."""
+Labels are numbered by the smallest point of each selected cluster (in the
+dense index, i.e. id order)."""
 
 from __future__ import annotations
 
@@ -169,14 +170,22 @@ def hdbscan(points: DataFrame, id_col: str, vec_col: str, min_cluster_size: int
         raise ValueError("min_cluster_size must be >= 2")
     spark = points.sparkSession
     ms = min_samples or min_cluster_size
-    pts = _cut(points.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")))
+    # dense point index 0..N-1 (any id domain, e.g. 64-bit hashes): the level
+    # encoding below needs ids < 2^40; original ids are joined back at the end
+    raw = points.select(F.col(id_col).cast("long").alias("orig"), F.col(vec_col).alias("v"))
+    dense = _cut(global_rank(raw, ["orig"], "id").withColumn("id", F.col("id") - 1))
+    pts = dense.select("id", "v")
     core = core_distances(pts, "id", "v", ms, metric, block_rows)
     withcore = _cut(pts.join(core, "id"))
     tree = _cut(mst_edges(withcore, "id", "v", "core", metric, block_rows))
     n_edges = tree.count()
     ids = pts.select("id")
+    back = dense.select("id", "orig")
+
+    def _orig(df: DataFrame) -> DataFrame:
+        return df.join(back, "id").select(F.col("orig").alias("id"), "cluster_raw")
     if n_edges == 0:
-        return ids.withColumn("cluster_raw", F.lit(-1))
+        return _orig(ids.withColumn("cluster_raw", F.lit(-1)))
     ranked = _cut(global_rank(tree, ["w", "a", "b"]))
     L = n_edges if levels == "all" else max(1, min(int(levels), n_edges))
     # level l holds every edge of rank <= floor(l * E / L); l = 0..L
@@ -204,14 +213,15 @@ def hdbscan(points: DataFrame, id_col: str, vec_col: str, min_cluster_size: int
     clusters = condensed_tree(big_rows, level_lambda, L)
     chosen = select_clusters(clusters, cluster_selection_method, cluster_selection_epsilon)
     if not chosen:
-        return ids.withColumn("cluster_raw", F.lit(-1))
+        return _orig(ids.withColumn("cluster_raw", F.lit(-1)))
     sel = sorted(((clusters[c].birth_level, clusters[c].birth_comp) for c in chosen), key=lambda t: t[1])
     sel_df = spark.createDataFrame([(lv, cp, i) for i, (lv, cp) in enumerate(sel)],
                                    "lvl long, comp long, cluster_raw int")
     member = comps.join(F.broadcast(sel_df), ["lvl", "comp"]).select("id", "cluster_raw")
     # a point belongs to at most one selected cluster (selected clusters are disjoint)
     member = member.groupBy("id").agg(F.min("cluster_raw").alias("cluster_raw"))
-    return ids.join(member, "id", "left").select("id", F.coalesce("cluster_raw", F.lit(-1)).alias("cluster_raw"))
+    return _orig(ids.join(member, "id", "left")
+                 .select("id", F.coalesce("cluster_raw", F.lit(-1)).alias("cluster_raw")))
 
 
 def level_count_hint(n: int) -> int:
