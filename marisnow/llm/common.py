@@ -51,3 +51,24 @@ def discard(df: DataFrame) -> None:
 def as_text(col: Column) -> Column:
     """UTF-8 bytes of a text column for Arrow kernels; null becomes empty."""
     return F.coalesce(col, F.lit("")).cast("binary")
+
+
+def with_kernel(df: DataFrame, text_col: str, kernel, new: str, name: str = "_text") -> DataFrame:
+    """``df`` plus the columns of ``new`` (DDL), which ``kernel`` makes from a
+    batch's texts (a list of str): a list of Arrow arrays in order.  Columns
+    of ``df`` named like new ones are replaced; the rest pass through."""
+    import pyarrow as pa
+    from pyspark.sql.types import StructType
+
+    add = StructType.fromDDL(new)
+    taken = {f.name.lower() for f in add} | {name.lower()}
+    keep = [c for c in df.columns if c.lower() not in taken or c == text_col]
+    src = df.select(*keep, as_text(F.col(text_col)).alias(name))
+
+    def run(batches):
+        for b in batches:
+            texts = [t.decode("utf-8", "replace") for t in b.column(len(keep)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), *kernel(texts)],
+                                             [*keep, *(f.name for f in add)])
+
+    return src.mapInArrow(run, StructType([*(src.schema[c] for c in keep), *add.fields]))

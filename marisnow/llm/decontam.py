@@ -110,11 +110,14 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     ``mode="documents"`` drops documents with a hit; ``mode="spans"`` keeps
     them and cuts from the first to the last character of each run of hit
     words out of their text."""
-    marked = contamination(docs, items, id_col, text_col, window)
-    if mode == "documents":
-        return marked.filter("n_hit = 0").select(*docs.columns)
-    if mode != "spans":
+    if mode not in ("documents", "spans"):
         raise ValueError("mode is 'documents' or 'spans'")
+    if mode == "documents":
+        met = hits(docs, items, id_col, text_col, window).select(F.col("doc").alias("_doc"), F.col("row").alias("_met"))
+        src = docs.withColumn("_row", F.xxhash64(text_col))
+        return src.join(met, src[id_col].eqNullSafe(met["_doc"]) & (src["_row"] == met["_met"]), "left_anti").select(
+            *docs.columns)
+    marked = contamination(docs, items, id_col, text_col, window)
     # the text as alternating gaps and words; a gap after a hit word goes if the next word is hit too
     low = lower_ascii(F.col(text_col))
     word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"

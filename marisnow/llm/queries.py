@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marisnow.llm import decontam, linededup, simhash
+from marisnow.llm import decontam, linededup, simhash, spiece, toxicity
 from marisnow.llm.common import UPPER, table
 from marisnow.session import ensure_checkpoint_dir, ship_package
 
@@ -67,10 +67,29 @@ select doc_id, count(*) n_lines, count(*) filter (gone) n_dropped,
 from m group by doc_id
 """
 
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's sampled piece ids, and whether they decode to its
+    very text (null for a null text)."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    out = spiece.decode(spiece.encode(docs, F.col("doc_id")))
+    return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
+                      (F.col("decoded") == F.col("text")).alias("lossless"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
+                                              "score", "predicted")
+
+
 QUERIES = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op8_sentencepiece": op8_sentencepiece,
+    "op9_toxicity": op9_toxicity,
 }
 ORACLE = {
     "op2_benchmark_decontamination": OP2_SQL,

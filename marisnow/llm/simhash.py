@@ -27,7 +27,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marisnow.llm.common import as_text, partitions, written
@@ -67,16 +67,18 @@ def simhash(data: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                  seed: int = SEED) -> DataFrame:
-    """``(id_col, fp)`` for every row, ``fp`` the 64 bits as a long."""
-    src = df.select(F.col(id_col).alias("id"), as_text(F.col(text_col)).alias("text"))
+    """``(id_col, _row, fp)`` for every row: a hash of the text and the 64
+    bits of the fingerprint, as longs."""
+    src = df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("_row"), as_text(F.col(text_col)).alias("text"))
     kind = src.schema["id"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            fp = np.array([simhash(t.as_py(), shingle, seed) for t in b.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
+            fp = np.array([simhash(t.as_py(), shingle, seed) for t in b.column(2)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))],
+                                             ["id", "_row", "fp"])
 
-    return src.mapInArrow(run, f"id {kind}, fp long").withColumnRenamed("id", id_col)
+    return src.mapInArrow(run, f"id {kind}, _row long, fp long").withColumnRenamed("id", id_col)
 
 
 # ------------------------------------------------------------ bit-sliced parts
@@ -370,13 +372,36 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     smallest id reachable over links; a null id is never chosen while the
     component has another.  Repeated rows come back as often as they came.
     Other columns are not read; an empty table gives no rows."""
+    fps, member = _grouped(df, id_col, text_col, shingle, radius, seed)
+    low = member.groupBy("component").agg(F.min("low").alias("component_id"))
+    named = member.join(low, "component").select("fp", "component_id")
+    return fps.join(named, "fp").select(
+        id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _grouped(df: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, seed: int):
+    """The rows with their fingerprints, and ``(fp, low, component)``: each
+    distinct fingerprint with its smallest id and its component's least
+    fingerprint."""
     fps = written(fingerprints(df, id_col, text_col, shingle, seed), "simhash-fps")
     groups = connected_components(links(fps, radius))
     least = fps.groupBy("fp").agg(F.min(id_col).alias("low"))
     member = least.join(groups, least["fp"] == groups["node"], "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("component"))
-    member = written(member, "simhash-members")
-    low = member.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = member.join(low, "component").select("fp", "component_id")
-    return fps.join(named, "fp").select(
-        id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return fps, written(member, "simhash-members")
+
+
+def one_per_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                  radius: int = RADIUS, seed: int = SEED) -> DataFrame:
+    """The rows of ``df`` less near copies: one row of each component of
+    :func:`near_duplicates` stays, that of the smallest id (null after all
+    others, then the smallest text hash; of repeated rows any one)."""
+    fps, member = _grouped(df, id_col, text_col, shingle, radius, seed)
+    row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("_id"), F.col("_row"))
+    best = (fps.groupBy("fp").agg(F.min(row).alias("best"))
+            .join(member.select("fp", "component"), "fp")
+            .groupBy("component").agg(F.min("best").alias("best")).select("best._id", F.col("best._row").alias("_best")))
+    src = df.withColumn("_row", F.xxhash64(text_col))
+    kept = src.join(best, src[id_col].eqNullSafe(best["_id"]) & (src["_row"] == best["_best"]), "left_semi")
+    place = F.row_number().over(Window.partitionBy(id_col, "_row").orderBy("_row"))
+    return kept.withColumn("_place", place).filter("_place = 1").select(*df.columns)
