@@ -7,13 +7,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marisnow.llm import decontam, linededup, simhash, spiece, toxicity
+from marisnow.llm import decontam, linededup, secrets, simhash, spiece, toxicity
 from marisnow.llm.common import UPPER, table
-from marisnow.session import ensure_checkpoint_dir, ship_package
+from marisnow.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 _LOW = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First scan of the table: a new ledger, so every blob is unseen."""
+    ledger = secrets.Ledger(spark, scratch_path(spark, "secret-ledger"))
+    out = secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text"), ledger)
+    base = F.filter("found", lambda s: s["place"] <= len(secrets.BASE))
+    count = lambda k: F.size(F.filter("found", lambda s: s["place"] == k)).cast("long")
+    return out.select("doc_id", count(1).alias("n_assign"), count(2).alias("n_access"), count(3).alias("n_hex"),
+                      F.sha2(secrets.as_string(base), 256).alias("base_sha256"),
+                      secrets.as_string(F.col("found")).alias("spans"))
+
+
+def _op1_sql() -> str:
+    kinds = []
+    for place, r in enumerate(secrets.RULES, 1):
+        pattern = f"(?s)(.*?)({r.pattern}|\\z)".replace("'", "''")
+        value = r.group + 2
+        kinds.append(f"""
+select doc_id, {place} place, '{r.kind}' kind, size, val, sum(gap + size) over (partition by doc_id order by i) stop
+from (select doc_id, unnest(range(len(g))) i, unnest(list_transform(g, lambda x: length(x))) gap,
+        unnest(list_transform(m, lambda x: length(x))) size, unnest(list_transform(v, lambda x: length(x))) val
+      from (select doc_id, regexp_extract_all(t, '{pattern}', 1) g, regexp_extract_all(t, '{pattern}', 2) m,
+              regexp_extract_all(t, '{pattern}', {value}) v from d))
+qualify size >= {r.min_total} and val >= {r.min_value}""")
+    return f"""
+with d as (select doc_id, coalesce(text, '') t from documents),
+s as ({" union all ".join(kinds)}),
+j as (select doc_id, count(*) filter (place = 1) n_assign, count(*) filter (place = 2) n_access,
+        count(*) filter (place = 3) n_hex,
+        string_agg(concat_ws(':', kind, cast(stop - size as bigint), cast(stop as bigint)), ',' order by stop - size, place)
+          filter (place <= 3) base,
+        string_agg(concat_ws(':', kind, cast(stop - size as bigint), cast(stop as bigint)), ',' order by stop - size, place) spans
+      from s group by doc_id)
+select doc_id, coalesce(n_assign, 0) n_assign, coalesce(n_access, 0) n_access, coalesce(n_hex, 0) n_hex,
+  sha256(coalesce(base, '')) base_sha256, coalesce(spans, '') spans
+from d left join j using (doc_id)
+"""
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.contamination(table(spark, sf_dir, "documents", "doc_id", "text"),
                                  table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -85,6 +123,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scans": op1_secret_scans,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_line_dedup": op4_line_dedup,
@@ -92,6 +131,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
 }
 ORACLE = {
+    "op1_secret_scans": _op1_sql(),
     "op2_benchmark_decontamination": OP2_SQL,
     "op4_line_dedup": OP4_SQL,
 }
