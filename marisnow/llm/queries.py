@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marisnow.llm import decontam, linededup, secrets, simhash, spiece, toxicity
+from marisnow.llm import decontam, linededup, secrets, simhash, spiece, topk, toxicity, urlfilter
 from marisnow.llm.common import UPPER, table
 from marisnow.session import ensure_checkpoint_dir, scratch_path, ship_package
 
@@ -122,18 +122,59 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "score", "predicted")
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0")).select("query_id", "rank", "vec_id", "score")
+
+
+OP5_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) e
+  from embeddings where embedding is not null
+    and not list_bool_or(list_transform(embedding, lambda x: x is null or not isfinite(x)))),
+s as (select q.vec_id query_id, c.vec_id,
+    cast(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) as bigint) score
+  from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+  vec_id, score
+from s qualify row_number() over (partition by query_id order by score desc, vec_id) <= 10
+"""
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages", "page_id", "url", "html")).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+#: the pages of the given tables name no redirects, so a url without a rule is allowed; tests/llm has the aliases
+OP10_SQL = """
+with u as (select page_id, coalesce(url, '') url from pages),
+p as (select page_id, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+      regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) path from u),
+r(rh, rp, verdict) as (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block'))
+select page_id, host, path, arg_max(rh || rp, length(rh || rp)) as rule,
+  coalesce(arg_max(verdict, length(rh || rp)), 'allow') verdict
+from p left join r on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp)
+group by page_id, host, path
+"""
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_exact_topk": op5_exact_topk,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_toxicity": op9_toxicity,
+    "op10_url_filters": op10_url_filters,
 }
 ORACLE = {
     "op1_secret_scans": _op1_sql(),
     "op2_benchmark_decontamination": OP2_SQL,
     "op4_line_dedup": OP4_SQL,
+    "op5_exact_topk": OP5_SQL,
+    "op10_url_filters": OP10_SQL,
 }
 
 
