@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marisnow.llm import decontam, linededup, secrets, simhash, spiece, topk, toxicity, urlfilter
+from marisnow.llm import decontam, html, langid, linededup, secrets, simhash, spiece, topk, toxicity, urlfilter
 from marisnow.llm.common import UPPER, table
 from marisnow.session import ensure_checkpoint_dir, scratch_path, ship_package
 
@@ -106,6 +106,17 @@ from m group by doc_id
 """
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages", "page_id", "url", "html")).select(
+        "page_id", "url", "text", "n_chars")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    out = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's sampled piece ids, and whether they decode to its
     very text (null for a null text)."""
@@ -165,6 +176,8 @@ QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_topk": op5_exact_topk,
+    "op6_html_extraction": op6_html_extraction,
+    "op7_language_id": op7_language_id,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_toxicity": op9_toxicity,
     "op10_url_filters": op10_url_filters,
