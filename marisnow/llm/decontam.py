@@ -1,10 +1,13 @@
 """Benchmark decontamination: documents that hold word windows of test items.
 
 The items' windows (a hash and the window's words) form a broadcast hash set,
-behind a check of its size; larger sets are joined by shuffle.  Each
-document's windows are hashed inside the scan, matched by hash and verified by
-the words themselves, so a hash collision is no hit.  Only hits are shuffled.
-DataFrame functions throughout."""
+behind a check of its size; larger sets are joined by shuffle.  A window of n
+words that occurs in a document covers a whole block of (n + 1) // 2 words
+that starts at a multiple of that length, so the scan hashes only these blocks,
+tests a small bitmap and matches what is left with a set of all the items'
+blocks of that length.  Around a match every window is built, matched by hash and verified by the words
+themselves, so a hash collision is no hit.  Only hits are shuffled.  DataFrame
+functions throughout."""
 
 from __future__ import annotations
 
@@ -16,6 +19,8 @@ from marisnow.llm.common import lower_ascii, written
 WINDOW = 10
 #: windows up to which the set is broadcast (about 150 bytes each)
 BROADCAST_WINDOWS = 200_000
+#: words of the bitmap (64 block hashes each) that spares most blocks the join
+BITMAP = 4096
 #: between words: all of ASCII but digits and lower-case letters
 GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -38,17 +43,67 @@ def _windows(ws: Column, length: Column | int) -> Column:
     return F.transform(starts, one)
 
 
+def _block(n: int) -> int:
+    """Longest block length that every run of ``n`` words covers one of."""
+    return (n + 1) // 2
+
+
+def _bitmap(blocks: DataFrame) -> Column:
+    """Bitmap of the block hashes as a constant array of longs."""
+    word = F.pmod(F.shiftright("hash", 6), F.lit(BITMAP))
+    got = (blocks.select(word.alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("hash", F.lit(64)).cast("int")).alias("bit"))
+           .groupBy("w").agg(F.bit_or("bit").alias("bits")).collect())  # at most BITMAP rows
+    bits = {r["w"]: r["bits"] for r in got}
+    return F.from_json(F.lit(str([bits.get(i, 0) for i in range(BITMAP)])), "array<bigint>")
+
+
+def _maybe(bitmap: Column, hash_: Column) -> Column:
+    word = F.get(bitmap, F.pmod(F.shiftright(hash_, 6), F.lit(BITMAP)).cast("int"))
+    return F.getbit(word, F.pmod(hash_, F.lit(64)).cast("int")) == 1
+
+
+def _blocks(ws: Column, n: int, bitmap: Column) -> Column:
+    """Structs (n, hash, lo, near) of the blocks at multiples of their length
+    that the bitmap lets pass; ``near`` are the words, from number ``lo`` on,
+    of all windows of ``n`` words that cover the block."""
+    b = _block(n)
+    starts = F.when(F.size(ws) >= n, F.sequence(F.lit(0), F.size(ws) - b, F.lit(b))).otherwise(
+        F.array().cast("array<int>"))
+
+    def one(q):
+        lo = F.greatest(q + (b - n), F.lit(0))
+        return F.struct(F.lit(n).alias("n"), F.xxhash64(F.slice(ws, q + 1, b)).alias("hash"), lo.alias("lo"),
+                        F.slice(ws, lo + 1, q + n - lo).alias("near"))
+
+    return F.transform(F.filter(starts, lambda q: _maybe(bitmap, F.xxhash64(F.slice(ws, q + 1, b)))), one)
+
+
+def _item_words(items: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
+    """``(item, ws, n)`` of the items with words; ``n`` their window length."""
+    ws = items.select(F.col(id_col).cast("string").alias("item"), words(F.col(text_col)).alias("ws")).filter(
+        F.size("ws") > 0)
+    return ws.withColumn("n", F.least(F.size("ws"), F.lit(window)))
+
+
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
                       window: int = WINDOW) -> DataFrame:
     """``(hash, win, n, items)``: each distinct window and the ids (as text)
     of the items that hold it."""
-    ws = items.select(F.col(id_col).cast("string").alias("item"), words(F.col(text_col)).alias("ws")).filter(
-        F.size("ws") > 0)
-    length = F.least(F.size("ws"), F.lit(window))
-    return (ws.select("item", F.inline(_windows(F.col("ws"), length)))
+    return (_item_words(items, id_col, text_col, window)
+            .select("item", F.inline(_windows(F.col("ws"), F.col("n"))).alias("at", "n", "hash", "win"))
             .groupBy("hash", "win", "n").agg(F.collect_set("item").alias("items")))
 
 
+def benchmark_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
+                     window: int = WINDOW) -> DataFrame:
+    """``(n, hash)`` of all runs of words that may be the block of a window
+    of ``n`` words."""
+    b = F.floor((F.col("n") + 1) / 2).cast("int")
+    starts = F.sequence(F.lit(1), F.size("ws") - b + 1)
+    return (_item_words(items, id_col, text_col, window)
+            .select("n", F.explode(F.transform(starts, lambda i: F.xxhash64(F.slice("ws", i, b)))).alias("hash")).distinct())
+
+
 def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          window: int = WINDOW) -> DataFrame:
     """``(doc, row, spans, items)`` of the documents with a hit: ``spans`` the
@@ -59,10 +114,16 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     small = grams.count() <= BROADCAST_WINDOWS
     tokens = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("row"),
                          words(F.col(text_col)).alias("ws"))
-    each = [_windows(F.col("ws"), n) for n in sizes] or [_windows(F.col("ws"), window)]
-    found = tokens.select("doc", "row", F.inline(each[0] if len(each) == 1 else F.concat(*each)))
+    blocks = benchmark_blocks(items, window=window)
+    bitmap = _bitmap(blocks)
+    each = [_blocks(F.col("ws"), n, bitmap) for n in sizes or [window]]
+    put = F.broadcast if small else (lambda df: df)
+    near = (tokens.select("doc", "row", F.inline(each[0] if len(each) == 1 else F.concat(*each)))
+            .join(put(blocks), ["n", "hash"])
+            .select("doc", "row", "lo", F.col("n").alias("size"), "near"))
+    found = near.select("doc", "row", "lo", F.inline(_windows(F.col("near"), F.col("size"))))
     right = grams.select("hash", F.col("win").alias("win2"), F.col("n").alias("n2"), "items")
-    met = found.join(F.broadcast(right) if small else right, "hash").filter("win = win2 and n = n2")
+    met = found.join(put(right), "hash").filter("win = win2 and n = n2").withColumn("at", F.col("lo") + F.col("at"))
     return met.groupBy("doc", "row").agg(
         F.sort_array(F.collect_set(F.struct("at", "n"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
