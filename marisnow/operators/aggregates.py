@@ -55,9 +55,9 @@ def default_view_label(final: Column) -> Column:
 
 
 def train_subset(df: DataFrame, category_col: str, path_col: str, classes: Sequence[str],
-                 cap: int | None = 200_000, seed: int = 42, key: str = "object_id") -> DataFrame:
-    """Non-living rows with a path; at most ``cap`` of them, chosen by the
-    seeded md5 order (exact, engine-independent)."""
+                 cap: int | None = None, seed: int = 42, key: str = "object_id") -> DataFrame:
+    """Non-living rows with a path: all of them, or at most ``cap`` if the
+    caller asks for a cap, chosen by the seeded md5 order."""
     sel = df.filter(T.non_living(category_col, classes) & F.col(path_col).isNotNull())
     if cap is None:
         return sel

@@ -34,9 +34,13 @@ def _sym(e: DataFrame) -> DataFrame:
         .filter(F.col("u") != F.col("v")).distinct()
 
 
+def _mark(e: DataFrame):
+    """Row count and hash sum of a round's edges: equal marks, equal rounds."""
+    return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
-                         vertices: DataFrame | None = None, vertex_col: str = "id",
-                         max_rounds: int = 64) -> DataFrame:
+                         vertices: DataFrame | None = None, vertex_col: str = "id") -> DataFrame:
     """(id, component) with component = smallest vertex id in the component.
 
     Edges are undirected; ids are integers.  Isolated ``vertices`` map to
@@ -44,7 +48,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     joins, with AQE splitting the hub partition of a large star."""
     e = edges.select(F.col(src).cast("long").alias("u"), F.col(dst).cast("long").alias("v"))
     e = _cut(e.filter(F.col("u") != F.col("v")).distinct())
-    for i in range(max_rounds):
+    mark = _mark(e)
+    while True:
         s = _sym(e)
         # large star: link every larger neighbour of u to the min of u's neighbourhood
         m = s.groupBy("u").agg(F.min("v").alias("mv")).select("u", F.least("mv", "u").alias("m"))
@@ -59,12 +64,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                  .union(m2.select("u", F.col("m").alias("v"))))
         small = _cut(small.filter(F.col("u") != F.col("v")).distinct())
         large.unpersist()
-        changed = small.exceptAll(e).union(e.exceptAll(small)).limit(1).count()
-        e = small
-        if changed == 0:
+        e, seen, mark = small, mark, _mark(small)
+        if mark == seen:
             break
-    else:
-        log.warning("connected_components: no convergence after %d rounds", max_rounds)
     # converged: each edge is (node, root) with root the component minimum
     comp = e.groupBy("u").agg(F.min("v").alias("component"))
     roots = e.select(F.col("v").alias("u")).distinct().join(comp, "u", "left_anti") \
@@ -96,7 +98,7 @@ def global_rank(df: DataFrame, order: list[str], out: str = "rank") -> DataFrame
 
 # ---------------------------------------------------------------- MST -------
 
-def merge_roots(ptr: DataFrame, max_rounds: int = 64) -> DataFrame:
+def merge_roots(ptr: DataFrame) -> DataFrame:
     """(c, root) from Borůvka parent pointers (c -> p).  Every tree of
     pointers has one 2-cycle (two components that chose the same edge); its
     smaller id becomes the root, then pointer jumping p <- p(p) halves the
@@ -107,15 +109,13 @@ def merge_roots(ptr: DataFrame, max_rounds: int = 64) -> DataFrame:
                  F.when((F.col("pp") == F.col("comp")) & (F.col("comp") < F.col("p")), F.col("comp"))
                  .otherwise(F.col("p")).alias("root")))
     p = _cut(p)
-    for _ in range(max_rounds):
+    while True:
         nxt = p.select(F.col("c").alias("root"), F.col("root").alias("rr"))
         p2 = _cut(p.join(nxt, "root", "left").select("c", F.coalesce("rr", "root").alias("root"),
                                                    (F.col("rr") != F.col("root")).alias("_moved")))
         if p2.filter("_moved").limit(1).count() == 0:
             return p2.drop("_moved")
         p = p2.drop("_moved")
-    log.warning("merge_roots: no convergence after %d rounds", max_rounds)
-    return p
 
 
 def _min_out_edge_fn(metric: str):
@@ -155,7 +155,7 @@ def _min_out_edge_fn(metric: str):
 
 
 def mst_edges(points: DataFrame, id_col: str, vec_col: str, core_col: str | None = None,
-              metric: str = "euclidean", block_rows: int = 2048, max_rounds: int = 64) -> DataFrame:
+              metric: str = "euclidean", block_rows: int = 2048) -> DataFrame:
     """Minimum spanning tree (a, b, w) of the complete graph with weight
     max(core(a), core(b), d(a, b)) (plain distance when ``core_col`` is None).
 
@@ -174,7 +174,7 @@ def mst_edges(points: DataFrame, id_col: str, vec_col: str, core_col: str | None
     comp = pts.select("id", F.col("id").alias("comp"))
     rounds: list[DataFrame] = []
     partner = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
-    for rnd in range(max_rounds):
+    while True:  # each round at least halves the components
         cur = pts.join(comp, "id")
         qx = cur.select("id", "v", "core", "comp", F.col("blk").alias("qb"), partner.alias("cb"))
         # fresh aliases: the two cogroup sides must not share attribute ids

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 def last_per_key(df: DataFrame, key: str, value: str, order_col: str | None = None,
                  out: str | None = None) -> DataFrame:
-    """One row per key: the value of the row with the greatest order."""
-    out = out or value
+    """One row per key: the value of the row with the greatest order, or of
+    the last row as read where no order column is given."""
+    order = order_col or "_read_order"
     if order_col is None:
-        # no row order given: deterministic choice (greatest value)
-        return df.groupBy(key).agg(F.max(value).alias(out))
-    return df.groupBy(key).agg(F.max_by(value, order_col).alias(out))
+        df = df.withColumn(order, F.monotonically_increasing_id())
+    return df.groupBy(key).agg(F.max_by(value, order).alias(out or value))
 
 
 def apply_labels(df: DataFrame, labels: DataFrame, target: str = "object_annotation_category",

@@ -44,7 +44,9 @@ def random_sample(df: DataFrame, n: int, seed: int = 42, key: str = "object_id")
     per partition (TakeOrderedAndProject) — bounded by ``n``, not the data."""
     if n <= 0:
         return df.limit(0)
-    return df.orderBy(sample_key(seed, key), F.col(key).cast("string")).limit(int(n))
+    # a row without a key is drawn by its content, as likely as any other
+    k = F.coalesce(F.col(key).cast("string"), F.to_json(F.struct(*df.columns)))
+    return df.orderBy(sample_key(seed, k), k).limit(int(n))
 
 
 def path_token_filter(df: DataFrame, path_col: str, token: str | None,

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
-# Largest centroid table (clusters x dims) inlined into a plan as a constant.
+# Largest centroid table (clusters x dims) folded into one broadcast row; a
+# larger one is met pack by pack.
 MAX_INLINE_CENTROID_VALUES = 4_000_000
 
 
@@ -68,15 +69,15 @@ def centroids(df: DataFrame, label: str, vec: str) -> DataFrame:
     return cluster_summaries(df, label, vec).select(label, "n", "centroid")
 
 
-def centroid_table(cents: DataFrame, label: str) -> DataFrame:
-    """The centroid table folded into ONE row: array<struct<id, c>> sorted
-    by id.  Size-checked: clusters x dims must stay under the cap, so the
-    broadcast of this row has a proven bound."""
+def centroid_packs(cents: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """The centroid table as rows of array<struct<id, c>> sorted by id, each
+    of at most MAX_INLINE_CENTROID_VALUES values on average, and their number
+    (one for a table within that bound)."""
     k, d = cents.agg(F.count(F.lit(1)), F.max(F.size("centroid"))).first()
-    if k and d and k * d > MAX_INLINE_CENTROID_VALUES:
-        raise ValueError(f"centroid table too large to inline ({k} x {d}); use knn.nearest()")
-    return cents.agg(F.sort_array(F.collect_list(
-        F.struct(F.col(label).cast("int").alias("id"), F.col("centroid").alias("c")))).alias("_cents"))
+    packs = max(1, -(-(k or 0) * (d or 0) // MAX_INLINE_CENTROID_VALUES))
+    entry = F.struct(F.col(label).cast("int").alias("id"), F.col("centroid").alias("c"))
+    table = (cents.groupBy(F.pmod(F.xxhash64(label), F.lit(packs)).alias("_pack")) if packs > 1 else cents.groupBy())
+    return table.agg(F.sort_array(F.collect_list(entry)).alias("_cents")).select("_cents"), packs
 
 
 def nearest_centroid(vec, table) -> Column:
@@ -88,10 +89,19 @@ def nearest_centroid(vec, table) -> Column:
 def assign_noise(df: DataFrame, label: str, vec: str, out: str = "cluster_final") -> DataFrame:
     """-1 -> nearest mean centroid; no clusters -> 0; others unchanged.
 
-    The centroids (one row per cluster, size-checked) are folded into a
-    single row and broadcast, so the assignment is a narrow, shuffle-free
-    projection over the points."""
-    table = centroid_table(centroids(df, label, vec), label)
+    A centroid table within the size bound is folded into a single row and
+    broadcast, so the assignment is a narrow projection over the points.  A
+    larger one is met in packs of that bound: each point that is noise takes
+    the best of its distances to the packs, by the same formula."""
+    table, packs = centroid_packs(centroids(df, label, vec), label)
+    if packs > 1:
+        from marisnow.operators.graph import _cut
+        rows = _cut(df.withColumn("_rid", F.monotonically_increasing_id()))
+        cand = F.transform("_cents", lambda e: F.struct(sq_dist(F.col(vec), e["c"]).alias("d"), e["id"].alias("id")))
+        best = (rows.filter(F.col(label) == -1).join(table, how="cross")
+                .select("_rid", F.array_min(cand).alias("m")).groupBy("_rid").agg(F.min("m")["id"].alias("_near")))
+        return rows.join(best, "_rid", "left").withColumn(out, F.when(F.col(label) != -1, F.col(label)).otherwise(
+            F.coalesce("_near", F.lit(0)))).drop("_rid", "_near")
     j = df.join(F.broadcast(table), how="cross")
     near = nearest_centroid(F.col(vec), "_cents")
     return j.withColumn(out, F.when(F.col(label) != -1, F.col(label))
@@ -122,23 +132,25 @@ def merge_plan(summaries: list[tuple[int, int, list[float]]], max_clusters: int)
     n = {s[0]: float(s[1]) for s in summaries}
     vs = {s[0]: np.asarray(s[2], dtype=np.float64) for s in summaries}
     owner = {i: i for i in ids}
-    while len(ids) > max_clusters:
-        c = np.stack([vs[i] / n[i] for i in ids])
-        sq = (c * c).sum(1)
-        d2 = sq[:, None] + sq[None, :] - 2.0 * c @ c.T
-        # exact distances for the ordering; the Gram trick only prunes
-        d = np.sqrt(np.maximum(((c[:, None, :] - c[None, :, :]) ** 2).sum(-1), 0.0)) if len(ids) <= 512 \
-            else np.sqrt(np.maximum(d2, 0.0))
-        iu = np.triu_indices(len(ids), 1)
-        best = int(np.argmin(d[iu]))  # argmin returns the first minimum in (i, j) order
-        ia, ib = iu[0][best], iu[1][best]
+    cents = np.stack([vs[i] / n[i] for i in ids]) if ids else np.zeros((0, 0))
+    far = np.full((len(ids), len(ids)), np.inf)  # distances of pairs a < b, by differences at every size
+    for i in range(len(ids)):
+        far[i, i + 1:] = np.sqrt(((cents[i + 1:] - cents[i]) ** 2).sum(1))
+    alive = np.ones(len(ids), dtype=bool)
+    for _ in range(len(ids) - max_clusters):
+        ia, ib = np.unravel_index(int(np.argmin(far)), far.shape)  # the first minimum in (a, b) order
         a, b = ids[ia], ids[ib]
         vs[a] = vs[a] + vs[b]
         n[a] += n[b]
+        cents[ia] = vs[a] / n[a]
         for k, v in owner.items():
             if v == b:
                 owner[k] = a
-        ids.remove(b)
+        alive[ib] = False
+        far[ib, :] = far[:, ib] = np.inf
+        now = np.where(alive, np.sqrt(((cents - cents[ia]) ** 2).sum(1)), np.inf)
+        far[ia, ia + 1:], far[:ia, ia] = now[ia + 1:], now[:ia]
+    ids = [i for i, keep in zip(ids, alive) if keep]
     dense = {old: new for new, old in enumerate(sorted(ids))}
     return {k: dense[v] for k, v in owner.items()}
 
@@ -164,27 +176,17 @@ def merge_clusters(df: DataFrame, label: str, vec: str, max_clusters: int | None
     return j.withColumn(out, F.when(F.col(label) == -1, noise_to).otherwise(F.col("_new"))).drop("_old", "_new")
 
 
-def exact_median(df: DataFrame, col: str, accuracy: int = 100_000) -> float | None:
-    """Exact median (mean of the two middle values for even counts) without
-    collecting the column: an approximate quantile brackets the middle ranks,
-    then only values inside the bracket are fetched."""
-    x = F.col(col)
-    n = df.filter(x.isNotNull()).count()
+def exact_median(df: DataFrame, col: str) -> float | None:
+    """Exact median (mean of the two middle values for even counts): values
+    are ranked by range partitions and two rows are picked."""
+    from marisnow.operators.graph import global_rank
+    ranked = global_rank(df.select(F.col(col).alias("_x")).filter("_x is not null"), ["_x"], "_rank")
+    n = ranked.count()
     if n == 0:
         return None
-    lo_rank, hi_rank = (n - 1) // 2, n // 2
-    eps = max(1.0 / accuracy, 1e-9)
-    qlo = max(0.0, lo_rank / n - 2 * eps)
-    qhi = min(1.0, (hi_rank + 1) / n + 2 * eps)
-    lo, hi = df.filter(x.isNotNull()).agg(F.percentile_approx(col, [qlo, qhi], accuracy)).first()[0]
-    below, inside = df.agg(F.sum((x < lo).cast("long")),
-                           F.sum(((x >= lo) & (x <= hi)).cast("long"))).first()
-    below = below or 0
-    if not (below <= lo_rank and below + (inside or 0) > hi_rank) or (inside or 0) > 50 * accuracy + 1000:
-        # bracket missed (cannot happen with a correct sketch) — fall back to exact percentile
-        return float(df.agg(F.median(col)).first()[0])
-    vals = sorted(r[0] for r in df.filter((x >= lo) & (x <= hi)).select(col).collect())
-    return (vals[lo_rank - below] + vals[hi_rank - below]) / 2.0
+    mid = [(n - 1) // 2 + 1, n // 2 + 1]
+    got = {r["_rank"]: r["_x"] for r in ranked.filter(F.col("_rank").isin(mid)).collect()}
+    return (got[mid[0]] + got[mid[1]]) / 2.0
 
 
 def append_log_area(features: DataFrame, area_col: str = "area", vec: str = "features",

@@ -323,10 +323,10 @@ def q_random_sample(spark, d):
 @register("train_subset", f"""
 with r as {_REWRITTEN}
 select object_id, full_path from r where {O.nl_sql('top1')} and full_path is not null
-order by md5('7:' || object_id), object_id limit 200000""")
+""")
 def q_train_subset(spark, d):
     p = particles(spark, d).withColumn("full_path", PF.rewrite_crops("full_path"))
-    return AG.train_subset(p, "top1", "full_path", NL, cap=200_000, seed=7).select("object_id", "full_path")
+    return AG.train_subset(p, "top1", "full_path", NL, seed=7).select("object_id", "full_path")
 
 
 @register("plot_downsample", """

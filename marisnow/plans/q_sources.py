@@ -171,7 +171,7 @@ def q_image_exists(spark, d):
 
 
 @register("resolve_mask_dir", f"""
-with first as (select image_path as p from {REWRITTEN} r order by p limit 5000),
+with first as (select image_path as p from {REWRITTEN} r),
 cand as (select regexp_extract(regexp_extract(p, '^(.*)/[^/]*$', 1), '^(.*)/[^/]*$', 1) || '/' ||
            unnest(['Masks', 'masks', 'Mask', 'mask']) as mask_dir
          from first where lower(regexp_extract(regexp_extract(p, '^(.*)/[^/]*$', 1), '([^/]*)$', 1))

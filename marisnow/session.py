@@ -8,6 +8,7 @@ read it from the session and only set our own when it is unset (tests, bench).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -65,11 +66,14 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only when
-    none is configured (local tests).  Clusters must configure a shared one."""
+    """Return the session's checkpoint folder.  Where none is configured a
+    local session (tests) gets its own; on a cluster that raises, because
+    executors would not see each other's files."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        if not re.match(r"local(\[[^-]*\])?$", sc.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="marisnow-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     if not sc.getCheckpointDir():

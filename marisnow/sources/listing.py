@@ -160,19 +160,20 @@ def image_exists(df: DataFrame, listing: DataFrame, path_col: str, keep: bool =
 
 
 def resolve_mask_dir(paths: DataFrame, listing: DataFrame, path_col: str = "image_path",
-                     sample: int = 5000, mask_names: Sequence[str] | None = None) -> DataFrame:
-    """Most voted sibling mask folder of the crop folders among the first
-    ``sample`` paths (by path order): (mask_dir, votes), at most one row."""
+                     mask_names: Sequence[str] | None = None) -> DataFrame:
+    """Most voted sibling mask folder of all paths' crop folders: (mask_dir,
+    votes), at most one row.  Paths are counted per crop folder first, so
+    only folders are exploded and joined."""
     from marisnow.schemas import MASK_DIR_NAMES
     names = list(mask_names or MASK_DIR_NAMES)
-    first = paths.select(F.col(path_col).alias("p")).orderBy("p").limit(sample)
-    crop_dir = parent_of("p")
-    cand = first.filter(F.lower(name_of(crop_dir)).isin("deconv_crops", "crops")) \
-        .select(F.explode(F.array(*[F.concat(parent_of(crop_dir), F.lit("/" + n)) for n in names])).alias("mask_dir"))
+    folders = (paths.select(parent_of(path_col).alias("crop_dir"))
+               .filter(F.lower(name_of("crop_dir")).isin("deconv_crops", "crops"))
+               .groupBy("crop_dir").agg(F.count(F.lit(1)).alias("n")))
+    cand = folders.select("n", F.explode(F.array(*[
+        F.concat(parent_of("crop_dir"), F.lit("/" + n)) for n in names])).alias("mask_dir"))
     existing = directories(listing).select(F.col("dir").alias("mask_dir"))
-    votes = cand.join(existing, "mask_dir", "left_semi").groupBy("mask_dir").agg(F.count(F.lit(1)).alias("votes"))
-    w = Window.orderBy(F.desc("votes"), "mask_dir")
-    return votes.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+    votes = cand.join(existing, "mask_dir", "left_semi").groupBy("mask_dir").agg(F.sum("n").alias("votes"))
+    return votes.orderBy(F.desc("votes"), "mask_dir").limit(1)
 
 
 def resolve_mask_path(df: DataFrame, listing: DataFrame, mask_dir: str, path_col: str = "image_path",

@@ -45,7 +45,7 @@ def _norm_path(p: str) -> str:
 def read_group(spark: SparkSession, paths: Sequence[str], sep: str) -> DataFrame:
     df = (spark.read.option("header", "true").option("sep", sep).option("inferSchema", "false")
           .option("mode", "PERMISSIVE").option("ignoreCorruptFiles", "true")
-          .option("multiLine", "false").csv(list(paths)))
+          .option("multiLine", "true").option("quote", '"').option("escape", '"').csv(list(paths)))
     cols = [c for c in df.columns]
     na = F.array(*[F.lit(x) for x in NA_TOKENS])
     out = df.select(
