@@ -77,8 +77,7 @@ def umap_reduce(df: DataFrame, id_col: str, vec_col: str, n_components: int = 20
         e = e.withColumn("_d2", d2)
         att = F.when(F.col("_d2") > 0, F.lit(-2.0 * a * b) * F.pow("_d2", b - 1.0)
                      / (F.lit(1.0) + F.lit(a) * F.pow("_d2", b))).otherwise(0.0)
-        pull = e.select(F.col("a").alias("id"), F.zip_with("ya", "yb", lambda p, q: F.col("w") * _clip(att * (p - q)))
-                        .alias("g"))
+        pull = e.select(F.col("a").alias("id"), F.zip_with("ya", "yb", lambda p, q: _clip(att * (p - q))).alias("g"), "w")
         # negative samples: j-th pseudo-random node of this edge in this epoch
         neg = e.select("a", "b", "w", "ya", F.explode(F.sequence(F.lit(1), F.lit(negative_rate))).alias("j"))
         neg = neg.withColumn("ix", F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), "a", "b", "j"), F.lit(n)))
@@ -87,13 +86,13 @@ def umap_reduce(df: DataFrame, id_col: str, vec_col: str, n_components: int = 20
         nd2 = F.aggregate(F.zip_with("ya", "yc", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v)
         neg = neg.withColumn("_d2", nd2).filter(F.col("c") != F.col("a"))
         rep = (F.lit(2.0 * b) / ((F.lit(0.001) + F.col("_d2")) * (F.lit(1.0) + F.lit(a) * F.pow("_d2", b))))
-        push = neg.select(F.col("a").alias("id"), F.zip_with("ya", "yc", lambda p, q: F.col("w") * _clip(rep * (p - q)))
-                          .alias("g"))
-        # forces weighted by the edge add up; a step is at most 4 in each coordinate
-        grads = pull.union(push).groupBy("id").agg(Summarizer.sum(array_to_vector("g")).alias("m"))
+        push = neg.select(F.col("a").alias("id"), F.zip_with("ya", "yc", lambda p, q: _clip(rep * (p - q))).alias("g"), "w")
+        # an edge's pull and its pushes count by the edge's weight
+        grads = pull.union(push).groupBy("id").agg(
+            Summarizer.mean(array_to_vector("g"), F.col("w")).alias("m"))
         upd = y.join(grads.select("id", vector_to_array("m").alias("m")), "id", "left")
         y = upd.select("id", F.when(F.col("m").isNull(), F.col("y")).otherwise(
-            F.zip_with("y", "m", lambda p, q: F.round(p + F.lit(alpha) * _clip(q), 6))).alias("y"))
+            F.zip_with("y", "m", lambda p, q: F.round(p + F.lit(alpha) * q, 6))).alias("y"))
         # the next epoch reads y four times: cut every epoch so no epoch is recomputed
         y = _cut(y)
     return y.withColumnRenamed("y", "embedding")
