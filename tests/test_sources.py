@@ -27,7 +27,7 @@ def _w(path, text):
 
 def _tree():
     root = tempfile.mkdtemp(prefix="ms-src-")
-    base = f"{root}/M1/M1-PISCO-Profiles"
+    base = f"{root}/M1/M1-Profiles"
     eco = lambda p: f"{base}/{p}/{p}_Results/EcoTaxa"
     _w(f"{eco('p1')}/p1_crops_metadata.csv", "full_path,top1,esd\n/x/p1/Crops/a.png,non_living,1.5\n"
                                              "/x/p1/Crops/b.png,copepod,2.5\n/x/p1/Crops/a.png,dup,9\n")
@@ -45,7 +45,7 @@ def test_discovery_and_choice(spark):
     root = _tree()
     lst = LS.file_listing(spark, root)
     bases = [r.base for r in LS.resolve_profile_bases(lst, root).collect()]
-    assert bases == [f"{root}/M1/M1-PISCO-Profiles"]
+    assert bases == [f"{root}/M1/M1-Profiles"]
     profs = sorted(r.profile for r in LS.list_profiles(lst, LS.resolve_profile_bases(lst, root)).collect())
     assert profs == ["p1", "p2", "p3", "p4"]
     auto = {r.profile: os.path.basename(r.path) for r in
@@ -61,8 +61,8 @@ def test_discovery_and_choice(spark):
     with pytest.raises(ValueError):
         LS.pick_metadata_file(lst, LS.list_profiles(lst, LS.resolve_profile_bases(lst, root)), "bogus")
     # root already a profiles base
-    assert [r.base for r in LS.resolve_profile_bases(lst, f"{root}/M1/M1-PISCO-Profiles").collect()] == \
-        [f"{root}/M1/M1-PISCO-Profiles"]
+    assert [r.base for r in LS.resolve_profile_bases(lst, f"{root}/M1/M1-Profiles").collect()] == \
+        [f"{root}/M1/M1-Profiles"]
     assert LS.resolve_profile_bases(lst, f"{root}/missing").count() == 0
 
 
