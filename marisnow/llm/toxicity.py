@@ -7,13 +7,16 @@ machine by the product construction.  It runs over each clause and puts the
 weight of every insult or threat it matches under the tag of the context it
 stands in; a document's score is a logistic function of these clause sums.
 
-The insult lexemes (words and word beginnings) with their weights and the
-logistic weights are learned from labelled rows; nothing but the text is an
-input of a score."""
+The insult lexemes with their weights and the logistic weights are learned
+from labelled rows; nothing but the text is an input of a score.  A lexeme is
+a word, or a family: a word beginning of which a text holds several different
+derived words.  One derived word alone is no insult, as the beginning occurs
+in harmless texts too."""
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,7 +33,9 @@ MAX_CHARS = 40_000_000
 MIN_DF, MIN_LOG_ODDS, MAX_WEIGHT = 3, 3.0, 6.0
 #: how far (in log probability) a lexeme's evidence has to lie beyond what the best of all tried would show by chance
 MARGIN = 3.0
-PREFIXES = (4, 5, 6)
+#: lengths of a family's common beginning, and how many derived words make one of it
+PREFIXES = (4, 5, 6, 7, 8)
+FAMILY = 3
 
 # Fixed word lists of the grammar (English, German, French, Spanish).
 THREATS = "kill hurt destroy beat burn shoot stab töten umbringen verletzen tuer frapper détruire matar golpear destruir"
@@ -101,15 +106,17 @@ PRIOR = np.array([1.0, 0.3, 0.3, 0.5, 0.5, 0.2])
 
 
 class _Lexicon(dict):
-    """word -> (symbol, weight), found once per word and task."""
+    """word -> (symbol, weight, families it belongs to), found once per word
+    and task."""
 
     def __init__(self, lexemes: dict[str, float]):
         super().__init__()
         self.lexemes = lexemes
 
     def __missing__(self, word):
-        got = max([self.lexemes.get(word, 0.0), *(self.lexemes.get(word[:k] + "*", 0.0) for k in PREFIXES if len(word) > k)])
-        value = (INSULT, got) if got else (FIXED.get(word, OTHER), 0.0)
+        got = self.lexemes.get(word, 0.0)
+        stems = tuple(s for s in _stems(word) if s in self.lexemes)
+        value = (INSULT if got else FIXED.get(word, OTHER), got, stems)
         if len(self) > 300_000:
             self.clear()
         self[word] = value
@@ -129,7 +136,10 @@ class ToxicityModel:
         lexicon, nxt, tag = opened
         low = text.lower()
         found = [0.0] * N_FEATURES
-        if not any(lexicon[w][0] in (INSULT, THREAT) for w in set(WORD.findall(low))):
+        words = set(WORD.findall(low))
+        derived = Counter(stem for w in words for stem in lexicon[w][2])
+        families = {stem: lexicon.lexemes[stem] for stem, n in derived.items() if n >= FAMILY}
+        if not families and not any(lexicon[w][0] in (INSULT, THREAT) for w in words):
             return found
         state, matched = 0, False
         for part in PART.findall(low):
@@ -137,7 +147,10 @@ class ToxicityModel:
                 found[5] += matched
                 state, matched = 0, False
                 continue
-            symbol, weight = lexicon[part]
+            symbol, weight, stems = lexicon[part]
+            for stem in stems:
+                if stem in families:
+                    symbol, weight = INSULT, max(weight, families[stem])
             bits = tag[state][symbol]
             state = nxt[state][symbol]
             if symbol == INSULT:
@@ -154,8 +167,14 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights + self.bias, -30, 30)))
 
 
-def _lexeme_names(word: str) -> list[str]:
-    return [*([word] if len(word) >= 3 else []), *(word[:k] + "*" for k in PREFIXES if len(word) > k)]
+def _stems(word: str) -> list[str]:
+    return [word[:k] + "*" for k in PREFIXES if len(word) > k]
+
+
+def _lexeme_names(words: set[str]) -> list[str]:
+    """Lexemes that a text with these words may hold."""
+    stems = Counter(s for w in words for s in _stems(w))
+    return [*(w for w in words if len(w) >= 3), *(s for s, n in stems.items() if n >= FAMILY)]
 
 
 def fit_texts(texts: list[str], toxic: list[int]) -> ToxicityModel:
@@ -167,14 +186,17 @@ def fit_texts(texts: list[str], toxic: list[int]) -> ToxicityModel:
         return ToxicityModel(bias=30.0 if rate >= 0.5 else -30.0)
     words = [WORD.findall(t.lower()) for t in texts]
 
+    def key_of(name):  # odd for families
+        return hash(name) & -2 | name.endswith("*")
+
     def names_of(ws):
-        return np.unique(np.fromiter((hash(n) for w in set(ws) for n in _lexeme_names(w)), dtype=np.int64))
+        return np.unique(np.fromiter((key_of(n) for n in _lexeme_names(set(ws))), dtype=np.int64))
 
     seen = {0: [], 1: []}
     for ws, label in zip(words, toxic):
         seen[label].append(names_of(ws))
     key, df = np.unique(np.concatenate(seen[1]), return_counts=True)
-    tried = len(key)
+    tried = len(key) - int((key & 1).sum()), int((key & 1).sum())  # words, families
     key, df = key[df >= MIN_DF], df[df >= MIN_DF]
     other, count = np.unique(np.concatenate(seen[0]), return_counts=True)
     at = np.minimum(np.searchsorted(other, key), max(len(other) - 1, 0))
@@ -185,13 +207,26 @@ def fit_texts(texts: list[str], toxic: list[int]) -> ToxicityModel:
     places: dict[str, set] = {}
     for ws, label in zip(words, toxic):
         if label:
+            good = {n for n in _lexeme_names(set(ws)) if key_of(n) in strong}
+            derived: dict[str, set] = {}
             for i, w in enumerate(ws):
-                for n in _lexeme_names(w):
-                    if hash(n) in strong:
-                        places.setdefault(n, set()).add((ws[i - 1] if i else "", w, ws[i + 1] if i + 1 < len(ws) else ""))
+                if w in good:
+                    places.setdefault(w, set()).add((ws[i - 1] if i else "", w, ws[i + 1] if i + 1 < len(ws) else ""))
+                for stem in _stems(w):
+                    if stem in good:
+                        derived.setdefault(stem, set()).add(w)
+            for stem, family in derived.items():
+                places.setdefault(stem, set()).add(frozenset(family))
     # places, not documents, are the evidence: copies of one text count once
-    lexemes = {n: strong[hash(n)][0] for n, p in places.items()
-               if _evidence(min(len(p), strong[hash(n)][1]), strong[hash(n)][2], y.mean()) >= np.log(tried) + MARGIN}
+    lexemes = {}
+    for n, p in places.items():
+        weight, pos, neg = strong[key_of(n)]
+        if _evidence(min(len(p), pos), neg, y.mean()) >= np.log(max(tried[n.endswith("*")], 1)) + MARGIN:
+            lexemes[n] = weight
+    # of nested families the longer one stays if it is as strong
+    for n in [n for n in lexemes if n.endswith("*")]:
+        if any(m != n and m.endswith("*") and m.startswith(n[:-1]) and lexemes[m] >= lexemes[n] for m in lexemes):
+            del lexemes[n]
     model = ToxicityModel(lexemes)
     opened = model.opened()
     x = np.log1p(np.array([model.features(t, opened) for t in texts], dtype=float))

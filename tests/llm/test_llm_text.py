@@ -218,6 +218,27 @@ def test_segmentations_are_lossless_reproducible_and_distributed_right(spark):
 
 # ---------------------------------------------------------------- toxicity
 
+def test_toxicity_families():
+    """Several derived words of a stem are an insult, one alone is not."""
+    rng = random.Random(3)
+    plain = ["lorem", "ipsum", "dolor", "amet", "sic", "elit", "sed"]
+    ends = [a + b for a in "bdfgklmnprst" for b in ("a", "e", "i", "o", "u", "an", "em")]
+    texts, labels = [], []
+    for i in range(240):
+        words = [rng.choice(plain) for _ in range(30)]
+        label = int(i % 6 == 0)
+        words += ["kravum" + e for e in rng.sample(ends, 4 if label else int(i % 5 == 0))]
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+        labels.append(label)
+    model = toxicity.fit_texts(texts, labels)
+    assert "kravum*" in model.lexemes
+    opened = model.opened()
+    p = model.probability([model.features(t, opened) for t in ("lorem kravumzza kravumzze ipsum kravumzzo kravumzzi",
+                                                               "lorem ipsum kravumzza sed", "kravumzza " * 50, "")])
+    assert (p >= 0.5).tolist() == [True, False, False, False]
+
+
 def test_toxicity_learns_lexemes_and_contexts(spark):
     rng = random.Random(4)
     plain = ["tree", "river", "stone", "cloud", "field", "house", "the", "of", "and"]
