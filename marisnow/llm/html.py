@@ -30,6 +30,7 @@ TOKEN = re.compile(
     r"|<[!?/][^>]*>", re.S | re.I)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 LETTERS = re.compile(r"[a-z]+")
+CLOSING = re.compile(r"</([a-z][a-z0-9:-]*)", re.I)
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
@@ -62,7 +63,7 @@ def _is_furniture(tag: str, attrs: str, in_article: bool) -> bool:
 def lines_of(page: str) -> list[tuple[str, bool, bool]]:
     """(text, furniture, in article) of the page's blocks in page order."""
     lines: list[tuple[str, bool, bool]] = []
-    low = page.lower()
+    last = {m[1].lower(): m.start() for m in CLOSING.finditer(page)}  # where each tag closes for the last time
     stack: list[tuple[str, bool, bool]] = []  # tag, furniture from here on, article from here on
     buffer: list[str] = []
 
@@ -99,7 +100,7 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
         flush()
         if tag in VOID or attrs.endswith("/"):
             continue
-        if (tag in NESTED or marked) and low.find("</" + tag, at) >= 0:
+        if (tag in NESTED or marked) and last.get(tag, -1) >= at:
             own = tag in ("article", "main") and not marked
             stack.append((tag, furniture or marked, article or own))
     if at < len(page):
