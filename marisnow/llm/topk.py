@@ -166,12 +166,17 @@ FOUND = "query_id long, vec_id long, score long"
 
 def _numbered(blocks: DataFrame, name: str, each: int) -> tuple[DataFrame, int]:
     """Blocks with the number of their group of ``each`` in block order, and
-    how many groups there are.  The window runs over block numbers only, one
-    for thousands of vectors."""
-    place = F.row_number().over(Window.orderBy("number")) - 1
-    group = blocks.select(F.col("block").alias("number")).withColumn(name, F.floor(place / each))
+    how many groups there are.  A block's number holds its part (the task
+    that packed it) and its place there, so only the parts' totals, one row a
+    part, are summed up."""
+    part = F.shiftright("block", 32)
+    totals = blocks.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("total"))
+    before = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offset = totals.select("part", F.coalesce(before, F.lit(0)).alias("offset"))
+    place = F.col("offset") + F.col("block").bitwiseAND(F.lit((1 << 32) - 1))
     count = -(-blocks.count() // each)
-    return blocks.join(group, F.col("block") == F.col("number")).drop("number"), count
+    out = blocks.withColumn("part", part).join(F.broadcast(offset), "part").withColumn(name, F.floor(place / each))
+    return out.drop("part", "offset"), count
 
 
 def _met(blocks: DataFrame, queries: DataFrame, groups: tuple[int, int], n_queries: int, basis: np.ndarray, dims: int,
