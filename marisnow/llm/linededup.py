@@ -174,7 +174,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     shard = F.pmod(F.col("h1"), F.lit(shards)).cast("int")
     index = (shared.withColumn("shard", shard).groupBy("shard").applyInPandas(_build, "shard int, packed binary")
              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    lines = rows.select(shard.alias("shard"), F.pmod(F.xxhash64("doc", "row"), F.lit(salts)).cast("int").alias("salt"),
+    lines = rows.select(shard.alias("shard"), F.pmod(F.xxhash64("doc", "row", "line"), F.lit(salts)).cast("int").alias("salt"),
                         F.lit(None).cast("binary").alias("packed"), "h1", "h2", "doc", "row", "line")
     both = index.unionByName(lines, allowMissingColumns=True)
     hit = (both.repartition(n, "shard", "salt")
