@@ -4,35 +4,26 @@ as relational work.
 1. core distance = distance of the ``min_samples``-th neighbour, the point
    itself counting as the first (blocked exact kNN);
 2. minimum spanning tree of the mutual-reachability graph (Borůvka rounds);
-3. the MST edges ordered by (w, a, b) get a global rank; for L rank cut-offs
-   one connected-components run over nodes (level, point) gives every
-   component at every level (``levels="all"`` = every rank = exact);
-4. component sizes and parent links are aggregates and joins; only
-   components of at least ``min_cluster_size`` points survive, so the
-   cluster tree is a small summary (<= L * N / min_cluster_size rows) on
-   which stability, EOM / leaf selection and the epsilon climb run;
-5. point labels come back by joining the selected (level, component) pairs
-   to the per-level components.
-
-Labels are numbered by the smallest point of each selected cluster (in the
-dense index, i.e. id order)."""
+3. the MST edges, ranked by (w, a, b), become the single-linkage dendrogram by
+   tree contraction (``dendrogram``): log2 N rounds, whatever its depth;
+4. edges with ``min_cluster_size`` points below them form the cluster tree;
+   stability, EOM / leaf selection and the epsilon climb are aggregates and
+   pointer jumps on it (EOM goes up the cluster tree level by level);
+5. every edge points at the nearest selected cluster above it, and points
+   take the label of their lowest edge.
+
+Every rank is a level of the hierarchy, and nothing of it passes through the
+driver.  Labels are numbered by the smallest point of each selected cluster
+(in the dense index, i.e. id order)."""
 
 from __future__ import annotations
 
-import logging
-from dataclasses import dataclass, field
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marisnow.operators.graph import _cut, connected_components, global_rank, mst_edges
+from marisnow.operators.graph import _cut, global_rank, merge_roots, mst_edges
 from marisnow.operators.knn import knn
 
-log = logging.getLogger(__name__)
-
-LEVEL_SHIFT = 1 << 40  # node id = level * 2^40 + point id
-
-
 def core_distances(points: DataFrame, id_col: str, vec_col: str, min_samples: int,
                    metric: str = "euclidean", block_rows: int = 2048) -> DataFrame:
     """(id, core): distance to the min_samples-th neighbour, self included."""
@@ -51,179 +42,198 @@ def mutual_reachability(points: DataFrame, id_col: str, vec_col: str, min_sample
     return e.join(ca, "a").join(cb, "b").select("a", "b", "d", F.greatest("ca", "cb", "d").alias("w"))
 
 
-@dataclass
-class _Cluster:
-    cid: int
-    birth_lambda: float
-    birth_level: int
-    birth_comp: int
-    parent: int | None
-    stability: float = 0.0
-    children: list = field(default_factory=list)
-
-
-def _lam(w: float) -> float:
-    return 1.0 / max(w, 1e-300) if w > 0 else 1e300
-
-
-def condensed_tree(big: list[tuple[int, int, int, int | None]], level_lambda: dict[int, float],
-                   top_level: int) -> dict[int, _Cluster]:
-    """Cluster tree from the big-component table.
-
-    ``big``: (level, comp, size, parent comp at level+1 or None at the top).
-    ``level_lambda[l]``: lambda at which level l splits into level l-1."""
-    by_level: dict[int, list] = {}
-    kids: dict[tuple[int, int], list] = {}
-    size: dict[tuple[int, int], int] = {}
-    for lvl, comp, sz, parent in big:
-        by_level.setdefault(lvl, []).append(comp)
-        size[(lvl, comp)] = sz
-        if parent is not None:
-            kids.setdefault((lvl + 1, parent), []).append(comp)
-    clusters: dict[int, _Cluster] = {}
-    owner: dict[tuple[int, int], int] = {}
-    tops = sorted(by_level.get(top_level, []))
-    if not tops:
-        return clusters
-    root = _Cluster(0, 0.0, top_level, -1, None)
-    clusters[0] = root
-    if len(tops) == 1:
-        root.birth_comp = tops[0]
-        owner[(top_level, tops[0])] = 0
-    else:
-        for c in tops:  # a forest: each top component is a child of a virtual root
-            cl = _Cluster(len(clusters), 0.0, top_level, c, 0)
-            clusters[cl.cid] = cl
-            root.children.append(cl.cid)
-            owner[(top_level, c)] = cl.cid
-    for lvl in range(top_level, 0, -1):
-        lam = level_lambda[lvl]
-        for comp in sorted(by_level.get(lvl, [])):
-            x = clusters[owner[(lvl, comp)]]
-            ch = sorted(kids.get((lvl, comp), []))
-            sz = size[(lvl, comp)]
-            if len(ch) == 1:
-                owner[(lvl - 1, ch[0])] = x.cid
-                x.stability += (sz - size[(lvl - 1, ch[0])]) * (lam - x.birth_lambda)
-            else:
-                x.stability += sz * (lam - x.birth_lambda)
-                if len(ch) >= 2:
-                    for c in ch:
-                        cl = _Cluster(len(clusters), lam, lvl - 1, c, x.cid)
-                        clusters[cl.cid] = cl
-                        x.children.append(cl.cid)
-                        owner[(lvl - 1, c)] = cl.cid
-    return clusters
-
-
-def select_clusters(clusters: dict[int, _Cluster], method: str = "eom",
-                    epsilon: float = 0.0) -> list[int]:
-    """Selected cluster ids (root never selected)."""
-    if not clusters:
-        return []
-    nonroot = [c for c in clusters if c != 0]
+# ---------------------------------------------------------- the hierarchy ----
+
+def _jump(ptr: DataFrame) -> DataFrame:
+    """``(id, to)`` for pointers ``(id, p)`` whose stops point at themselves:
+    the stop that each id reaches; a round follows four pointers at once, so
+    log4(depth) rounds."""
+    cur = _cut(ptr.select("id", F.col("p").alias("to")))
+    while True:
+        def twice(df):
+            return df.join(df.select(F.col("id").alias("to"), F.col("to").alias("far")), "to").select("id", F.col("far").alias("to"))
+        before = cur.select("id", F.col("to").alias("was"))
+        step = _cut(twice(twice(cur)).join(before, "id").select("id", "to", (F.col("to") != F.col("was")).alias("moved")))
+        if step.filter("moved").isEmpty():
+            return step.select("id", "to")
+        cur = step.select("id", "to")
+
+
+def _running(df: DataFrame, order: list[str], value: str) -> DataFrame:
+    """``df`` plus ``pos`` (1-based) and ``cum`` (sum of ``value`` so far) in
+    a total order: range partitions, each with the totals of those before."""
+    tagged = _cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_pid", F.spark_partition_id()))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offs = (tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"))
+            .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"),
+                    F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_s")))
+    w = Window.partitionBy("_pid").orderBy(*order)
+    return (tagged.join(F.broadcast(offs), "_pid")
+            .withColumn("pos", F.row_number().over(w) + F.col("_n"))
+            .withColumn("cum", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_s"))
+            .drop("_pid", "_n", "_s"))
+
+
+def dendrogram(ranked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Single-linkage dendrogram of a spanning tree ``(a, b, w, rank)``:
+    ``(rank, w, size, parent)`` per edge - the points below it and the rank of
+    the edge above, null at the root - and ``(id, edge)``, each point's lowest
+    edge.
+
+    Each round every vertex's lowest edge is contracted, which leaves at most
+    half the vertices.  A contracted edge belongs to the chain of the first
+    (round, vertex) around it whose lowest outgoing edge ranks above it; that
+    edge is the parent of the chain's top, and inside a chain the parent is the
+    next edge by rank."""
+    edges = _cut(ranked.select("rank", "a", "b"))
+    pending = None  # contracted edges without a chain: (rank, v)
+    placed: list[DataFrame] = []
+    leaves = None
+    while True:
+        low = _cut(edges.select(F.explode(F.array("a", "b")).alias("v"), "rank").groupBy("v").agg(F.min("rank").alias("top")))
+        if pending is None:
+            leaves = low.select(F.col("v").alias("id"), F.col("top").alias("edge"))
+        else:
+            here = pending.join(low, "v", "left").withColumn("in", F.coalesce(F.col("rank") < F.col("top"), F.lit(True)))
+            here = _cut(here)
+            placed.append(here.filter("in").select("rank", F.lit(len(placed)).alias("level"), "v", "top"))
+            pending = here.filter("not in").select("rank", "v")
+        if low.isEmpty():
+            break
+        ends = edges.select("rank", F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")),
+                                                      F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("e"))
+        ptr = (ends.select(F.col("rank").alias("top"), F.col("e.x").alias("v"), F.col("e.y").alias("p"))
+               .join(low, ["v", "top"]).select(F.col("v").alias("comp"), "p"))
+        roots = merge_roots(_cut(ptr))
+        to = lambda c: roots.select(F.col("c").alias(c), F.col("root").alias(c + "r"))
+        chosen = low.select(F.col("top").alias("rank"), F.lit(True).alias("gone")).distinct()
+        moved = _cut(edges.join(chosen, "rank", "left").join(to("a"), "a").join(to("b"), "b")
+                     .select("rank", F.col("ar").alias("a"), F.col("br").alias("b"), F.col("gone").isNotNull().alias("gone")))
+        new = moved.filter("gone").select("rank", F.col("a").alias("v"))
+        if pending is not None:
+            new = new.unionByName(pending.join(to("v"), "v").select("rank", F.col("vr").alias("v")))
+        pending = _cut(new)
+        edges = moved.filter("not gone").select("rank", "a", "b")
+    # points that enter the chains, from the lowest level up
+    points = leaves.groupBy(F.col("edge").alias("rank")).agg(F.count(F.lit(1)).alias("n"))
+    chains = []
+    for part in placed:
+        own = points.groupBy("rank").agg(F.sum("n").alias("n"))
+        part = _cut(part.join(own, "rank", "left").withColumn("own", F.coalesce("n", F.lit(0))).drop("n"))
+        chains.append(part)
+        total = part.groupBy("v").agg(F.first("top").alias("rank"), F.sum("own").alias("n"))
+        points = _cut(points.unionByName(total.filter("rank is not null").select("rank", "n")))
+    every = chains[0]
+    for part in chains[1:]:
+        every = every.unionByName(part)
+    run = _cut(_running(every, ["level", "v", "rank"], "own"))
+    base = run.groupBy("level", "v").agg(F.min(F.col("cum") - F.col("own")).alias("base"))
+    above = run.select((F.col("pos") - 1).alias("pos"), F.col("rank").alias("up"), F.col("level").alias("l2"), F.col("v").alias("v2"))
+    same = (F.col("level") == F.col("l2")) & (F.col("v") == F.col("v2"))
+    out = (run.join(above, "pos", "left").join(base, ["level", "v"])
+           .select("rank", (F.col("cum") - F.col("base")).alias("size"), F.when(same, F.col("up")).otherwise(F.col("top")).alias("parent")))
+    return _cut(out.join(ranked.select("rank", "w"), "rank")), leaves
+
+
+# ------------------------------------------------------- the cluster tree ----
+
+def _lam(w: Column) -> Column:
+    return F.when(w > 0, 1.0 / F.greatest(w, F.lit(1e-300))).otherwise(F.lit(1e300))
+
+
+def cluster_tree(tree: DataFrame, min_cluster_size: int) -> DataFrame:
+    """``(c, up, birth, stability)`` of the condensed tree: ``c`` is the rank
+    of a cluster's top edge, ``up`` its parent cluster (null: the root)."""
+    big = _cut(tree.filter(F.col("size") >= min_cluster_size))
+    kids = big.filter("parent is not null").groupBy(F.col("parent").alias("rank")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("below"))
+    big = _cut(big.join(kids, "rank", "left").withColumn("split", F.coalesce(F.col("n") == 2, F.lit(False))))
+    over = big.select(F.col("rank").alias("parent"), F.col("split").alias("born"), F.col("w").alias("w_up"))
+    big = _cut(big.join(over, "parent", "left").withColumn("head", F.coalesce("born", F.lit(True))))
+    at = _jump(big.select(F.col("rank").alias("id"), F.when(F.col("head"), F.col("rank")).otherwise(F.col("parent")).alias("p")))
+    at = at.select(F.col("id").alias("rank"), F.col("to").alias("c"))
+    heads = big.filter("head").select(F.col("rank").alias("c"), "parent",
+                                      F.when(F.col("parent").isNull(), 0.0).otherwise(_lam(F.col("w_up"))).alias("birth"))
+    left = F.col("size") - F.when(F.col("n") == 1, F.col("below")).otherwise(0)
+    mass = (big.join(at, "rank").join(heads.select("c", "birth"), "c")
+            .groupBy("c").agg(F.sum(left * (_lam(F.col("w")) - F.col("birth"))).alias("stability")))
+    up = at.select(F.col("rank").alias("parent"), F.col("c").alias("up"))
+    return _cut(heads.join(mass, "c").join(up, "parent", "left").select("c", "up", "birth", "stability"))
+
+
+def _nearest(tree: DataFrame, flagged: DataFrame) -> DataFrame:
+    """``(c, above)``: each non-root cluster's nearest proper ancestor that is
+    flagged, or the root."""
+    stop = flagged.select("c", F.lit(True).alias("stop"))
+    ptr = tree.join(stop, "c", "left").select(
+        F.col("c").alias("id"), F.when(F.col("stop") | F.col("up").isNull(), F.col("c")).otherwise(F.col("up")).alias("p"))
+    reach = _jump(ptr).select(F.col("id").alias("up"), F.col("to").alias("above"))
+    return tree.filter("up is not null").join(reach, "up").select("c", "above")
+
+
+def _topmost(tree: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Flagged clusters without a flagged proper ancestor."""
+    root = tree.filter("up is null").select(F.col("c").alias("above"))
+    return flagged.join(_nearest(tree, flagged).join(root, "above", "left_semi"), "c", "left_semi").select("c")
+
+
+def select_clusters(tree: DataFrame, method: str = "eom", epsilon: float = 0.0) -> DataFrame:
+    """``(c)``: the selected clusters (never the root)."""
+    inner = tree.filter("up is not null")
+    parents = inner.select(F.col("up").alias("c")).distinct()
+    leaf = inner.join(parents, "c", "left_anti")
     if method == "leaf":
-        selected = {c for c in nonroot if not clusters[c].children}
+        chosen = _cut(leaf.select("c"))
     elif method == "eom":
-        selected: set[int] = set()
-        subtree: dict[int, float] = {}
-        for cid in sorted(nonroot, reverse=True):  # children always have larger ids
-            x = clusters[cid]
-            child_sum = sum(subtree[c] for c in x.children)
-            if not x.children or x.stability >= child_sum:
-                subtree[cid] = x.stability
-                stack = list(x.children)
-                while stack:
-                    s = stack.pop()
-                    selected.discard(s)
-                    stack.extend(clusters[s].children)
-                selected.add(cid)
-            else:
-                subtree[cid] = child_sum
+        ready = _cut(leaf.select("c", "up", F.col("stability").alias("value"), F.lit(True).alias("wins")))
+        done, waiting = [ready], ready
+        while not ready.isEmpty():  # up the tree: clusters of which both children are done
+            pair = waiting.groupBy(F.col("up").alias("c")).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum"))
+            full = pair.filter("n = 2")
+            ready = _cut(inner.join(full, "c").select("c", "up", F.greatest("stability", "sum").alias("value"),
+                                                      (F.col("stability") >= F.col("sum")).alias("wins")))
+            waiting = _cut(waiting.join(full.select(F.col("c").alias("up")), "up", "left_anti").unionByName(ready))
+            done.append(ready)
+        every = done[0]
+        for d in done[1:]:
+            every = every.unionByName(d)
+        chosen = _cut(_topmost(tree, every.filter("wins").select("c")))
     else:
         raise ValueError("cluster_selection_method must be 'eom' or 'leaf'")
     if epsilon and epsilon > 0:
-        lifted = set()
-        for cid in selected:
-            x = clusters[cid]
-            while (x.birth_lambda > 0 and 1.0 / x.birth_lambda < epsilon and x.parent not in (None, 0)):
-                x = clusters[x.parent]
-            lifted.add(x.cid)
-        # drop any selected cluster that now has a selected ancestor
-        def has_sel_ancestor(c):
-            p = clusters[c].parent
-            while p not in (None, 0):
-                if p in lifted:
-                    return True
-                p = clusters[p].parent
-            return False
-        selected = {c for c in lifted if not has_sel_ancestor(c)}
-    return sorted(selected)
+        root = tree.filter("up is null").select(F.col("c").alias("up"), F.lit(True).alias("at_root"))
+        climb = F.col("at_root").isNull() & (F.col("birth") > 0) & (1.0 / F.col("birth") < epsilon)
+        ptr = inner.join(root, "up", "left").select(F.col("c").alias("id"), F.when(climb, F.col("up")).otherwise(F.col("c")).alias("p"))
+        lifted = _jump(ptr).join(chosen.select(F.col("c").alias("id")), "id", "left_semi").select(F.col("to").alias("c")).distinct()
+        chosen = _cut(_topmost(tree, _cut(lifted)))
+    return chosen
 
 
 def hdbscan(points: DataFrame, id_col: str, vec_col: str, min_cluster_size: int = 100,
             min_samples: int | None = None, cluster_selection_epsilon: float = 0.0,
-            cluster_selection_method: str = "eom", levels: int | str = 64,
-            metric: str = "euclidean", block_rows: int = 2048) -> DataFrame:
+            cluster_selection_method: str = "eom", metric: str = "euclidean", block_rows: int = 2048) -> DataFrame:
     """(id, cluster_raw): density clusters, -1 = noise."""
     if min_cluster_size < 2:
         raise ValueError("min_cluster_size must be >= 2")
-    spark = points.sparkSession
     ms = min_samples or min_cluster_size
-    # dense point index 0..N-1 (any id domain, e.g. 64-bit hashes): the level
-    # encoding below needs ids < 2^40; original ids are joined back at the end
+    # dense point index 0..N-1 in id order (any id domain); original ids are joined back at the end
     raw = points.select(F.col(id_col).cast("long").alias("orig"), F.col(vec_col).alias("v"))
     dense = _cut(global_rank(raw, ["orig"], "id").withColumn("id", F.col("id") - 1))
     pts = dense.select("id", "v")
     core = core_distances(pts, "id", "v", ms, metric, block_rows)
     withcore = _cut(pts.join(core, "id"))
     tree = _cut(mst_edges(withcore, "id", "v", "core", metric, block_rows))
-    n_edges = tree.count()
-    ids = pts.select("id")
-    back = dense.select("id", "orig")
-
-    def _orig(df: DataFrame) -> DataFrame:
-        return df.join(back, "id").select(F.col("orig").alias("id"), "cluster_raw")
-    if n_edges == 0:
-        return _orig(ids.withColumn("cluster_raw", F.lit(-1)))
+    ids = dense.select("id", "orig")
+    if tree.isEmpty():
+        return ids.select(F.col("orig").alias("id"), F.lit(-1).alias("cluster_raw"))
     ranked = _cut(global_rank(tree, ["w", "a", "b"]))
-    L = n_edges if levels == "all" else max(1, min(int(levels), n_edges))
-    # level l holds every edge of rank <= floor(l * E / L); l = 0..L
-    lmin = F.ceil(F.col("rank") * F.lit(L) / F.lit(n_edges)).cast("long")
-    lvl_edges = ranked.select("a", "b", F.explode(F.sequence(lmin, F.lit(L).cast("long"))).alias("lvl"))
-    shift = F.lit(LEVEL_SHIFT)
-    cc_in = lvl_edges.select((F.col("lvl") * shift + F.col("a")).alias("src"),
-                             (F.col("lvl") * shift + F.col("b")).alias("dst"))
-    comps = connected_components(cc_in)
-    comps = _cut(comps.select((F.col("id") / shift).cast("long").alias("lvl"),
-                              (F.col("id") % shift).alias("id"),
-                              (F.col("component") % shift).alias("comp")))
-    sizes = comps.groupBy("lvl", "comp").agg(F.count(F.lit(1)).alias("size"))
-    big = sizes.filter(F.col("size") >= min_cluster_size)
-    up = comps.select((F.col("lvl") - 1).alias("lvl"), F.col("id").alias("comp"), F.col("comp").alias("parent"))
-    big = big.join(up, ["lvl", "comp"], "left")
-    big_rows = [(int(r.lvl), int(r.comp), int(r.size), None if r.parent is None else int(r.parent))
-                for r in big.collect()]  # small: <= (L + 1) * N / min_cluster_size rows
-    cut_ranks = {lv: (lv * n_edges) // L for lv in range(1, L + 1)}
-    wrows = ranked.filter(F.col("rank").isin(sorted(set(cut_ranks.values())))).select("rank", "w").collect()
-    w_at = {int(r.rank): float(r.w) for r in wrows}
-    level_lambda = {lv: _lam(w_at[r]) for lv, r in cut_ranks.items() if r in w_at}
-    for lv in range(1, L + 1):
-        level_lambda.setdefault(lv, level_lambda.get(lv + 1, 0.0))
-    clusters = condensed_tree(big_rows, level_lambda, L)
-    chosen = select_clusters(clusters, cluster_selection_method, cluster_selection_epsilon)
-    if not chosen:
-        return _orig(ids.withColumn("cluster_raw", F.lit(-1)))
-    sel = sorted(((clusters[c].birth_level, clusters[c].birth_comp) for c in chosen), key=lambda t: t[1])
-    sel_df = spark.createDataFrame([(lv, cp, i) for i, (lv, cp) in enumerate(sel)],
-                                   "lvl long, comp long, cluster_raw int")
-    member = comps.join(F.broadcast(sel_df), ["lvl", "comp"]).select("id", "cluster_raw")
-    # a point belongs to at most one selected cluster (selected clusters are disjoint)
-    member = member.groupBy("id").agg(F.min("cluster_raw").alias("cluster_raw"))
-    return _orig(ids.join(member, "id", "left")
-                 .select("id", F.coalesce("cluster_raw", F.lit(-1)).alias("cluster_raw")))
-
-
-def level_count_hint(n: int) -> int:
-    """Default number of levels: 64, or every rank for tiny inputs."""
-    return n if n <= 256 else 64
+    linkage, leaves = dendrogram(ranked)
+    chosen = select_clusters(cluster_tree(linkage, min_cluster_size), cluster_selection_method, cluster_selection_epsilon)
+    stop = chosen.select(F.col("c").alias("rank"), F.lit(True).alias("stop"))
+    ptr = linkage.join(stop, "rank", "left").select(
+        F.col("rank").alias("id"), F.when(F.col("stop") | F.col("parent").isNull(), F.col("rank")).otherwise(F.col("parent")).alias("p"))
+    reach = _jump(ptr).select(F.col("id").alias("edge"), F.col("to").alias("c"))
+    member = _cut(leaves.join(reach, "edge").join(chosen, "c", "left_semi").select("id", "c"))
+    number = global_rank(member.groupBy("c").agg(F.min("id").alias("least")), ["least"], "n")
+    label = member.join(number.select("c", (F.col("n") - 1).cast("int").alias("cluster_raw")), "c").select("id", "cluster_raw")
+    return ids.join(label, "id", "left").select(F.col("orig").alias("id"), F.coalesce("cluster_raw", F.lit(-1)).alias("cluster_raw"))

@@ -50,7 +50,6 @@ class RunConfig:
     keep_noise_as_noise: bool = False
     fallback_on_all_noise: bool = True
     non_living_classes: tuple = field(default_factory=lambda: tuple(DEFAULT_NON_LIVING_CLASSES))
-    hdbscan_levels: int | str = 64
     max_zip_mb: float = 500.0
 
     SAVED_KEYS = (
@@ -74,8 +73,7 @@ def cluster_features(features: DataFrame, id_col: str, vec_col: str, cfg: RunCon
     red = pca_reduce(features.select(F.col(id_col).alias("id"), F.col(vec_col).alias("_f")), "_f",
                      cfg.umap_dims, "embedding").select("id", "embedding")
     labels = hdbscan(red, "id", "embedding", cfg.min_cluster_size, cfg.hdbscan_min_samples,
-                     cfg.hdbscan_cluster_selection_epsilon, cfg.hdbscan_cluster_selection_method,
-                     cfg.hdbscan_levels)
+                     cfg.hdbscan_cluster_selection_epsilon, cfg.hdbscan_cluster_selection_method)
     out = red.join(labels, "id")
     stats = out.agg(F.count_distinct(F.when(F.col("cluster_raw") != -1, F.col("cluster_raw"))).alias("clusters"),
                     F.sum((F.col("cluster_raw") == -1).cast("int")).alias("noise"),

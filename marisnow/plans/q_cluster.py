@@ -65,9 +65,8 @@ def q_mst_edges(spark, d):
 
 @register("hdbscan")
 def q_hdbscan(spark, d):
-    """Level-cut HDBSCAN on the embeddings (min cluster size 5, the default
-    64 rank levels; the exact every-rank mode is cross-checked against a
-    sequential implementation in tests)."""
+    """Exact HDBSCAN on the embeddings (min cluster size 5), cross-checked
+    against a sequential implementation in tests."""
     e = load(spark, d, "embeddings")
     return HD.hdbscan(e, "vec_id", "embedding", min_cluster_size=5) \
         .select(F.col("id").alias("vec_id"), "cluster_raw")
@@ -123,7 +122,7 @@ def q_bundle_plan(spark, d):
 
 @register("cluster_features")
 def q_cluster_features(spark, d):
-    """PCA to 8 dims, HDBSCAN (min size 5, 64 levels), stats (rows-only)."""
+    """PCA to 8 dims, HDBSCAN (min size 5), stats (rows-only)."""
     from marisnow.plans.cluster_run import RunConfig, cluster_features
     e = load(spark, d, "embeddings")
     cfg = RunConfig(umap_dims=8, min_cluster_size=5)

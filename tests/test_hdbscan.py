@@ -19,10 +19,10 @@ def _same_partition(a, b):
     return len(set(m.values())) == len(m)
 
 
-def _run(spark, x, mcs, ms=None, levels="all", method="eom"):
+def _run(spark, x, mcs, ms=None, method="eom", epsilon=0.0):
     df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "id long, v array<double>")
-    r = hdbscan(df, "id", "v", min_cluster_size=mcs, min_samples=ms, levels=levels,
-                cluster_selection_method=method, block_rows=64)
+    r = hdbscan(df, "id", "v", min_cluster_size=mcs, min_samples=ms,
+                cluster_selection_epsilon=epsilon, cluster_selection_method=method, block_rows=64)
     got = dict((int(a), int(b)) for a, b in r.collect())
     return np.array([got[i] for i in range(len(x))])
 
@@ -54,6 +54,14 @@ def test_leaf_selection(spark):
     assert _same_partition(got, exp)
 
 
+def test_epsilon_lifts_clusters_born_below_it(spark):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(c, 0.3, (20, 2)) for c in [(0, 0), (2.5, 0), (12, 0)]])
+    got = _run(spark, x, 6, method="leaf", epsilon=4.0)
+    near, far = set(got[:40]), set(got[40:])
+    assert len(near) == len(far) == 1 and near != far and -1 not in near | far
+
+
 def test_all_noise_when_too_few(spark):
     x = np.random.default_rng(3).normal(0, 1, (12, 3))
     got = _run(spark, x, 20)
