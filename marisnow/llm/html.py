@@ -4,9 +4,9 @@ A page is stripped of its markup into lines, one per block element.  Text in
 page furniture (menus, footers, adverts, forms, comments ...) counts as a line
 without text.  The text lengths are summed over sliding windows of lines; a
 line where the sum surges over the threshold opens a kept stretch and the
-line where it dives below closes it.  Where the page marks an article (or
-main) element that has text, only its lines count and any text is a surge, so
-short first and last paragraphs stay."""
+line where it dives below closes it.  This is done on every page; an article
+(or main) element only extends what was found: where a line of it is kept, so
+are its other lines."""
 
 from __future__ import annotations
 
@@ -60,11 +60,13 @@ def _is_furniture(tag: str, attrs: str, in_article: bool) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, bool, bool]]:
-    """(text, furniture, in article) of the page's blocks in page order."""
-    lines: list[tuple[str, bool, bool]] = []
+def lines_of(page: str) -> list[tuple[str, bool, int]]:
+    """(text, furniture, number of the outermost article or main element
+    around it, 0 if none) of the page's blocks in page order."""
+    lines: list[tuple[str, bool, int]] = []
+    articles = 0
     last = {m[1].lower(): m.start() for m in CLOSING.finditer(page)}  # where each tag closes for the last time
-    stack: list[tuple[str, bool, bool]] = []  # tag, furniture from here on, article from here on
+    stack: list[tuple[str, bool, int]] = []  # tag, furniture from here on, article from here on
     buffer: list[str] = []
 
     def flush():
@@ -72,7 +74,7 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
             text = " ".join(entities.unescape("".join(buffer)).split())
             buffer.clear()
             if text:
-                _, furniture, article = stack[-1] if stack else ("", False, False)
+                _, furniture, article = stack[-1] if stack else ("", False, 0)
                 lines.append((text, furniture, article))
 
     at = 0
@@ -84,7 +86,7 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
         if not name:
             continue
         tag, closing, attrs = name.lower(), (m[3] or m[6]) == "/", m[5] or m[8] or ""
-        _, furniture, article = stack[-1] if stack else ("", False, False)
+        _, furniture, article = stack[-1] if stack else ("", False, 0)
         if closing:
             if tag in INLINE and not any(s[0] == tag for s in stack):
                 continue
@@ -94,15 +96,17 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
                     del stack[i:]
                     break
             continue
-        marked = _is_furniture(tag, attrs, article)
+        marked = _is_furniture(tag, attrs, article > 0)
         if tag in INLINE and not marked:
             continue
         flush()
         if tag in VOID or attrs.endswith("/"):
             continue
         if (tag in NESTED or marked) and last.get(tag, -1) >= at:
-            own = tag in ("article", "main") and not marked
-            stack.append((tag, furniture or marked, article or own))
+            if not article and tag in ("article", "main") and not marked:
+                articles += 1
+                article = articles
+            stack.append((tag, furniture or marked, article))
     if at < len(page):
         buffer.append(page[at:])
     flush()
@@ -132,10 +136,9 @@ def kept_lines(lengths: list[int], window: int, threshold: int) -> list[bool]:
 def main_text(page: str, window: int = WINDOW, threshold: int = THRESHOLD) -> str:
     """The page's main text, its blocks joined by one space."""
     lines = lines_of(page)
-    marked = any(article and not furniture for _, furniture, article in lines)
-    lengths = [0 if furniture or marked and not article else len(text) for text, furniture, article in lines]
-    keep = kept_lines(lengths, 1 if marked else window, 1 if marked else threshold)
-    return " ".join(text for (text, _, _), k in zip(lines, keep) if k)
+    keep = kept_lines([0 if furniture else len(text) for text, furniture, _ in lines], window, threshold)
+    found = {article for (_, _, article), k in zip(lines, keep) if k and article}
+    return " ".join(text for (text, furniture, article), k in zip(lines, keep) if k or article in found and not furniture)
 
 
 def extract(pages: DataFrame, html_col: str = "html", window: int = WINDOW, threshold: int = THRESHOLD) -> DataFrame:

@@ -85,6 +85,17 @@ def test_main_text(spark):
     assert html.extract(df).columns == ["page_id", "text", "n_chars"] and html.extract(df.limit(0)).count() == 0
 
 
+def test_an_article_element_does_not_replace_the_windows():
+    body = "A paragraph of the body that is long enough to make the window's sum surge over the threshold. " * 3
+    card = "<div class='cards'><article><p>Another story</p></article></div>"
+    text = html.main_text(f"<nav>x</nav><div><h1>Title</h1><p>{body}</p><p>{body}</p></div>{card}<footer>f</footer>")
+    assert text.startswith(" ".join(f"Title {body} {body}".split()))
+    # a kept line of an article brings the article's other lines, furniture excepted
+    gap = "<nav><p>a</p><p>b</p><p>c</p><p>d</p></nav>"
+    page = f"<article><p>{body}</p>{gap}<p>End.</p></article>{gap}<p>Off.</p>{gap}"
+    assert html.main_text(page) == " ".join(f"{body} End.".split())
+
+
 def test_url_verdicts_and_aliases(spark):
     page = lambda to: f'<html><link rel="canonical" href="{to}"><p>x</p>'
     rows = [(1, "http://a.example.net/es/1", None), (2, "http://b.example.org/x", page("http://a.example.net/es/1#f")),
