@@ -2,16 +2,19 @@
 
 A page is stripped of its markup into lines, one per block element.  Text in
 page furniture (menus, footers, adverts, forms, comments ...) counts as a line
-without text.  The text lengths are summed over sliding windows of lines; a
-line where the sum surges over the threshold opens a kept stretch and the
-line where it dives below closes it.  This is done on every page; an article
-(or main) element only extends what was found: where a line of it is kept, so
-are its other lines."""
+without text.  The text lengths are summed over sliding windows of lines: a
+stretch ends where the sum dives to nothing, in a window of furniture only,
+and is kept if the sums to both sides of one of its lines surge over the
+threshold, so the short lines beside a long one stay.  This is done on every
+page; an article (or main) element only extends what was found: where a line
+of it is kept, so are its other lines.  Where nothing surges, as on a page of
+short lines, there is no larger text to prefer and all but furniture stays."""
 
 from __future__ import annotations
 
 import html as entities
 import re
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -114,23 +117,24 @@ def lines_of(page: str) -> list[tuple[str, bool, int]]:
 
 
 def kept_lines(lengths: list[int], window: int, threshold: int) -> list[bool]:
-    """Which lines stand between a surge and a dive of the sums over
-    ``window`` lines."""
+    """Which lines stand in a stretch with a surge; all lines with text if
+    there is none."""
     n = len(lengths)
+    sums = [0, *accumulate(lengths)]
     keep = [False] * n
-    total, sums = sum(lengths[:window]), []
-    for i in range(n):
-        sums.append(total)
-        total += (lengths[i + window] if i + window < n else 0) - lengths[i]
-    inside = False
-    for i in range(n):
-        if not inside and sums[i] >= threshold and lengths[i]:
-            inside = True  # surge
-        elif inside and sums[i] < threshold and lengths[i] < threshold:
-            # dive: lines of the last full window stay, what follows goes
-            inside = False
-        keep[i] = inside and lengths[i] > 0
-    return keep
+    first = last = 0  # the stretch's first line and the one behind its last
+    surge = False
+    for i, length in enumerate(lengths):
+        if not length:
+            continue
+        if i - last >= window:  # dive: a whole window without text
+            keep[first:last] = [surge] * (last - first)
+            first, surge = i, False
+        last = i + 1
+        surge = surge or sums[min(i + window, n)] - sums[max(i - window + 1, 0)] >= threshold
+    keep[first:last] = [surge] * (last - first)
+    found = any(keep)
+    return [length > 0 and (k or not found) for length, k in zip(lengths, keep)]
 
 
 def main_text(page: str, window: int = WINDOW, threshold: int = THRESHOLD) -> str:

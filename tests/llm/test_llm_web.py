@@ -96,6 +96,18 @@ def test_an_article_element_does_not_replace_the_windows():
     assert html.main_text(page) == " ".join(f"{body} End.".split())
 
 
+def test_short_lines_beside_the_text_stay():
+    long = "word " * 40
+    plain = PAGE.format(open="<div>", close="</div>", long=long)
+    assert html.main_text(plain) == f"Head & line First part second part {long.strip()} Last."
+    page = "<div><p>" + "</p><p>".join(["x" * 11, "x" * 230, "x" * 5]) + "</p></div><footer>f</footer><footer>g</footer>"
+    assert [len(x) for x in html.main_text(page).split()] == [11, 230, 5]
+    assert html.main_text("<nav>n</nav><p>One.</p><p>Two.</p><footer>f</footer>") == "One. Two."
+    assert html.kept_lines([9, 0, 0, 0, 90, 0, 0, 4, 4, 0, 0, 0, 4], 3, 86) == [
+        False, False, False, False, True, False, False, True, True, False, False, False, False]
+    assert html.kept_lines([], 3, 86) == [] and html.kept_lines([0, 0], 3, 86) == [False, False]
+
+
 def test_url_verdicts_and_aliases(spark):
     page = lambda to: f'<html><link rel="canonical" href="{to}"><p>x</p>'
     rows = [(1, "http://a.example.net/es/1", None), (2, "http://b.example.org/x", page("http://a.example.net/es/1#f")),
