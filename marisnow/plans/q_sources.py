@@ -267,8 +267,9 @@ def q_run_inventory(spark, d):
 
 # ------------------------------------------------------ round-trip sinks ---
 
-def _sample(spark, d):
-    return random_sample(particles(spark, d), 2000, seed=42)
+def _sample(df):
+    """The rows that SAMPLE_SQL states, of a table written and read whole."""
+    return random_sample(df, 2000, seed=42)
 
 
 SAMPLE_SQL = f"(select * from ({O.PARTICLES}) p order by md5('42:' || object_id), object_id limit 2000)"
@@ -277,9 +278,10 @@ SAMPLE_SQL = f"(select * from ({O.PARTICLES}) p order by md5('42:' || object_id)
 @register("write_sample_index", f"select object_id, full_path, top1, area, cruise from {SAMPLE_SQL} s")
 def q_write_sample_index(spark, d):
     run = scratch_path(spark, "run")
-    RN.write_sample_index(_sample(spark, d).select("object_id", "full_path", "top1", "area", "cruise"), run)
-    back = RN.read_sample_index(spark, run, expected_rows=2000)
-    return back.select(F.col("object_id").cast("string").alias("object_id"), "full_path", "top1",
+    whole = particles(spark, d).select("object_id", "full_path", "top1", "area", "cruise")
+    RN.write_sample_index(whole, run)
+    back = RN.read_sample_index(spark, run, expected_rows=whole.count())
+    return _sample(back).select(F.col("object_id").cast("string").alias("object_id"), "full_path", "top1",
                        F.col("area").cast("double").alias("area"), "cruise")
 
 
@@ -291,12 +293,12 @@ def q_load_export_inputs(spark, d):
     from marisnow.operators.export import build_export_table
     from marisnow.plans.q_export import labels_from_embeddings
     run = scratch_path(spark, "run")
-    RN.write_sample_index(_sample(spark, d).select("object_id", "full_path", "top1"), run)
+    RN.write_sample_index(particles(spark, d).select("object_id", "full_path", "top1"), run)
     lab = labels_from_embeddings(spark, d).withColumn("image_path", F.lit("")) \
         .withColumn("cluster_raw", F.lit(0)).withColumn("cluster_final", F.lit(0))
     RN.write_assignments(lab, run)
     sample, labels = RN.load_export_inputs(spark, run)
-    et = build_export_table(sample, labels)
+    et = _sample(build_export_table(sample, labels))
     return et.select(F.col("object_id").cast("string").alias("object_id"), "object_annotation_category")
 
 

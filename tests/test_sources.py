@@ -208,3 +208,13 @@ def test_run_config_and_cache_sidecar(spark):
     assert len(calls) == 2  # settings changed -> rebuild
     RN.metadata_cache(spark, path, changed, build, refresh=True)
     assert len(calls) == 3
+
+
+def test_sample_sinks_write_and_read_every_particle(spark, monkeypatch):
+    from marisnow.plans import q_sources as Q
+    runs, write = [], RN.write_sample_index
+    monkeypatch.setattr(Q.RN, "write_sample_index", lambda df, run, *a: runs.append(run) or write(df, run, *a))
+    sf = "/root/testdata/sf0.01"
+    n = Q.particles(spark, sf).count()
+    assert Q.q_write_sample_index(spark, sf).count() == Q.q_load_export_inputs(spark, sf).count() == 2000
+    assert n > 2000 and [RN.read_sample_index(spark, run).count() for run in runs] == [n, n]
