@@ -132,15 +132,18 @@ def q_cluster_features(spark, d):
 
 @register("cluster_run")
 def q_cluster_run(spark, d):
-    """Whole run on the particles view with embedding features keyed by
-    object id: augmentation, sample, reduce, cluster, labels (rows-only)."""
+    """Whole run on the particles view: a picture and features for every
+    particle, augmentation, sample, reduce, cluster, labels (rows-only)."""
+    from marisnow.operators.imageprep import extract_features
     from marisnow.plans.cluster_run import RunConfig, cluster_run
+    from marisnow.plans.q_images import render_particles
+    from marisnow.session import scratch_path
+    from marisnow.sources import runs as RN
     from marisnow.sources.tables import particles
-    e = load(spark, d, "embeddings")
-    feats = e.select(F.col("vec_id").cast("string").alias("object_id"),
-                     F.concat(F.lit("/img/"), F.col("vec_id").cast("string"), F.lit(".png")).alias("image_path"),
-                     F.col("embedding").alias("features"))
-    cfg = RunConfig(n_samples=5000, min_cluster_size=5, umap_dims=8, size_feature_mode="append_log_area",
+    store = RN.write_features(extract_features(render_particles(particles(spark, d)), input_size=32),
+                              scratch_path(spark, "features"))
+    feats = RN.read_features(spark, store)
+    cfg = RunConfig(min_cluster_size=5, umap_dims=8, size_feature_mode="append_log_area",
                     size_feature_weight=0.5)
     res = cluster_run(spark, particles(spark, d), feats, cfg)
     return res["assignments"]

@@ -51,6 +51,16 @@ def _images(spark, d):
     return idx.join(imgs, "image_path")
 
 
+def render_particles(particles):
+    """(object_id, image_path, image): one 8 x 8 grey picture per particle,
+    six rows of pixels by its category and two by its id."""
+    category = F.coalesce("top1", F.lit("nan"))
+    rows = [F.md5(F.concat(F.lit(f"{i}:"), category)) for i in range(3)] + [F.md5(F.col("object_id"))]
+    image = F.struct(F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"),
+                     F.unhex(F.concat(*rows)).alias("data"))
+    return particles.select("object_id", F.col("full_path").alias("image_path"), image.alias("image"))
+
+
 BBOX_SQL = f"""
 with px as (select vec_id, generate_subscripts(embedding, 1) - 1 as i,
               least(greatest(floor((cast(unnest(embedding) as double) + 0.5) * 255 + 0.5), 0), 255) as p

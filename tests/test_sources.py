@@ -218,3 +218,15 @@ def test_sample_sinks_write_and_read_every_particle(spark, monkeypatch):
     n = Q.particles(spark, sf).count()
     assert Q.q_write_sample_index(spark, sf).count() == Q.q_load_export_inputs(spark, sf).count() == 2000
     assert n > 2000 and [RN.read_sample_index(spark, run).count() for run in runs] == [n, n]
+
+
+def test_cluster_run_labels_every_sampled_non_living_object(spark):
+    from marisnow.operators.rows import augmented_non_living
+    from marisnow.plans.q_cluster import q_cluster_run
+    from marisnow.schemas import DEFAULT_NON_LIVING_CLASSES
+    from marisnow.sources.tables import particles
+    sf = "/root/testdata/sf0.001"
+    flagged = augmented_non_living(particles(spark, sf), "top1", tuple(DEFAULT_NON_LIVING_CLASSES), "nl")
+    want = {r.object_id for r in flagged.filter("nl").select("object_id").collect()}
+    got = [r.object_id for r in q_cluster_run(spark, sf).select("object_id").collect()]
+    assert len(want) > 300 and set(got) == want and len(got) == len(want)
