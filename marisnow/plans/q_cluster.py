@@ -75,7 +75,7 @@ def q_hdbscan(spark, d):
 @register("kmeans_fallback")
 def q_kmeans_fallback(spark, d):
     e = load(spark, d, "embeddings")
-    return kmeans_fallback(e, "embedding", k=10, seed=42, n_init=3).select("vec_id", "cluster_final")
+    return kmeans_fallback(e, "embedding", k=10, seed=42).select("vec_id", "cluster_final")
 
 
 @register("pca_reduce")
@@ -151,13 +151,13 @@ def q_cluster_run(spark, d):
 
 @register("umap_reduce")
 def q_umap_reduce(spark, d):
-    """Neighbour-graph layout of the embeddings to 8 dims (15 neighbours,
-    min_dist 0, cosine, 10 full-batch epochs) — rows-only; neighbour
+    """Neighbour-graph layout of the embeddings to 8 dims (the operator's
+    neighbours, min_dist, metric and epochs) — rows-only; neighbour
     preservation and determinism are tested."""
     from marisnow.operators.umap import umap_reduce
     e = load(spark, d, "embeddings")
-    y = umap_reduce(e, "vec_id", "embedding", n_components=8, n_neighbors=15, min_dist=0.0, n_epochs=10)
-    return y.select(F.col("id").alias("vec_id"), F.size("embedding").alias("dims"))
+    y = umap_reduce(e, "vec_id", "embedding", n_components=8)
+    return y.select(F.col("id").alias("vec_id"), "embedding")
 
 
 @register("umap_2d")
@@ -165,6 +165,6 @@ def q_umap_2d(spark, d):
     """Second, independent 2-D layout for viewing (min_dist 0.1, seed 0)."""
     from marisnow.operators.umap import umap_reduce
     e = load(spark, d, "embeddings")
-    y = umap_reduce(e, "vec_id", "embedding", n_components=2, n_neighbors=15, min_dist=0.1, seed=0, n_epochs=10)
+    y = umap_reduce(e, "vec_id", "embedding", n_components=2, min_dist=0.1, seed=0)
     return y.select(F.col("id").alias("vec_id"), F.col("embedding")[0].alias("umap_x"),
                     F.col("embedding")[1].alias("umap_y"))

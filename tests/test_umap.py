@@ -38,3 +38,19 @@ def test_fuzzy_graph_sigma_and_symmetry(spark):
     df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, v array<double>")
     g = fuzzy_graph(knn(df, "id", "v", 6, "euclidean"), 6).collect()
     assert all(r.a < r.b and 0 < r.w <= 1.0 + 1e-12 for r in g)
+
+
+def test_queries_keep_the_operators_defaults(spark, monkeypatch):
+    from marisnow.operators import umap as U
+    from marisnow.plans import q_cluster as Q
+    sf, calls = "/root/testdata/sf0.001", []
+
+    def layout(df, id_col, vec_col, **kw):
+        calls.append(kw)
+        return df.selectExpr(f"{id_col} as id", "array(0.5D, 0.25D) as embedding")
+    monkeypatch.setattr(U, "umap_reduce", layout)
+    assert Q.q_umap_reduce(spark, sf).first().embedding == [0.5, 0.25]
+    Q.q_umap_2d(spark, sf)
+    monkeypatch.setattr(Q, "kmeans_fallback", lambda df, vec, **kw: calls.append(kw) or df.selectExpr("vec_id", "0 as cluster_final"))
+    Q.q_kmeans_fallback(spark, sf)
+    assert len(calls) == 3 and not any({"n_epochs", "n_neighbors", "n_init"} & set(kw) for kw in calls)
