@@ -49,6 +49,14 @@ def discard(df: DataFrame) -> None:
         p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
+def whole_vectors(df: DataFrame, vec_col: str, scale: int, new: str = "_v") -> DataFrame:
+    """Rows whose vector is there and holds finite components only, plus
+    ``new``: floor(scale * component) as longs."""
+    good = F.col(vec_col).isNotNull() & F.forall(vec_col, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    return df.filter(F.coalesce(good, F.lit(False))).withColumn(
+        new, F.transform(vec_col, lambda c: F.floor(c.cast("double") * scale).cast("long")))
+
+
 def as_text(col: Column) -> Column:
     """UTF-8 bytes of a text column for Arrow kernels; null becomes empty."""
     return F.coalesce(col, F.lit("")).cast("binary")

@@ -7,7 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marisnow.llm import decontam, html, langid, linededup, secrets, simhash, spiece, topk, toxicity, urlfilter
+from marisnow.llm import (decontam, hardneg, html, langid, linededup, quality, secrets, simhash, spiece, topk, toxicity,
+                          urlfilter, whitening)
 from marisnow.llm.common import UPPER, table
 from marisnow.session import ensure_checkpoint_dir, scratch_path, ship_package
 
@@ -170,6 +171,41 @@ from p left join r on (host = rh or ends_with(host, '.' || rh)) and starts_with(
 group by page_id, host, path
 """
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.score(docs, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"),
+                                             "score", "predicted")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(rows.withColumn("label", noisy), F.col("vec_id") % 100 == 0)
+
+
+OP13_SQL = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end l,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) e
+  from embeddings where label is not null and embedding is not null
+    and not list_bool_or(list_transform(embedding, lambda x: x is null or not isfinite(x)))),
+s as (select a.vec_id anchor_id, a.l al, c.vec_id, c.l,
+    cast(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) as bigint) score
+  from v a join v c on a.vec_id % 100 = 0 and c.vec_id <> a.vec_id),
+p as (select anchor_id, vec_id positive_id, score positive_score from s where al = l
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as integer) as rank,
+  vec_id negative_id, positive_score, score negative_score
+from p join s using (anchor_id)
+where l <> al and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 10
+"""
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -181,6 +217,9 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_toxicity": op9_toxicity,
     "op10_url_filters": op10_url_filters,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLE = {
     "op1_secret_scans": _op1_sql(),
@@ -188,6 +227,7 @@ ORACLE = {
     "op4_line_dedup": OP4_SQL,
     "op5_exact_topk": OP5_SQL,
     "op10_url_filters": OP10_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
 
 
