@@ -46,9 +46,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, ids, n_ids, lossless``: each text's sampled piece ids, and
     whether decoding gives the text again."""
-    out = spiece.decode(spiece.encode(docs.select("doc_id", "text"), F.col("doc_id")))
-    return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
-                      (F.col("decoded") == F.col("text")).alias("lossless"))
+    out = spiece.encode(docs.select("doc_id", "text"), F.col("doc_id"), check="lossless")
+    return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "lossless")
 
 
 STAGES = [

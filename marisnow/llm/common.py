@@ -57,12 +57,23 @@ def whole_vectors(df: DataFrame, vec_col: str, scale: int, new: str = "_v") -> D
         new, F.transform(vec_col, lambda c: F.floor(c.cast("double") * scale).cast("long")))
 
 
+def free_name(name: str, taken) -> str:
+    """``name``, or the first of name_1, name_2, ... that no column of
+    ``taken`` has, in any case."""
+    low = {c.lower() for c in taken}
+    out, i = name, 0
+    while out.lower() in low:
+        i += 1
+        out = f"{name}_{i}"
+    return out
+
+
 def as_text(col: Column) -> Column:
     """UTF-8 bytes of a text column for Arrow kernels; null becomes empty."""
     return F.coalesce(col, F.lit("")).cast("binary")
 
 
-def with_kernel(df: DataFrame, text_col: str, kernel, new: str, name: str = "_text") -> DataFrame:
+def with_kernel(df: DataFrame, text_col: str, kernel, new: str) -> DataFrame:
     """``df`` plus the columns of ``new`` (DDL), which ``kernel`` makes from a
     batch's texts (a list of str): a list of Arrow arrays in order.  Columns
     of ``df`` named like new ones are replaced; the rest pass through."""
@@ -70,9 +81,9 @@ def with_kernel(df: DataFrame, text_col: str, kernel, new: str, name: str = "_te
     from pyspark.sql.types import StructType
 
     add = StructType.fromDDL(new)
-    taken = {f.name.lower() for f in add} | {name.lower()}
+    taken = {f.name.lower() for f in add}
     keep = [c for c in df.columns if c.lower() not in taken or c == text_col]
-    src = df.select(*keep, as_text(F.col(text_col)).alias(name))
+    src = df.select(*keep, as_text(F.col(text_col)).alias(free_name("utf8", keep)))
 
     def run(batches):
         for b in batches:
