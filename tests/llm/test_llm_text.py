@@ -216,6 +216,30 @@ def test_segmentations_are_lossless_reproducible_and_distributed_right(spark):
     assert spiece.encode(frame(spark, rows).limit(0), F.col("doc_id")).count() == 0
 
 
+def test_segmentations_do_not_depend_on_runs_or_kept_lattices(spark, monkeypatch):
+    rows = [(i, t) for i, t in enumerate(["one two  three", "", "  x", "word " * 900 + " end", "a" * 700, "日本 ▁ é \n q", "tail  "])]
+    keys = np.arange(len(rows), dtype=np.int64)
+    vocabulary = spiece.read_vocabulary()
+    want = list(spiece._segmented(spiece.Lattice(vocabulary), [t for _, t in rows], keys, 0))
+    assert len(want) == len(rows)
+    for run, kept in ((1, 1), (7, 30), (64, 10_000)):
+        monkeypatch.setattr(spiece, "RUN_CHARS", run)
+        got = list(spiece._segmented(spiece.Lattice(vocabulary, kept=kept), [t for _, t in rows], keys, 0))
+        assert [g.tolist() for g in got] == [w.tolist() for w in want]
+        parts = list(spiece._parts(rows[3][1]))
+        assert "".join(p for _, p in parts) == " " + rows[3][1] and all(p[0] == " " for _, p in parts)
+    # the check inside the same pass, and columns named like those it works with
+    df = frame(spark, [*rows, (99, None)]).withColumn("_key", F.lit("k")).withColumn("_TEXT", F.lit("t")).withColumn("Ids", F.lit(1))
+    out = spiece.encode(df, F.col("doc_id"), check="lossless").collect()
+    assert [r.lossless for r in sorted(out, key=lambda r: r.doc_id)] == [True] * len(rows) + [None]
+    assert all(r["_key"] == "k" and r["_TEXT"] == "t" for r in out)
+    # a decoding that differs is told
+    broken = [(p, w, raw.replace(b"w", b"v") if p else raw) for p, w, raw in vocabulary]
+    monkeypatch.setattr(spiece, "read_vocabulary", lambda path: broken)
+    got = {r.doc_id: r.lossless for r in spiece.encode(frame(spark, rows), F.col("doc_id"), check="lossless", alpha=0.25).collect()}
+    assert got[0] is False and got[2] is True
+
+
 # ---------------------------------------------------------------- toxicity
 
 def test_toxicity_families():
@@ -291,6 +315,17 @@ def brute_marginals(e, step):
     return total / total.sum(1, keepdims=True)
 
 
+def test_hashed_features_are_those_of_each_word():
+    words = ["a", "of", "über", "straße"]
+    key, owner = langid.features(words)
+    by = {w: sorted(key[owner == i].tolist()) for i, w in enumerate(words)}
+    for w in words:  # a word's features do not depend on its neighbours in the list
+        assert sorted(langid.features([w])[0].tolist()) == by[w]
+        assert len(set(by[w])) == 2 * min(4, len(w)) + (len(w) + 1) + len(w)
+    shared = set(by["über"]) & set(by["straße"])
+    assert not shared & set(by["a"]) and not set(by["of"]) & set(by["a"])
+
+
 def test_forward_backward_against_all_paths():
     rng = np.random.default_rng(2)
     e, step = rng.normal(size=(6, 3)), rng.normal(size=(3, 3))
@@ -310,6 +345,12 @@ def test_language_id_held_out_accuracy(spark):
     assert sum(r.lang_pred == r.lang for r in held) >= 0.95 * len(held)
     odd = {r.doc_id: r for r in out if r.doc_id is None or r.doc_id < 0}
     assert all(odd[i].lang_pred == "und" and odd[i].score == 0 for i in (-1, -2, -3)) and odd[None].lang_pred == "en"
+    # digits and numerals of other kinds are no letters; an id's repeated texts don't make the model depend on row order
+    odd = spark.createDataFrame([(1, "½ ² Ⅷ 12 _"), (2, "x²")], "doc_id long, text string").withColumn("UTF8", F.lit("keep"))
+    assert {r.doc_id: (r.lang_pred == "und", r["UTF8"]) for r in langid.predict(odd, model).collect()} == {1: (True, "keep"), 2: (False, "keep")}
+    twice = docs.unionByName(docs.withColumn("text", F.reverse("text")))
+    a, b = langid.fit(twice), langid.fit(twice.repartition(5, "text"))
+    assert np.array_equal(a.weights, b.weights) and np.array_equal(a.step, b.step)
     assert langid.predict(docs.limit(0), model).count() == 0
     assert langid.predict(extra, langid.fit(docs.limit(0))).filter("lang_pred != 'und'").count() == 0
 
