@@ -1,7 +1,7 @@
 """Graph operators as joins and aggregates: connected components
 (alternating large-star / small-star, Kiveris et al. 2014), a global
 distributed rank, and the minimum spanning forest of the complete
-mutual-reachability graph by Borůvka rounds over blocked point pairs.
+mutual-reachability graph by bounded Borůvka rounds on a metric index.
 
 Every iterative loop cuts lineage by writing its state as parquet under
 ``spark.checkpoint.dir`` (reliable, shared storage), so a lost executor
@@ -11,16 +11,17 @@ from __future__ import annotations
 
 import logging
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marisnow.operators.knn import _blocks_for, _matrix
+from marisnow.operators.metric import BUDGET, CELL_ROWS, MetricIndex
 from marisnow.session import materialize
 
 log = logging.getLogger(__name__)
 
+#: neighbours of each point that the spanning tree starts from
+NEAR = 12
+
 
 def _cut(df: DataFrame) -> DataFrame:
     """Cut lineage: write the frame as parquet under the shared checkpoint
@@ -118,85 +119,81 @@ def merge_roots(ptr: DataFrame) -> DataFrame:
         p = p2.drop("_moved")
 
 
-def _min_out_edge_fn(metric: str):
-    def fn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"p": [], "w": [], "a": [], "b": []})
-        if len(left) == 0 or len(right) == 0:
-            return empty
-        q, c = _matrix(left["v"]), _matrix(right["v"])
-        if metric == "euclidean":
-            d2 = (q * q).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2.0 * (q @ c.T)
-            d = np.sqrt(np.maximum(d2, 0.0))
-        else:
-            qn = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
-            cn = c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-            d = 1.0 - qn @ cn.T
-        w = np.maximum(d, np.maximum(left["core"].to_numpy()[:, None], right["core"].to_numpy()[None, :]))
-        qi, ci = left["id"].to_numpy(), right["id"].to_numpy()
-        same = left["comp"].to_numpy()[:, None] == right["comp"].to_numpy()[None, :]
-        w = np.where(same, np.inf, w)
-        qi, ci = qi.astype(np.int64), ci.astype(np.int64)
-        a = np.minimum(qi[:, None], ci[None, :])
-        b = np.maximum(qi[:, None], ci[None, :])
-        # per row the minimum in the total order (w, a, b), vectorised in
-        # exact integer arithmetic: least w, then least a, then least b
-        big = np.iinfo(np.int64).max
-        wmin = w.min(axis=1)
-        has = np.isfinite(wmin)
-        m = w == wmin[:, None]
-        amin = np.where(m, a, big).min(axis=1)
-        m &= a == amin[:, None]
-        bmin = np.where(m, b, big).min(axis=1)
-        if not has.any():
-            return empty
-        return pd.DataFrame({"p": qi[has].astype(np.int64), "w": wmin[has].astype(np.float64),
-                             "a": amin[has].astype(np.int64), "b": bmin[has].astype(np.int64)})
-    return fn
-
-
 def mst_edges(points: DataFrame, id_col: str, vec_col: str, core_col: str | None = None,
-              metric: str = "euclidean", block_rows: int = 2048) -> DataFrame:
+              metric: str = "euclidean", block_rows: int = CELL_ROWS, index: MetricIndex | None = None,
+              near: DataFrame | None = None) -> DataFrame:
     """Minimum spanning tree (a, b, w) of the complete graph with weight
-    max(core(a), core(b), d(a, b)) (plain distance when ``core_col`` is None).
-
-    Borůvka: each round every component takes its lightest outgoing edge in
-    the total order (w, a, b) — found by a blocked pass over all point pairs
-    that never materialises a pair — the chosen edges join the tree and the
-    components merge by pointer jumping over the chosen edges (``merge_roots``)."""
+    max(core(a), core(b), d(a, b)) (plain distance when ``core_col`` is None),
+    in the total order (w, a, b).
+
+    Bounded Borůvka.  ``near``, the points' neighbours (``index.knn``, of one
+    length), are the first edges.  Every point keeps a lower bound of the
+    edges that are not listed: at first its last neighbour's distance.  In a
+    round a component's lightest listed edge is its reach; only points whose
+    bound does not exceed it search the index for a lighter edge, within the
+    reach, and what they find (or the reach) is their new bound.  A component
+    without a listed edge first gets a reach from one point's nearest foreign
+    cells.  The chosen edges join the tree and the components merge by
+    pointer jumping (``merge_roots``)."""
     spark = points.sparkSession
-    n = points.count()
-    nb = _blocks_for(n, block_rows, spark.sparkContext.defaultParallelism)
+    index = index or MetricIndex(points, id_col, vec_col, metric, block_rows)
+    near = near if near is not None else _cut(index.knn(NEAR, include_self=False))
     core = F.col(core_col).cast("double") if core_col else F.lit(0.0)
-    pts = _cut(points.select(F.col(id_col).cast("long").alias("id"),
-                             F.col(vec_col).cast("array<double>").alias("v"),
-                             core.alias("core"),
-                             F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(nb)).cast("int").alias("blk")))
-    comp = pts.select("id", F.col("id").alias("comp"))
+    cores = _cut(points.select(F.col(id_col).cast("long").alias("id"), core.alias("core")))
+    k = near.agg(F.max("rank")).first()[0] or 0
+    full = F.when(F.max("rank") == k, F.max("dist") - 1e-9).otherwise(F.lit(float("inf")))  # fewer: all are listed
+    low = near.groupBy("id").agg((full if k < index.n - 1 else F.lit(float("inf"))).alias("low"))
+    low = _cut(cores.join(low, "id", "left").select("id", F.greatest("core", F.coalesce("low", F.lit(0.0))).alias("low")))
+    other = cores.select(F.col("id").alias("nbr"), F.col("core").alias("other"))
+    edges = (near.filter(F.col("id") != F.col("nbr")).join(cores, "id").join(other, "nbr")
+             .select(F.least("id", "nbr").alias("a"), F.greatest("id", "nbr").alias("b"), F.greatest("dist", "core", "other").alias("w")).distinct())
+    comp = cores.select("id", F.col("id").alias("comp"))
     rounds: list[DataFrame] = []
-    partner = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
     while True:  # each round at least halves the components
-        cur = pts.join(comp, "id")
-        qx = cur.select("id", "v", "core", "comp", F.col("blk").alias("qb"), partner.alias("cb"))
-        # fresh aliases: the two cogroup sides must not share attribute ids
-        cx = cur.select(*[F.col(c).alias(c) for c in ("id", "v", "core", "comp")],
-                        partner.alias("qb"), F.col("blk").alias("cb"))
-        best_p = (qx.groupBy("qb", "cb").cogroup(cx.groupBy("qb", "cb"))
-                  .applyInPandas(_min_out_edge_fn(metric), "p long, w double, a long, b long"))
-        picked = _cut(best_p.join(comp.withColumnRenamed("id", "p"), "p")
-                      .groupBy("comp").agg(F.min(F.struct("w", "a", "b")).alias("e"))
-                      .select("comp", F.col("e.a").alias("a"), F.col("e.b").alias("b"), F.col("e.w").alias("w")))
-        if picked.limit(1).count() == 0:
-            break  # one component left: no outgoing edge anywhere
+        end = lambda c: comp.select(F.col("id").alias(c), F.col("comp").alias("c" + c))
+        listed = _cut(edges.join(end("a"), "a").join(end("b"), "b").filter("ca <> cb"))
+        best = _lightest(listed)
+        state = _cut(comp.join(cores, "id").join(low, "id").join(best.select("comp", F.col("e.w").alias("reach")), "comp", "left"))
+        blind = state.filter("reach is null")
+        if not blind.isEmpty():  # no listed edge: a reach from one point of the component
+            probe = blind.groupBy("comp").agg(F.min_by("id", F.struct("low", "id")).alias("id"))
+            probe = probe.select("id", F.lit(float("inf")).alias("reach"))
+            seen = _cut(index.outside(state.select("id", "comp", "core"), probe, BUDGET, "mst probe"))
+            listed = _cut(listed.unionByName(_ends(seen, comp)))
+            best = _lightest(listed)
+            state = _cut(state.drop("reach").join(best.select("comp", F.col("e.w").alias("reach")), "comp", "left"))
+        need = state.filter("low <= reach").select("id", "reach")
+        if not need.isEmpty():
+            found = _cut(index.outside(state.select("id", "comp", "core"), need, None, f"mst round {len(rounds) + 1}"))
+            listed = _cut(listed.unionByName(_ends(found, comp)).distinct())
+            best = _lightest(listed)
+            better = need.join(found.select("id", "w"), "id", "left").select("id", F.coalesce("w", "reach").alias("now"))
+            low = _cut(low.join(better, "id", "left").select("id", F.coalesce("now", "low").alias("low")))
+        picked = _cut(best.select("comp", "e.a", "e.b", "e.w", "e.ca", "e.cb"))
+        if picked.isEmpty():
+            break  # one component left: no edge leaves it
         rounds.append(picked.select("a", "b", "w"))
-        ca = comp.withColumnRenamed("id", "a").withColumnRenamed("comp", "ca")
-        cb = comp.withColumnRenamed("id", "b").withColumnRenamed("comp", "cb")
         # each component chose exactly one edge: parent pointer to the component across it
-        ptr = (picked.join(ca, "a").join(cb, "b")
-               .select("comp", F.when(F.col("ca") == F.col("comp"), F.col("cb")).otherwise(F.col("ca")).alias("p")))
+        ptr = picked.select("comp", F.when(F.col("ca") == F.col("comp"), F.col("cb")).otherwise(F.col("ca")).alias("p"))
         roots = merge_roots(ptr)
         comp = _cut(comp.join(roots.withColumnRenamed("c", "comp"), "comp", "left")
                     .select("id", F.coalesce("root", "comp").alias("comp")))
+        edges = listed.select("a", "b", "w")
     tree = spark.createDataFrame([], "a long, b long, w double")
     for r in rounds:
         tree = tree.union(r)
     return tree.distinct()
+
+
+def _ends(found: DataFrame, comp: DataFrame) -> DataFrame:
+    """Edges (a, b, w) with the components of both ends."""
+    e = found.select("a", "b", "w").distinct()
+    for c in ("a", "b"):
+        e = e.join(comp.select(F.col("id").alias(c), F.col("comp").alias("c" + c)), c)
+    return e.select("a", "b", "w", "ca", "cb")
+
+
+def _lightest(listed: DataFrame) -> DataFrame:
+    """(comp, e): each component's lightest edge that leaves it."""
+    both = listed.select("w", "a", "b", "ca", "cb", F.explode(F.array("ca", "cb")).alias("comp"))
+    return both.groupBy("comp").agg(F.min(F.struct("w", "a", "b", "ca", "cb")).alias("e"))

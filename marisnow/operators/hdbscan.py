@@ -2,8 +2,9 @@
 as relational work.
 
 1. core distance = distance of the ``min_samples``-th neighbour, the point
-   itself counting as the first (blocked exact kNN);
-2. minimum spanning tree of the mutual-reachability graph (Borůvka rounds);
+   itself counting as the first (exact kNN on a metric index);
+2. minimum spanning tree of the mutual-reachability graph: bounded Borůvka
+   rounds on the neighbours and the same index;
 3. the MST edges, ranked by (w, a, b), become the single-linkage dendrogram by
    tree contraction (``dendrogram``): log2 N rounds, whatever its depth;
 4. edges with ``min_cluster_size`` points below them form the cluster tree;
@@ -21,24 +22,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marisnow.operators.graph import _cut, global_rank, merge_roots, mst_edges
+from marisnow.operators.graph import NEAR, _cut, global_rank, merge_roots, mst_edges
 from marisnow.operators.knn import knn
+from marisnow.operators.metric import CELL_ROWS, MetricIndex
+
 
 def core_distances(points: DataFrame, id_col: str, vec_col: str, min_samples: int,
-                   metric: str = "euclidean", block_rows: int = 2048) -> DataFrame:
+                   metric: str = "euclidean", block_rows: int = CELL_ROWS) -> DataFrame:
     """(id, core): distance to the min_samples-th neighbour, self included."""
-    nn = knn(points, id_col, vec_col, min_samples, metric, include_self=True, block_rows=block_rows)
-    return nn.groupBy("id").agg(F.max("dist").alias("core"))
+    return _core(knn(points, id_col, vec_col, min_samples, metric, include_self=True, block_rows=block_rows), min_samples)
+
+
+def _core(near: DataFrame, min_samples: int) -> DataFrame:
+    return near.filter(F.col("rank") <= min_samples).groupBy("id").agg(F.max("dist").alias("core"))
 
 
 def mutual_reachability(points: DataFrame, id_col: str, vec_col: str, min_samples: int,
                         k: int | None = None, metric: str = "euclidean") -> DataFrame:
-    """kNN edges (a, b, d, w) with w = max(core(a), core(b), d)."""
-    core = core_distances(points, id_col, vec_col, min_samples, metric)
-    nn = knn(points, id_col, vec_col, k or min_samples, metric)
+    """kNN edges (a, b, d, w) with w = max(core(a), core(b), d); one pass
+    over the index gives core distances and neighbours."""
+    k = k or min_samples
+    near = _cut(knn(points, id_col, vec_col, max(min_samples, k + 1), metric, include_self=True))
+    core = _cut(_core(near, min_samples))
     ca = core.select(F.col("id").alias("a"), F.col("core").alias("ca"))
     cb = core.select(F.col("id").alias("b"), F.col("core").alias("cb"))
-    e = nn.select(F.col("id").alias("a"), F.col("nbr").alias("b"), F.col("dist").alias("d"))
+    e = near.filter("id <> nbr").select(F.col("id").alias("a"), F.col("nbr").alias("b"), F.col("dist").alias("d"), "rank")
+    # without the point itself a neighbour's rank falls by one where the point comes first
+    place = F.row_number().over(Window.partitionBy("a").orderBy("rank"))
+    e = e.withColumn("_place", place).filter(F.col("_place") <= k).drop("_place", "rank")
     return e.join(ca, "a").join(cb, "b").select("a", "b", "d", F.greatest("ca", "cb", "d").alias("w"))
 
 
@@ -211,7 +222,7 @@ def select_clusters(tree: DataFrame, method: str = "eom", epsilon: float = 0.0)
 
 def hdbscan(points: DataFrame, id_col: str, vec_col: str, min_cluster_size: int = 100,
             min_samples: int | None = None, cluster_selection_epsilon: float = 0.0,
-            cluster_selection_method: str = "eom", metric: str = "euclidean", block_rows: int = 2048) -> DataFrame:
+            cluster_selection_method: str = "eom", metric: str = "euclidean", block_rows: int = CELL_ROWS) -> DataFrame:
     """(id, cluster_raw): density clusters, -1 = noise."""
     if min_cluster_size < 2:
         raise ValueError("min_cluster_size must be >= 2")
@@ -220,9 +231,10 @@ def hdbscan(points: DataFrame, id_col: str, vec_col: str, min_cluster_size: int
     raw = points.select(F.col(id_col).cast("long").alias("orig"), F.col(vec_col).alias("v"))
     dense = _cut(global_rank(raw, ["orig"], "id").withColumn("id", F.col("id") - 1))
     pts = dense.select("id", "v")
-    core = core_distances(pts, "id", "v", ms, metric, block_rows)
-    withcore = _cut(pts.join(core, "id"))
-    tree = _cut(mst_edges(withcore, "id", "v", "core", metric, block_rows))
+    index = MetricIndex(pts, "id", "v", metric, block_rows)
+    near = _cut(index.knn(max(ms, NEAR + 1), include_self=True))  # core distances and the first rounds' edges
+    withcore = _cut(pts.join(_core(near, ms), "id"))
+    tree = _cut(mst_edges(withcore, "id", "v", "core", metric, block_rows, index, near))
     ids = dense.select("id", "orig")
     if tree.isEmpty():
         return ids.select(F.col("orig").alias("id"), F.lit(-1).alias("cluster_raw"))

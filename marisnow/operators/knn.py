@@ -1,13 +1,8 @@
-"""Exact k-nearest neighbours by blocked all-pairs evaluation.
+"""Exact k-nearest neighbours, nearest targets and medoids.
 
-Points are hashed into B equal-sized blocks.  Each (query block, candidate
-block) pair is one cogroup: the query block is replicated to the B candidate
-blocks and vice versa (2·B·N rows in the shuffle), and each task multiplies
-two blocks with numpy and keeps the k best per query row.  No pair is ever
-materialised as a row; the per-block winners (B·k per point, a bounded
-group) are then merged by a window per point.  Cost is O(N²·d) arithmetic,
-O(N·B·d) shuffle — meant for the reduced embeddings (d ≤ 64) and sample sizes
-the pipeline clusters (≈1e5–1e6 points)."""
+Neighbours come from the metric index (``metric``): cells that the triangle
+inequality excludes are never met, no pair is materialised as a row, and every
+winner's distance is exact."""
 
 from __future__ import annotations
 
@@ -15,10 +10,11 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NEIGHBOUR_SCHEMA = "id long, nbr long, dist double"
+from marisnow.operators.metric import CELL_ROWS, MetricIndex
+
 
 
 def _blocks_for(n: int, block_rows: int, parallelism: int | None = None) -> int:
@@ -54,55 +50,22 @@ def _distances(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
     raise ValueError(f"unknown metric {metric}")
 
 
-def _topk_fn(k: int, metric: str, include_self: bool):
-    def fn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if len(left) == 0 or len(right) == 0:
-            return pd.DataFrame({"id": [], "nbr": [], "dist": []})
-        right = right.sort_values("id", kind="stable")  # column order = id order breaks ties
-        q, c = _matrix(left["v"]), _matrix(right["v"])
-        qid, cid = left["id"].to_numpy(), right["id"].to_numpy()
-        d = _distances(q, c, metric)
-        if not include_self:
-            d = np.where(qid[:, None] == cid[None, :], np.inf, d)
-        kk = min(k, d.shape[1])
-        # vectorised top-k per row in (round(d, 9), id) order: a stable sort
-        # over id-ordered columns keeps equal keys in id order
-        order = np.argsort(np.round(d, 9), axis=1, kind="stable")[:, :kk]
-        dk = np.take_along_axis(d, order, axis=1)
-        ok = np.isfinite(dk)
-        rows = np.repeat(qid[:, None], kk, axis=1)
-        return pd.DataFrame({"id": rows[ok].astype(np.int64), "nbr": cid[order][ok].astype(np.int64),
-                             "dist": dk[ok].astype(np.float64)})
-    return fn
-
-
 def knn(df: DataFrame, id_col: str, vec_col: str, k: int, metric: str = "cosine",
         include_self: bool = False, candidates: DataFrame | None = None,
-        block_rows: int = 2048, nblocks: int | None = None) -> DataFrame:
+        block_rows: int = CELL_ROWS) -> DataFrame:
     """(id, nbr, rank, dist): the k nearest candidates of every point, ranked
     by (distance rounded to 1e-9, neighbour id).  ``candidates`` defaults to
-    the points themselves (self pairs excluded unless ``include_self``)."""
-    cand = candidates if candidates is not None else df
-    if nblocks is None:
-        nblocks = _blocks_for(max(df.count(), cand.count()), block_rows,
-                              df.sparkSession.sparkContext.defaultParallelism)
-    b = nblocks
-    q = _prep(df, id_col, vec_col, b)
-    c = _prep(cand, id_col, vec_col, b)
-    partner = F.explode(F.sequence(F.lit(0), F.lit(b - 1)))
-    qx = q.select("id", "v", F.col("blk").alias("qb"), partner.alias("cb"))
-    cx = c.select("id", "v", partner.alias("qb"), F.col("blk").alias("cb"))
-    part = (qx.groupBy("qb", "cb").cogroup(cx.groupBy("qb", "cb"))
-            .applyInPandas(_topk_fn(k, metric, include_self), NEIGHBOUR_SCHEMA))
-    w = Window.partitionBy("id").orderBy(F.round("dist", 9), "nbr")
-    return (part.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select("id", "nbr", "rank", "dist"))
+    the points themselves (self pairs excluded unless ``include_self``);
+    ``block_rows`` is the size of the index's cells."""
+    if candidates is None:
+        return MetricIndex(df, id_col, vec_col, metric, block_rows).knn(k, include_self)
+    return MetricIndex(candidates, id_col, vec_col, metric, block_rows).knn(k, include_self, (df, id_col, vec_col))
 
 
 def nearest(points: DataFrame, id_col: str, vec_col: str, targets: DataFrame, target_id: str,
             target_vec: str, metric: str = "euclidean") -> DataFrame:
-    """Nearest target per point (id, nbr, dist) — the blocked form of the
-    nearest-centroid lookup for target tables too large to inline."""
+    """Nearest target per point (id, nbr, dist): best-first search on an
+    index of the targets."""
     t = targets.select(F.col(target_id).alias(id_col), F.col(target_vec).alias(vec_col))
     r = knn(points, id_col, vec_col, 1, metric, include_self=True, candidates=t)
     return r.select("id", "nbr", "dist")
