@@ -3,8 +3,8 @@
 ``bundle_plan`` reproduces the greedy, order-preserving cut exactly: a new
 part starts before row i when running + size(i) > max and running > 0.  The
 running sums are a distributed prefix sum (per-partition totals + offsets);
-part boundaries are then resolved many at a time from the few rows inside
-provable cum-windows (see ``bundle_plan``), never from the whole table.
+every row's next cut is a merge on it, and the cuts that count are reached by
+pointer doubling.  Nothing passes through the driver.
 
 ``bundle_export`` writes one ZIP per part from a grouped pandas function:
 rows of a part (bounded by the part's byte budget) arrive in one task, which
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from marisnow.operators.graph import _cut
+from marisnow.operators.hdbscan import _running
 
 log = logging.getLogger(__name__)
 
@@ -77,73 +78,69 @@ def prefix_sum(df: DataFrame, size_col: str, order: list[str], out: str = "cum")
             .drop("_pid", "_to", "_no"))
 
 
-def _next_cut(cands: list[tuple[int, float, float]], start: int, base: float, max_bytes: float):
-    """First candidate row j > start with cum(j) - base > max and
-    prev(j) - base > 0 (the greedy cut rule), or None."""
-    for rn, cum, prev in cands:
-        if rn > start and cum - base > max_bytes and prev - base > 0:
-            return rn, prev
-    return None
+def _first_above(points: DataFrame, queries: DataFrame) -> DataFrame:
+    """(rn, to): for each query (value, rn) the least row number among the
+    points (value, rn) of a greater value; queries without one are left out.
+    Row numbers rise with the points' values.
+
+    Both are merged by value over range partitions; a partition's last
+    queries take the first point of those after it, one row a partition."""
+    both = (points.select("value", F.lit(0).alias("kind"), "rn")
+            .unionByName(queries.select("value", F.lit(1).alias("kind"), "rn")))
+    order = ["value", "kind", "rn"]  # at equal values points come first, so those that follow are greater
+    tagged = _cut(both.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()))
+    point = F.when(F.col("kind") == 0, F.col("rn"))
+    heads = tagged.groupBy("_pid").agg(F.min(point).alias("_first"))
+    after = heads.select("_pid", F.min("_first").over(
+        Window.orderBy(F.desc("_pid")).rowsBetween(Window.unboundedPreceding, -1)).alias("_later"))
+    w = Window.partitionBy("_pid").orderBy(*(F.desc(c) for c in order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = tagged.withColumn("_here", F.min(point).over(w)).filter("kind = 1")
+    return here.join(F.broadcast(after), "_pid").select("rn", F.coalesce("_here", "_later").alias("to")).filter("to is not null")
+
+
+def _reached(first: DataFrame, step: DataFrame) -> DataFrame:
+    """(rn): the rows ``first`` and all that follow them by the pointers
+    (rn, to), which lead to greater rows.  Pointers double from round to
+    round, so rounds are the logarithm of the longest way."""
+    seen, jump = _cut(first.select("rn")), _cut(step)
+    while not jump.isEmpty():
+        seen = _cut(seen.unionByName(seen.join(jump, "rn").select(F.col("to").alias("rn"))).distinct())
+        jump = _cut(jump.join(jump.select(F.col("rn").alias("to"), F.col("to").alias("far")), "to").select("rn", F.col("far").alias("to")))
+    return seen
 
 
 def bundle_plan(df: DataFrame, size_col: str, order: list[str], max_bytes: float,
-                group_col: str | None = None, part_col: str = "part",
-                max_candidates: int = 200_000) -> DataFrame:
-    """Adds ``part`` (1-based, per group) by the exact greedy size cut.
-
-    Boundaries are found in windows: every part's total T satisfies
-    max - S < T <= max(max, S) (S = largest row), so the k-th next boundary
-    row lies where cum > base + k (max - S) and cum - size <= base + k max(max, S).
-    One job fetches the few rows inside the next K windows (K sized so that
-    at most ``max_candidates`` rows come back) and the boundaries are
-    resolved from them exactly; jobs scale with parts / K, not rows."""
+                group_col: str | None = None, part_col: str = "part") -> DataFrame:
+    """Adds ``part`` (1-based, per group) by the exact greedy size cut, and
+    ``_row``, the row's number in (group, order).
+
+    From a part that starts at row s the next one starts at the first row of
+    the group whose running total exceeds that before s by more than
+    ``max_bytes`` and that has rows of some size before it in the part.  Both
+    are look-ups in the prefix sum, so every row's next cut comes from two
+    merges over range partitions; the real cuts are those reached from the
+    groups' first rows, by doubled pointers; a row's part is the running count
+    of the cuts.  Null and negative sizes count as 0; ``order`` has to be
+    total, a null group is a group."""
     g = group_col or "_g"
     src = df if group_col else df.withColumn("_g", F.lit("all"))
     src = src.withColumn("_sz", F.greatest(F.coalesce(F.col(size_col).cast("double"), F.lit(0.0)), F.lit(0.0)))
     cum = _cut(prefix_sum(src, "_sz", [g, *order], "_cum").withColumn("_prev", F.col("_cum") - F.col("_sz")))
-    stats = cum.groupBy(g).agg(F.min("_rn").alias("r0"), F.max("_sz").alias("smax"), F.count(F.lit(1)).alias("n"),
-                               F.min_by("_prev", "_rn").alias("base0"), F.max("_cum").alias("total"))
-    starts: list[tuple] = []
-    for st in stats.orderBy(g).collect():
-        gv, smax, n = st[g], float(st["smax"] or 0.0), int(st["n"])
-        gdf = cum.filter(F.col(g) == gv)
-        start, base, part = int(st["r0"]), float(st["base0"]), 1
-        starts.append((gv, part, start))
-        mx = max(float(max_bytes), smax)
-        lo_step = float(max_bytes) - smax
-        avg = (float(st["total"]) - float(st["base0"])) / max(n, 1)
-        per_window = max(1.0, (2.0 * smax) / max(avg, 1e-9))
-        k_cap = int(max(1, min(4096, (2.0 * max_candidates / per_window) ** 0.5)))
-        while float(st["total"]) - base > float(max_bytes):
-            k = k_cap
-            cond = F.exists(F.sequence(F.lit(1), F.lit(k)), lambda i: (
-                (F.col("_cum") > F.lit(base) + i.cast("double") * F.lit(lo_step))
-                & (F.col("_prev") <= F.lit(base) + i.cast("double") * F.lit(mx))))
-            rows = (gdf.filter((F.col("_rn") > start) & cond).select("_rn", "_cum", "_prev")
-                    .orderBy("_rn").collect())
-            cands = [(int(r[0]), float(r[1]), float(r[2])) for r in rows]
-            progressed = False
-            for _ in range(k):
-                nxt = _next_cut(cands, start, base, float(max_bytes))
-                if nxt is None:
-                    break
-                start, base = nxt
-                part += 1
-                starts.append((gv, part, start))
-                progressed = True
-                if float(st["total"]) - base <= float(max_bytes):
-                    break
-            if not progressed:
-                break  # no further cut exists (only zero-size rows remain)
-    spark = df.sparkSession
-    st_df = spark.createDataFrame([(gv, p, s) for gv, p, s in starts], f"{g} string, _part int, _start long")
-    # one row per part: each row finds its part as the last start <= its row number
-    tab = st_df.groupBy(g).agg(F.sort_array(F.collect_list(F.struct("_start", "_part"))).alias("_starts"))
-    j = cum.join(F.broadcast(tab), g)
-    part = F.aggregate("_starts", F.lit(0),
-                       lambda acc, s: F.when(s["_start"] <= F.col("_rn"), s["_part"]).otherwise(acc))
-    res = j.withColumn(part_col, part).drop("_starts", "_cum", "_sz", "_prev")
-    res = res.withColumnRenamed("_rn", "_row")
+    ends = _cut(cum.groupBy(F.col(g).alias("_group")).agg(F.min("_rn").alias("_from"), F.max("_rn").alias("_to")))
+    at = lambda value: cum.select(value.alias("value"), F.col("_rn").alias("rn"))
+    over = _first_above(at(F.col("_cum")), at(F.col("_prev") + F.lit(float(max_bytes))))
+    filled = _first_above(at(F.col("_prev")), at(F.col("_prev"))).withColumnRenamed("to", "filled")
+    last = cum.join(ends, F.col(g).eqNullSafe(F.col("_group"))).select(F.col("_rn").alias("rn"), "_to")
+    step = (over.join(filled, "rn").join(last, "rn").select("rn", F.greatest("to", "filled").alias("to"), "_to")
+            .filter(F.col("to") <= F.col("_to")).select("rn", "to"))
+    starts = _reached(ends.select(F.col("_from").alias("rn")), step)
+    flagged = cum.join(starts.select(F.col("rn").alias("_rn"), F.lit(1).alias("_cut")), "_rn", "left").withColumn(
+        "_cut", F.coalesce("_cut", F.lit(0)))
+    run = _cut(_running(flagged, ["_rn"], "_cut").withColumnRenamed("cum", "_parts").drop("pos"))
+    base = run.join(ends.select(F.col("_from").alias("_rn")), "_rn", "left_semi").select(F.col(g).alias("_group"), (F.col("_parts") - 1).alias("_base"))
+    res = (run.join(base, F.col(g).eqNullSafe(F.col("_group")))
+           .withColumn(part_col, (F.col("_parts") - F.col("_base")).cast("int"))
+           .drop("_group", "_base", "_parts", "_cut", "_cum", "_sz", "_prev").withColumnRenamed("_rn", "_row"))
     return res.drop("_g") if not group_col else res
 
 

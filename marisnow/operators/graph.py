@@ -109,14 +109,17 @@ def merge_roots(ptr: DataFrame) -> DataFrame:
          .select(F.col("comp").alias("c"),
                  F.when((F.col("pp") == F.col("comp")) & (F.col("comp") < F.col("p")), F.col("comp"))
                  .otherwise(F.col("p")).alias("root")))
+    def twice(q: DataFrame) -> DataFrame:
+        far = q.select(F.col("c").alias("root"), F.col("root").alias("far"))
+        return q.join(far, "root", "left").select("c", F.coalesce("far", "root").alias("root"))
+
     p = _cut(p)
-    while True:
-        nxt = p.select(F.col("c").alias("root"), F.col("root").alias("rr"))
-        p2 = _cut(p.join(nxt, "root", "left").select("c", F.coalesce("rr", "root").alias("root"),
-                                                   (F.col("rr") != F.col("root")).alias("_moved")))
-        if p2.filter("_moved").limit(1).count() == 0:
-            return p2.drop("_moved")
-        p = p2.drop("_moved")
+    while True:  # a round follows four pointers at once
+        was = p.select("c", F.col("root").alias("was"))
+        step = _cut(twice(twice(p)).join(was, "c").select("c", "root", (F.col("root") != F.col("was")).alias("moved")))
+        p = step.select("c", "root")
+        if step.filter("moved").isEmpty():
+            return p
 
 
 def mst_edges(points: DataFrame, id_col: str, vec_col: str, core_col: str | None = None,

@@ -98,4 +98,4 @@ def materialize(df, spark: SparkSession | None = None, name: str = "stage", fmt:
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").format(fmt).save(path)
-    return spark.read.format(fmt).load(path)
+    return spark.read.schema(df.schema).format(fmt).load(path)  # the schema is known: no job to infer it
