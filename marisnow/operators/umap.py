@@ -1,25 +1,28 @@
 """Neighbour-graph layout (UMAP, McInnes et al. 2018) as Spark jobs.
 
-1. exact kNN (blocked) -> fuzzy simplicial set (``reduce.fuzzy_graph``);
+1. exact kNN (metric index) -> fuzzy simplicial set (``reduce.fuzzy_graph``);
 2. initial layout: PCA of the inputs, scaled to [-10, 10] (distributed);
-3. E epochs of full-batch optimisation: every directed edge pulls its ends
-   together (attractive term of the low-dimensional membership curve
-   1 / (1 + a d^2b)) and pushes ``negative_rate`` pseudo-random nodes away
-   (chosen by hash(seed, epoch, edge, j) — deterministic, no driver RNG);
-   contributions are clipped to [-4, 4], averaged per node by one grouped
-   aggregate, and applied with a learning rate decaying 1 -> 0.
-   Coordinates are rounded each epoch (sums of doubles depend on partition
-   order) and each epoch's coordinates are written to the checkpoint folder
-   (the next epoch reads them several times).
+3. nodes get a dense index and are dealt into ranges of NODES; a range's
+   edges are packed once, in parts of bounded size, and so is the list of the
+   coordinates that each part needs from each range;
+4. E epochs of full-batch optimisation.  An epoch exchanges coordinates only:
+   every range sends each part the rows on its list, and whole to the parts
+   that draw their negatives from it.  A part returns its nodes' weighted sums
+   of pulls (attractive term of the low-dimensional membership curve
+   1 / (1 + a d^2b)) and pushes, clipped to [-4, 4]; a range averages its
+   parts' sums and moves with a learning rate decaying 1 -> 0.
+   Negatives are chosen by a hash of (seed, epoch, edge, j) among the nodes of
+   NEGATIVE_RANGES ranges, which change by epoch and range, so all nodes
+   take their turn.  Coordinates are rounded each epoch and written to the
+   checkpoint folder every few epochs.
 
 Not bit-equal to the library's per-sample stochastic optimiser; checked by
-neighbour preservation and determinism."""
+neighbour preservation, determinism and a plain numpy version of the epochs."""
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +30,11 @@ from marisnow.operators.graph import _cut, global_rank
 from marisnow.operators.knn import knn
 from marisnow.operators.reduce import fuzzy_graph, pca_reduce
 
+#: nodes in a range, edges in a part (on average), ranges that negatives come from, epochs between written states
+NODES, EDGES, NEGATIVE_RANGES, KEEP_EVERY = 512, 32_768, 2, 5
+#: edges that are moved at once
+CHUNK = 8_192
+
 
 def curve_params(min_dist: float, spread: float = 1.0) -> tuple[float, float]:
     """Fit a, b of 1 / (1 + a x^2b) to the target membership curve
@@ -48,54 +56,173 @@ def curve_params(min_dist: float, spread: float = 1.0) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def _clip(c):
-    return F.greatest(F.lit(-4.0), F.least(F.lit(4.0), c))
+def _mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+def draw(seed: int, epoch: int, u: np.ndarray, v: np.ndarray, j: int, among: int) -> np.ndarray:
+    """Place of each edge's ``j``-th negative among as many nodes."""
+    with np.errstate(over="ignore"):
+        h = _mixed(u.astype(np.uint64) + np.uint64(seed * 1_000_003 + epoch * 8191 + j + 1))
+        h = _mixed(h + v.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return (h % np.uint64(among)).astype(np.int64)
+
+
+def negative_ranges(seed: int, epoch: int, own: int, ranges: int) -> list[int]:
+    """The ranges that a range draws its negatives from in an epoch."""
+    picked = {int(draw(seed, epoch, np.array([own]), np.array([i]), 0, ranges)[0]) for i in range(NEGATIVE_RANGES)}
+    return sorted(picked)
+
+
+def forces(own: np.ndarray, there: np.ndarray, pool: np.ndarray, pool_ids: np.ndarray, local: np.ndarray, u: np.ndarray,
+           v: np.ndarray, w: np.ndarray, a: float, b: float, seed: int, epoch: int, negatives: int):
+    """Weighted sums of the clipped pulls and pushes on a range's nodes, and
+    the sums of the weights.  ``local``: each edge's node in ``own``;
+    ``there``: coordinates of its other end; ``u``, ``v``: the ends' numbers."""
+    total, weight = np.zeros_like(own), np.zeros(len(own))
+
+    def add(at, gap, factor, by):
+        g = np.clip(factor[:, None] * gap, -4.0, 4.0) * by[:, None]
+        for k in range(own.shape[1]):
+            total[:, k] += np.bincount(at, g[:, k], len(own))
+        weight[:] += np.bincount(at, by, len(own))
+
+    for lo in range(0, len(u), CHUNK):
+        s = slice(lo, lo + CHUNK)
+        mine = own[local[s]]
+        gap = mine - there[s]
+        d2 = (gap * gap).sum(1)
+        pull = np.zeros(len(d2))
+        on = d2 > 0
+        pull[on] = -2.0 * a * b * d2[on] ** (b - 1.0) / (1.0 + a * d2[on] ** b)
+        add(local[s], gap, pull, w[s])
+        for j in range(negatives):
+            at = draw(seed, epoch, u[s], v[s], j, len(pool))
+            other = np.flatnonzero(pool_ids[at] != u[s])
+            gap = mine[other] - pool[at[other]]
+            d2 = (gap * gap).sum(1)
+            push = 2.0 * b / ((0.001 + d2) * (1.0 + a * d2 ** b))
+            add(local[s][other], gap, push, w[s][other])
+    return total, weight
+
+
+def _layout_tables(graph: DataFrame, ids: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """``packs`` (range, part, u, v, w) and ``lists`` (src, range, part,
+    rows): the edges of every part, and the rows of range ``src`` that it
+    needs."""
+    number = lambda c: ids.select(F.col("id").alias(c), F.col("ix").alias("_" + c))
+    both = graph.select("a", "b", "w").join(number("a"), "a").join(number("b"), "b")
+    ends = both.select("w", F.explode(F.array(F.struct(F.col("_a").alias("u"), F.col("_b").alias("v")),
+                                              F.struct(F.col("_b").alias("u"), F.col("_a").alias("v")))).alias("e"))
+    edges = _cut(ends.select("e.u", "e.v", "w", F.floor(F.col("e.u") / NODES).cast("int").alias("range")))
+    size = edges.groupBy("range").agg(F.ceil(F.count(F.lit(1)) / EDGES).alias("parts"))
+    edges = _cut(edges.join(size, "range").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")).drop("parts"))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["u", "v"], kind="stable")
+        return pd.DataFrame({"range": [int(pdf["range"].iloc[0])], "part": [int(pdf["part"].iloc[0])],
+                             **{c: [pdf[c].to_numpy(t).tobytes()] for c, t in (("u", np.int64), ("v", np.int64), ("w", np.float64))}})
+
+    packs = edges.groupBy("range", "part").applyInPandas(pack, "range int, part int, u binary, v binary, w binary")
+    need = edges.select("range", "part", F.floor(F.col("v") / NODES).cast("int").alias("src"), (F.col("v") % NODES).cast("int").alias("row"))
+    lists = need.groupBy("src", "range", "part").agg(F.array_sort(F.collect_set("row")).alias("rows"))  # NODES rows at most
+    return _cut(packs), _cut(lists)
+
+
+def _epoch(state: DataFrame, packs: DataFrame, lists: DataFrame, parts: DataFrame, ranges: int, dims: int, a: float, b: float,
+           seed: int, epoch: int, epochs: int, negatives: int) -> DataFrame:
+    """The state (range, y) after an epoch."""
+    drawn = F.udf(lambda own: negative_ranges(seed, epoch, own, ranges), "array<int>")
+    whole = parts.select(F.explode(drawn("range")).alias("src"), "range", "part", F.lit(1).alias("kind"), F.lit(None).cast("array<int>").alias("rows"))
+    own = parts.select(F.col("range").alias("src"), "range", "part", F.lit(2).alias("kind"), F.lit(None).cast("array<int>").alias("rows"))
+    asked = lists.select("src", "range", "part", F.lit(0).alias("kind"), "rows").unionByName(whole).unionByName(own)
+    rows_of = state.select(F.col("range").alias("src"), "y")
+
+    def send(pdfs):
+        for pdf in pdfs:
+            out = []
+            for m in pdf.itertuples():
+                y = np.frombuffer(m.y, np.float64).reshape(-1, dims)
+                at = np.arange(len(y)) if m.kind else np.asarray(m.rows, dtype=np.int64)
+                out.append((m.range, m.part, m.src, m.kind, (m.src * NODES + at).astype(np.int64).tobytes(), y[at].tobytes()))
+            yield pd.DataFrame(out, columns=["range", "part", "src", "kind", "ids", "y"])
+
+    sent = asked.join(rows_of, "src").mapInPandas(send, "range int, part int, src int, kind int, ids binary, y binary")
+
+    def move(edge: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+        if not len(edge):
+            return pd.DataFrame({"range": [], "part": [], "y": [], "total": [], "weight": []})
+        got = got.sort_values(["kind", "src"])
+        ids, ys = ({k: [c(r) for r in got[got["kind"] == k].itertuples()] for k in (0, 1, 2)} for c in (
+            lambda r: np.frombuffer(r.ids, np.int64), lambda r: np.frombuffer(r.y, np.float64).reshape(-1, dims)))
+        near_ids, near = np.concatenate(ids[0]), np.concatenate(ys[0])
+        u, v, w = (np.frombuffer(edge[c].iloc[0], t) for c, t in (("u", np.int64), ("v", np.int64), ("w", np.float64)))
+        total, weight = forces(ys[2][0], near[np.searchsorted(near_ids, v)], np.concatenate(ys[1]), np.concatenate(ids[1]), u % NODES,
+                               u, v, w, a, b, seed, epoch, negatives)
+        part = int(edge["part"].iloc[0])
+        return pd.DataFrame({"range": [int(edge["range"].iloc[0])], "part": [part], "y": [ys[2][0].tobytes()],
+                             "total": [total.tobytes()], "weight": [weight.tobytes()]})
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("part")
+        y = np.frombuffer(pdf["y"].iloc[0], np.float64).reshape(-1, dims)
+        total = sum(np.frombuffer(t, np.float64).reshape(-1, dims) for t in pdf["total"])
+        weight = sum(np.frombuffer(t, np.float64) for t in pdf["weight"])
+        mean = total / np.where(weight > 0, weight, 1.0)[:, None]
+        y = np.round(y + (1.0 - epoch / float(epochs)) * mean, 6)
+        return pd.DataFrame({"range": [int(pdf["range"].iloc[0])], "y": [y.tobytes()]})
+
+    moved = (packs.groupBy("range", "part").cogroup(sent.groupBy("range", "part"))
+             .applyInPandas(move, "range int, part int, y binary, total binary, weight binary"))
+    return moved.groupBy("range").applyInPandas(add, "range int, y binary")
 
 
 def umap_reduce(df: DataFrame, id_col: str, vec_col: str, n_components: int = 20, n_neighbors: int = 30,
                 min_dist: float = 0.0, metric: str = "cosine", seed: int = 42, n_epochs: int = 50,
                 negative_rate: int = 5) -> DataFrame:
-    """(id, embedding array<double>)."""
+    """(id, embedding array<double>); ids are unique longs.  The dimensions
+    are the vectors' where ``n_components`` is more; points without a
+    neighbour keep their initial place, an empty table gives no rows."""
+    points = _cut(df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("_v")))
+    first = points.select(F.size("_v")).first()
+    if first is None:
+        return df.sparkSession.createDataFrame([], "id long, embedding array<double>")
+    dims = min(n_components, first[0])
     a, b = curve_params(min_dist)
-    nn = knn(df, id_col, vec_col, n_neighbors, metric)
-    g = _cut(fuzzy_graph(nn, n_neighbors))
-    edges = _cut(g.select("a", "b", "w").union(g.select(F.col("b").alias("a"), F.col("a").alias("b"), "w")))
-    # dense index for negative sampling: node number = global rank of the id
-    ids = _cut(global_rank(df.select(F.col(id_col).cast("long").alias("id")), ["id"], "ix")
-               .withColumn("ix", F.col("ix") - 1))
+    graph = _cut(fuzzy_graph(knn(points, "id", "_v", n_neighbors, metric), n_neighbors))
+    # dense index: node number = global rank of the id
+    ids = _cut(global_rank(points.select("id"), ["id"], "ix").withColumn("ix", F.col("ix") - 1))
     n = ids.count()
-    init = pca_reduce(df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("_v")),
-                      "_v", n_components, "y").select("id", "y")
+    ranges = -(-n // NODES)
+    init = _cut(pca_reduce(points, "_v", n_components, "y").select("id", "y"))
     ext = init.select(F.explode("y").alias("v")).agg(F.max(F.abs("v"))).first()[0] or 1.0
-    y = _cut(init.select("id", F.transform("y", lambda v: F.round(v * 10.0 / ext, 6)).alias("y")))
+    start = init.join(ids, "id").select("ix", F.transform("y", lambda v: F.round(v * 10.0 / ext, 6)).alias("y"))
+
+    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ix")
+        return pd.DataFrame({"range": [int(pdf["range"].iloc[0])], "y": [np.array(pdf["y"].tolist(), dtype=np.float64).tobytes()]})
+
+    state = _cut(start.withColumn("range", F.floor(F.col("ix") / NODES).cast("int")).groupBy("range").applyInPandas(gather, "range int, y binary"))
+    packs, lists = _layout_tables(graph, ids, n)
+    parts = packs.select("range", "part")
+    still = _cut(state.join(parts.select("range").distinct(), "range", "left_anti"))  # ranges without an edge stay
+    state = state.join(parts.select("range").distinct(), "range", "left_semi")
     for epoch in range(n_epochs):
-        alpha = 1.0 - epoch / float(n_epochs)
-        ya = y.select(F.col("id").alias("a"), F.col("y").alias("ya"))
-        yb = y.select(F.col("id").alias("b"), F.col("y").alias("yb"))
-        e = edges.join(ya, "a").join(yb, "b")
-        d2 = F.aggregate(F.zip_with("ya", "yb", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v)
-        e = e.withColumn("_d2", d2)
-        att = F.when(F.col("_d2") > 0, F.lit(-2.0 * a * b) * F.pow("_d2", b - 1.0)
-                     / (F.lit(1.0) + F.lit(a) * F.pow("_d2", b))).otherwise(0.0)
-        pull = e.select(F.col("a").alias("id"), F.zip_with("ya", "yb", lambda p, q: _clip(att * (p - q))).alias("g"), "w")
-        # negative samples: j-th pseudo-random node of this edge in this epoch
-        neg = e.select("a", "b", "w", "ya", F.explode(F.sequence(F.lit(1), F.lit(negative_rate))).alias("j"))
-        neg = neg.withColumn("ix", F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), "a", "b", "j"), F.lit(n)))
-        neg = neg.join(ids, "ix").join(y.select(F.col("id").alias("c"), F.col("y").alias("yc")),
-                                       F.col("id") == F.col("c")).drop("id")
-        nd2 = F.aggregate(F.zip_with("ya", "yc", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v)
-        neg = neg.withColumn("_d2", nd2).filter(F.col("c") != F.col("a"))
-        rep = (F.lit(2.0 * b) / ((F.lit(0.001) + F.col("_d2")) * (F.lit(1.0) + F.lit(a) * F.pow("_d2", b))))
-        push = neg.select(F.col("a").alias("id"), F.zip_with("ya", "yc", lambda p, q: _clip(rep * (p - q))).alias("g"), "w")
-        # an edge's pull and its pushes count by the edge's weight
-        grads = pull.union(push).groupBy("id").agg(
-            Summarizer.mean(array_to_vector("g"), F.col("w")).alias("m"))
-        upd = y.join(grads.select("id", vector_to_array("m").alias("m")), "id", "left")
-        y = upd.select("id", F.when(F.col("m").isNull(), F.col("y")).otherwise(
-            F.zip_with("y", "m", lambda p, q: F.round(p + F.lit(alpha) * q, 6))).alias("y"))
-        # the next epoch reads y four times: cut every epoch so no epoch is recomputed
-        y = _cut(y)
-    return y.withColumnRenamed("y", "embedding")
+        state = _epoch(state.unionByName(still), packs, lists, parts, ranges, dims, a, b, seed, epoch, n_epochs, negative_rate)
+        if (epoch + 1) % KEEP_EVERY == 0 or epoch + 1 == n_epochs:
+            state = _cut(state)
+
+    def spread(pdfs):
+        for pdf in pdfs:
+            for r in pdf.itertuples():
+                y = np.frombuffer(r.y, np.float64).reshape(-1, dims)
+                yield pd.DataFrame({"ix": r.range * NODES + np.arange(len(y)), "embedding": list(y)})
+
+    out = state.unionByName(still).mapInPandas(spread, "ix long, embedding array<double>")
+    return ids.join(out, "ix").select("id", "embedding")
 
 
 def neighbour_overlap(high: DataFrame, low: DataFrame, k: int = 10) -> float:

@@ -54,3 +54,49 @@ def test_queries_keep_the_operators_defaults(spark, monkeypatch):
     monkeypatch.setattr(Q, "kmeans_fallback", lambda df, vec, **kw: calls.append(kw) or df.selectExpr("vec_id", "0 as cluster_final"))
     Q.q_kmeans_fallback(spark, sf)
     assert len(calls) == 3 and not any({"n_epochs", "n_neighbors", "n_init"} & set(kw) for kw in calls)
+
+
+def test_layout_equals_plain_epochs_over_ranges_and_parts(spark, monkeypatch):
+    """Ranges, parts and exchanges give what one loop over all edges gives,
+    with one node in most edges."""
+    from marisnow.operators import umap
+    for name, value in (("NODES", 16), ("EDGES", 40), ("KEEP_EVERY", 2)):
+        monkeypatch.setattr(umap, name, value)
+    rng = np.random.default_rng(5)
+    n, dims, epochs = 45, 3, 5
+    pairs = {(0, i) for i in range(1, n)} | {tuple(sorted(p)) for p in rng.integers(0, n - 3, (70, 2)).tolist() if p[0] != p[1]}
+    pairs = sorted(p for p in pairs if max(p) < n - 2)  # the last two nodes have no edge
+    rows = [(10 * a, 10 * b, float(w)) for (a, b), w in zip(pairs, rng.uniform(0.1, 1.0, len(pairs)))]
+    points = [(10 * i, [float(x) for x in rng.standard_normal(4)]) for i in range(n)]
+    df = spark.createDataFrame(points, "id long, v array<double>")
+    monkeypatch.setattr(umap, "fuzzy_graph", lambda nn, k: spark.createDataFrame(rows, "a long, b long, w double"))
+    got = {r.id: r.embedding for r in umap.umap_reduce(df.repartition(3), "id", "v", dims, 5, 0.1, "euclidean", 7, epochs, 2).collect()}
+    a, b = umap.curve_params(0.1)
+    init = {r.id: r.y for r in umap.pca_reduce(df.withColumnRenamed("v", "_v"), "_v", dims, "y").collect()}
+    ext = max(abs(x) for y in init.values() for x in y)
+    y = np.round(np.array([init[10 * i] for i in range(n)]) * 10.0 / ext, 6)
+    ranges = -(-n // 16)
+    for epoch in range(epochs):
+        total, weight = np.zeros_like(y), np.zeros(n)
+        for (i, j), (_, _, w) in zip(pairs, rows):
+            for u, v in ((i, j), (j, i)):
+                def add(other, factor):
+                    total[u] += w * np.clip(factor * (y[u] - y[other]), -4, 4)
+                    weight[u] += w
+                d2 = ((y[u] - y[v]) ** 2).sum()
+                add(v, -2 * a * b * d2 ** (b - 1) / (1 + a * d2 ** b) if d2 > 0 else 0.0)
+                pool = [k for r in umap.negative_ranges(7, epoch, u // 16, ranges) for k in range(16 * r, min(n, 16 * r + 16))]
+                for t in range(2):
+                    c = pool[umap.draw(7, epoch, np.array([u]), np.array([v]), t, len(pool))[0]]
+                    if c != u:
+                        d2 = ((y[u] - y[c]) ** 2).sum()
+                        add(c, 2 * b / ((0.001 + d2) * (1 + a * d2 ** b)))
+        y = np.round(y + (1 - epoch / epochs) * total / np.where(weight > 0, weight, 1)[:, None], 6)
+    assert set(got) == {10 * i for i in range(n)}
+    assert np.abs(np.array([got[10 * i] for i in range(n)]) - y).max() < 1e-4
+
+
+def test_layout_of_nothing_and_of_one_point(spark):
+    df = spark.createDataFrame([(4, [1.0, 2.0])], "id long, v array<double>")
+    from marisnow.operators.umap import umap_reduce
+    assert umap_reduce(df.limit(0), "id", "v").count() == 0
