@@ -100,12 +100,11 @@ class Ledger:
         ids = F.array(*[F.lit(r.id) for r in rules])
         seen = self.read().groupBy("blob").agg(
             F.flatten(F.collect_list(F.transform("scans", lambda s: s["rule"]))).alias("seen"))
-        blobs = with_blob(versions.select(text_col), text_col)
+        # copies fall together in each task before any text travels
+        blobs = with_blob(versions.select(F.coalesce(text_col, F.lit("")).alias("text")), "text").dropDuplicates(["blob"])
         todo = (blobs.join(seen, "blob", "left")
                 .withColumn("todo", F.array_except(ids, F.coalesce("seen", F.array().cast("array<string>"))))
-                .filter(F.size("todo") > 0)
-                .select("blob", "todo", F.coalesce(text_col, F.lit("")).alias("text"))
-                .dropDuplicates(["blob"]))
+                .filter(F.size("todo") > 0).select("blob", "todo", "text"))
         scans = F.filter(F.array(*[
             F.when(F.array_contains("todo", r.id), F.struct(
                 F.lit(r.id).alias("rule"), find_spans(F.col("text"), r).alias("spans"))) for r in rules]),
