@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marisnow.llm.common import lower_ascii, written
+from marisnow.llm.common import free_name, lower_ascii, written
 
 WINDOW = 10
 #: windows up to which the set is broadcast (about 150 bytes each)
@@ -151,17 +151,17 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     share an id but not a text stay apart; a null id is an id like others.
     Empty tables work on either side.  Columns named like the new ones are
     replaced, other extra columns pass through."""
-    found = hits(docs, items, id_col, text_col, window).select(
-        F.col("doc").alias("_doc"), F.col("row").alias("_row"), "spans", F.col("items").alias("hit_items"))
     new = ("n_words", "n_hit", "hit_spans", "hit_items")
-    names = [c for c in docs.columns if c not in new]
-    src = docs.select(*names, F.xxhash64(text_col).alias("_row"),
-                      F.size(words(F.col(text_col))).cast("long").alias("n_words"))
-    out = src.join(found, src[id_col].eqNullSafe(found["_doc"]) & (src["_row"] == found["_row"]), "left")
+    names = [c for c in docs.columns if c.lower() not in new]
+    doc, row, spans, ids = (free_name(c, docs.columns) for c in ("met_doc", "met_row", "met_spans", "met_items"))
+    found = hits(docs, items, id_col, text_col, window).select(
+        F.col("doc").alias(doc), F.col("row").alias(row), F.col("spans").alias(spans), F.col("items").alias(ids))
+    src = docs.select(*names, F.xxhash64(text_col).alias(row), F.size(words(F.col(text_col))).cast("long").alias("n_words"))
+    out = src.join(found, src[id_col].eqNullSafe(found[doc]) & (src[row] == found[row]), "left")
     empty = F.array().cast("array<string>")
     return out.select(*[src[c] for c in names], "n_words",
-                      F.coalesce(covered(F.col("spans")), F.lit(0)).cast("long").alias("n_hit"),
-                      F.col("spans").alias("hit_spans"), F.coalesce("hit_items", empty).alias("hit_items"))
+                      F.coalesce(covered(F.col(spans)), F.lit(0)).cast("long").alias("n_hit"),
+                      F.col(spans).alias("hit_spans"), F.coalesce(ids, empty).alias("hit_items"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -174,32 +174,27 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     if mode not in ("documents", "spans"):
         raise ValueError("mode is 'documents' or 'spans'")
     if mode == "documents":
-        met = hits(docs, items, id_col, text_col, window).select(F.col("doc").alias("_doc"), F.col("row").alias("_met"))
-        src = docs.withColumn("_row", F.xxhash64(text_col))
-        return src.join(met, src[id_col].eqNullSafe(met["_doc"]) & (src["_row"] == met["_met"]), "left_anti").select(
-            *docs.columns)
-    marked = contamination(docs, items, id_col, text_col, window)
-    # the text as alternating gaps and words; a gap after a hit word goes if the next word is hit too
-    low = lower_ascii(F.col(text_col))
-    word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-    inside = F.flatten(F.transform("hit_spans", lambda s: F.sequence(s["at"], s["at"] + s["n"] - 1)))
-    marked = marked.withColumn("_hit", F.array_distinct(inside)).withColumn(
-        "_gaps", F.transform(F.split(low, word, -1), lambda g: F.length(g))).withColumn(
-        "_lens", F.transform(words(F.col(text_col)), lambda w: F.length(w)))
-    n = F.size("_lens")
-    hit = F.transform(F.sequence(F.lit(0), n), lambda i: F.array_contains("_hit", i))
-    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc, i):
-        gap, size = F.get("_gaps", i), F.coalesce(F.get("_lens", i), F.lit(0))
-        here, before = F.get("_flags", i), (i > 0) & F.coalesce(F.get("_flags", i - 1), F.lit(False))
-        text = F.col(text_col)
-        put_gap = F.when(here & before, F.lit("")).otherwise(F.substr(text, acc["at"], gap))
-        put_word = F.when(here, F.lit("")).otherwise(F.substr(text, acc["at"] + gap, size))
-        return F.struct((acc["at"] + gap + size).alias("at"),
-                        F.concat(acc["out"], F.array(F.concat(put_gap, put_word))).alias("out"))
-
-    cut = F.aggregate(F.sequence(F.lit(0), n), start, step, lambda acc: F.array_join(acc["out"], ""))
-    marked = marked.withColumn("_flags", hit)
-    return marked.select(*[F.when(F.col("n_hit") > 0, cut).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c)
-                           for c in docs.columns])
+        doc, row = (free_name(c, docs.columns) for c in ("met_doc", "met_row"))
+        met = hits(docs, items, id_col, text_col, window).select(F.col("doc").alias(doc), F.col("row").alias(row))
+        src = docs.withColumn(row, F.xxhash64(text_col))
+        return src.join(met, src[id_col].eqNullSafe(met[doc]) & (src[row] == met[row]), "left_anti").select(*docs.columns)
+    found = contamination(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*docs.columns).alias("all")), items,
+                          "id", "text", window)
+    # the text as alternating gaps and words, in its own case; a gap after a hit word goes if the next word is hit too
+    word = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+    mark = lambda kind: lambda i: F.struct(i.alias("i"), F.lit(kind).alias("hit"))
+    inside = F.array_distinct(F.flatten(F.transform("hit_spans", lambda s: F.sequence(s["at"], s["at"] + s["n"] - 1))))
+    # every word's number, a hit one's twice: sorted, a number that is followed by its own mark is hit
+    found = found.withColumn("marks", F.array_sort(F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("n_words").cast("int")), mark(0)), F.transform(inside, mark(1)))))
+    pairs = F.arrays_zip(F.col("marks").alias("x"), F.slice("marks", 2, F.greatest(F.size("marks") - 1, F.lit(1))).alias("next"))
+    flags = F.transform(F.filter(pairs, lambda p: p["x"]["hit"] == 0),
+                        lambda p: F.coalesce((p["next"]["hit"] == 1) & (p["next"]["i"] == p["x"]["i"]), F.lit(False)))
+    found = found.withColumn("flags", flags)
+    pieces = F.arrays_zip(F.split("text", word, -1).alias("gap"), F.regexp_extract_all("text", F.lit(word), F.lit(0)).alias("word"),
+                          F.col("flags").alias("here"), F.concat(F.array(F.lit(False)), "flags").alias("before"))
+    kept = F.transform(F.filter(pieces, lambda p: p["gap"].isNotNull()), lambda p: F.concat(
+        F.when(p["here"] & p["before"], F.lit("")).otherwise(p["gap"]),
+        F.when(p["here"], F.lit("")).otherwise(F.coalesce(p["word"], F.lit("")))))
+    cut = F.when(F.col("n_hit") > 0, F.array_join(kept, "")).otherwise(F.col("text"))
+    return found.select(*[cut.alias(c) if c == text_col else F.col("all").getField(c).alias(c) for c in docs.columns])

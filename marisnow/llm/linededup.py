@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marisnow.llm.common import BLANKS, lower_ascii, partitions, written
+from marisnow.llm.common import BLANKS, free_name, lower_ascii, partitions, written
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -201,14 +201,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id counts as an id below all others.  An empty table gives no rows; other
     columns pass through unless they are named like the two new ones, which
     then replace them."""
+    doc, row, gone, every = (free_name(c, docs.columns) for c in ("line_doc", "line_row", "line_gone", "line_all"))
     drops = dropped_lines(docs, id_col, text_col, min_chars, min_docs).select(
-        F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("lines").alias("_lines"))
-    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    src = docs.select(*names, _doc(F.col(id_col)).alias("_doc"), F.xxhash64(text_col).alias("_row"))
-    out = src.join(drops, ["_doc", "_row"], "left").withColumn("_all", _lines(F.col(text_col)))
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_all") - 1), F.col("_lines")),
-                       lambda i: F.get(F.col("_all"), i))
-    text = F.when(F.col("_lines").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+        F.col("doc").alias(doc), F.col("row").alias(row), F.col("lines").alias(gone))
+    names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
+    src = docs.select(*names, _doc(F.col(id_col)).alias(doc), F.xxhash64(text_col).alias(row))
+    out = src.join(drops, [doc, row], "left").withColumn(every, _lines(F.col(text_col)))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col(gone)),
+                       lambda i: F.get(F.col(every), i))
+    text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     return out.select(*[text.alias(c) if c == text_col else F.col(c) for c in names],
-                      F.size("_all").cast("long").alias("n_lines"),
-                      F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_dropped"))
+                      F.size(every).cast("long").alias("n_lines"),
+                      F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("long").alias("n_dropped"))

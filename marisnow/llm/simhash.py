@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marisnow.llm.common import as_text, partitions, written
+from marisnow.llm.common import as_text, free_name, partitions, written
 from marisnow.llm.components import connected_components
 
 SHINGLE = 4
@@ -401,7 +401,8 @@ def one_per_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = (fps.groupBy("fp").agg(F.min(row).alias("best"))
             .join(member.select("fp", "component"), "fp")
             .groupBy("component").agg(F.min("best").alias("best")).select("best._id", F.col("best._row").alias("_best")))
-    src = df.withColumn("_row", F.xxhash64(text_col))
-    kept = src.join(best, src[id_col].eqNullSafe(best["_id"]) & (src["_row"] == best["_best"]), "left_semi")
-    place = F.row_number().over(Window.partitionBy(id_col, "_row").orderBy("_row"))
-    return kept.withColumn("_place", place).filter("_place = 1").select(*df.columns)
+    row_, place = free_name("text_key", df.columns), free_name("place", df.columns)
+    src = df.withColumn(row_, F.xxhash64(text_col))
+    kept = src.join(best, src[id_col].eqNullSafe(best["_id"]) & (src[row_] == best["_best"]), "left_semi")
+    return kept.withColumn(place, F.row_number().over(Window.partitionBy(id_col, row_).orderBy(row_))).filter(
+        F.col(place) == 1).select(*df.columns)

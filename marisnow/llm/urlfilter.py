@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marisnow.llm.common import lower_ascii, written
+from marisnow.llm.common import free_name, lower_ascii, written
 from marisnow.llm.components import connected_components
 
 
@@ -66,9 +66,47 @@ def node(url: Column) -> Column:
     return F.when(host(url) != "", F.concat(host(url), F.regexp_replace(rest, "/$", "")))
 
 
+def decoded(target: Column) -> Column:
+    """A target with the character references of marks that urls hold
+    decoded, the ampersand last."""
+    for c, name in (("<", "lt"), (">", "gt"), ('"', "quot"), ("'", "apos"), ("/", "sol"), (":", "colon"), ("?", "quest"),
+                    ("=", "equals"), (".", "period"), ("-", "hyphen"), ("_", "lowbar"), ("%", "percnt"), ("#", "num"),
+                    ("+", "plus"), ("~", "tilde"), ("&", "amp")):
+        target = F.regexp_replace(target, f"(?i)&(?:{name}|#0*{ord(c)}|#x0*{ord(c):x});", c)
+    return target
+
+
+def resolved(base: Column, target: Column) -> Column:
+    """The url that ``target`` names on the page ``base``: absolute, of the
+    same scheme (//), rooted, query or fragment only, or relative to the
+    folder; dot segments are removed."""
+    root = F.regexp_extract(base, "(?s)^(.*?://[^/?#]*)", 1)
+    page = F.regexp_extract(base, "(?s)^(.*?://[^?#]*)", 1)
+    folder = F.regexp_replace(page, "(?<=[^/])/[^/]*$", "")
+    url = (F.when(F.rlike(target, F.lit("^[A-Za-z][A-Za-z0-9+.-]*://")), target)
+           .when(F.startswith(target, F.lit("//")), F.concat(F.regexp_extract(base, "(?s)^(.*?:)//", 1), target))
+           .when(F.startswith(target, F.lit("/")), F.concat(root, target))
+           .when(F.startswith(target, F.lit("?")) | F.startswith(target, F.lit("#")), F.concat(page, target))
+           .otherwise(F.concat(folder, F.lit("/"), target)))
+    at = F.regexp_extract(url, "(?s)^(.*?://[^/?#]*)", 1)
+    place = F.regexp_extract(url, "(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    rest = F.regexp_extract(url, "(?s)^.*?://[^?#]*(.*)$", 1)
+
+    def step(done, part):
+        up = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(part == ".", done).when(part == "..", up).otherwise(F.concat(done, F.array(part)))
+
+    parts = F.filter(F.split(place, "/", -1), lambda p: p != "")
+    clean = F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/")
+    dots = F.rlike(place, F.lit("(?:^|/)\\.{1,2}(?:/|$)"))
+    slash = F.when(F.rlike(place, F.lit("/(?:\\.{1,2})?$")) & (clean != ""), F.lit("/")).otherwise(F.lit(""))
+    return F.when(dots, F.concat(at, F.lit("/"), clean, slash, rest)).otherwise(url)
+
+
 def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(src, dst)`` urls of canonical links, meta refreshes and script
-    redirects found in the pages; relative targets are resolved."""
+    redirects found in the pages; references in targets are decoded, relative
+    targets resolved."""
     tag = "(?is)<(?:link|meta)\\b[^>]*>"
     tags = F.regexp_extract_all(F.coalesce(html_col, F.lit("")), F.lit(tag), F.lit(0))
     canonical = F.transform(F.filter(tags, lambda t: F.rlike(t, F.lit("(?i)\\brel\\s*=\\s*[\"']?canonical\\b"))),
@@ -77,14 +115,8 @@ def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
                           lambda t: F.regexp_extract(t, "(?is)\\burl\\s*=\\s*[\"']?([^\"'\\s>]+)", 1))
     script = F.regexp_extract_all(F.coalesce(html_col, F.lit("")), F.lit(
         "(?i)\\blocation(?:\\.href\\s*=|\\s*=|\\.replace\\()\\s*[\"']([^\"']+)[\"']"), F.lit(1))
-    out = pages.select(F.col(url_col).alias("src"), F.explode(F.concat(canonical, refresh, script)).alias("to"))
-    root = F.regexp_extract("src", "(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_replace(F.regexp_extract("src", "(?s)^(.*?://[^?#]*)", 1), "(?<=[^/])/[^/]*$", "")
-    to = (F.when(F.contains("to", F.lit("://")), F.col("to"))
-          .when(F.startswith("to", F.lit("//")), F.concat(F.regexp_extract("src", "(?s)^(.*?:)//", 1), "to"))
-          .when(F.startswith("to", F.lit("/")), F.concat(root, "to"))
-          .otherwise(F.concat(folder, F.lit("/"), "to")))
-    return out.filter("to != ''").select("src", to.alias("dst"))
+    out = pages.select(F.col(url_col).alias("src"), F.explode(F.concat(F.transform(F.concat(canonical, refresh), decoded), script)).alias("to"))
+    return out.filter("to != ''").select("src", resolved(F.col("src"), F.col("to")).alias("dst"))
 
 
 def judge(pages: DataFrame, edges: DataFrame | None = None, url_col: str = "url", html_col: str = "html",
@@ -111,8 +143,12 @@ def judge(pages: DataFrame, edges: DataFrame | None = None, url_col: str = "url"
     new = ("host", "path", "rule", "verdict")
     keep = [c for c in pages.columns if c.lower() not in (*new, html_col.lower())]
     url = F.col(url_col)
-    src = pages.select(*keep, host(url).alias("host"), path(url).alias("path"), node(url).alias("_at"))
-    src = src.withColumn("_rule", matched(F.col("host"), F.col("path"), rules))
-    out = src.join(alias, src["_at"] == alias["_node"], "left")
-    verdict = F.coalesce("_rule.verdict", F.when(F.col("_node").isNotNull(), "block").otherwise("allow"))
-    return out.select(*keep, "host", "path", F.col("_rule.name").alias("rule"), verdict.alias("verdict"))
+    at, fit, bad_at = (free_name(c, pages.columns) for c in ("url_node", "url_rule", "alias_node"))
+    # no node begins with a slash: urls without a host are spread over the tasks instead of meeting as nulls
+    nowhere = F.concat(F.lit("/"), F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("string"))
+    src = pages.select(*keep, host(url).alias("host"), path(url).alias("path"), F.coalesce(node(url), nowhere).alias(at))
+    src = src.withColumn(fit, matched(F.col("host"), F.col("path"), rules))
+    alias = alias.withColumnRenamed("_node", bad_at)
+    out = src.join(alias, src[at] == alias[bad_at], "left")
+    verdict = F.coalesce(F.col(fit)["verdict"], F.when(F.col(bad_at).isNotNull(), "block").otherwise("allow"))
+    return out.select(*keep, "host", "path", F.col(fit)["name"].alias("rule"), verdict.alias("verdict"))
