@@ -126,21 +126,21 @@ def bundle_plan(df: DataFrame, size_col: str, order: list[str], max_bytes: float
     src = df if group_col else df.withColumn("_g", F.lit("all"))
     src = src.withColumn("_sz", F.greatest(F.coalesce(F.col(size_col).cast("double"), F.lit(0.0)), F.lit(0.0)))
     cum = _cut(prefix_sum(src, "_sz", [g, *order], "_cum").withColumn("_prev", F.col("_cum") - F.col("_sz")))
-    ends = _cut(cum.groupBy(F.col(g).alias("_group")).agg(F.min("_rn").alias("_from"), F.max("_rn").alias("_to")))
+    ends = _cut(cum.groupBy(F.col(g).alias("_of")).agg(F.min("_rn").alias("_from"), F.max("_rn").alias("_to")))
     at = lambda value: cum.select(value.alias("value"), F.col("_rn").alias("rn"))
     over = _first_above(at(F.col("_cum")), at(F.col("_prev") + F.lit(float(max_bytes))))
     filled = _first_above(at(F.col("_prev")), at(F.col("_prev"))).withColumnRenamed("to", "filled")
-    last = cum.join(ends, F.col(g).eqNullSafe(F.col("_group"))).select(F.col("_rn").alias("rn"), "_to")
+    last = cum.join(ends, F.col(g).eqNullSafe(F.col("_of"))).select(F.col("_rn").alias("rn"), "_to")
     step = (over.join(filled, "rn").join(last, "rn").select("rn", F.greatest("to", "filled").alias("to"), "_to")
             .filter(F.col("to") <= F.col("_to")).select("rn", "to"))
     starts = _reached(ends.select(F.col("_from").alias("rn")), step)
     flagged = cum.join(starts.select(F.col("rn").alias("_rn"), F.lit(1).alias("_cut")), "_rn", "left").withColumn(
         "_cut", F.coalesce("_cut", F.lit(0)))
     run = _cut(_running(flagged, ["_rn"], "_cut").withColumnRenamed("cum", "_parts").drop("pos"))
-    base = run.join(ends.select(F.col("_from").alias("_rn")), "_rn", "left_semi").select(F.col(g).alias("_group"), (F.col("_parts") - 1).alias("_base"))
-    res = (run.join(base, F.col(g).eqNullSafe(F.col("_group")))
+    base = run.join(ends.select(F.col("_from").alias("_rn")), "_rn", "left_semi").select(F.col(g).alias("_of"), (F.col("_parts") - 1).alias("_base"))
+    res = (run.join(base, F.col(g).eqNullSafe(F.col("_of")))
            .withColumn(part_col, (F.col("_parts") - F.col("_base")).cast("int"))
-           .drop("_group", "_base", "_parts", "_cut", "_cum", "_sz", "_prev").withColumnRenamed("_rn", "_row"))
+           .drop("_of", "_base", "_parts", "_cut", "_cum", "_sz", "_prev").withColumnRenamed("_rn", "_row"))
     return res.drop("_g") if not group_col else res
 
 

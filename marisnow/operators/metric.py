@@ -147,14 +147,13 @@ def _parts(count: np.ndarray) -> np.ndarray:
 
 class MetricIndex:
     """Index of the points ``(id_col, vec_col)``; ids are longs, vectors of
-    one length.  ``visited`` holds, for each search, the pairs of parts met
-    and how many there are in all."""
+    one length."""
 
     def __init__(self, df: DataFrame, id_col: str, vec_col: str, metric: str = "euclidean", cell_rows: int = CELL_ROWS):
         if metric not in ("euclidean", "cosine"):
             raise ValueError(f"unknown metric {metric}")
         self.spark, self.metric = df.sparkSession, metric
-        self.visited: list[tuple[str, int, int]] = []
+        self._searches: list[tuple[str, DataFrame, DataFrame]] = []
         rows = self._points(df, id_col, vec_col)
         first = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
         self.n, self.dims = int(first["n"]), int(first["d"] or 0)
@@ -230,6 +229,13 @@ class MetricIndex:
             self._packs = materialize(self._pack(self.base.select("cell", "part", "id", "vec")), self.spark, "metric-packs")
         return self._packs
 
+    @property
+    def visited(self) -> list[tuple[str, int, int]]:
+        """For each search its name, the pairs of parts that it met, and how
+        many there are in all (counted when asked for)."""
+        parts = int(self.cells.parts()[self.cells.count > 0].sum())
+        return [(name, asked.count(), parts * queries.count()) for name, asked, queries in self._searches]
+
     # -------------------------------------------------------------- search --
 
     def _ask(self, queries: DataFrame, choose, name: str) -> DataFrame:
@@ -251,8 +257,7 @@ class MetricIndex:
                         yield pd.DataFrame(out, columns=[c.split()[0] for c in ASKED.split(", ")])
 
         asked = materialize(queries.mapInPandas(run, ASKED), self.spark, "metric-asked")
-        self.visited.append((name, asked.count(), int(parts[self.cells.count > 0].sum()) * queries.count()))
-        log.info("metric index: %s met %d of %d pairs of parts", *self.visited[-1])
+        self._searches.append((name, asked, queries))
         return asked
 
     def _meet(self, asked: DataFrame, targets: DataFrame, fn, ddl: str) -> DataFrame:
