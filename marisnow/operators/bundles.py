@@ -38,25 +38,30 @@ def dtype_tags(df: DataFrame, cols: list[str] | None = None) -> dict[str, str]:
 
 
 def _tsv_cell(c: str):
-    return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
-
-
-def write_tagged_tsv(df: DataFrame, path: str, file_col: str) -> str:
-    """One tab-separated file per value of ``file_col`` (``<path>/_f=<v>/part-*``):
-    header line, the type-tag line, then the rows.  Rows of one file are
-    routed to one task and sorted (header, tags, data) inside it."""
+    """A cell as text, quoted (quotes doubled) where it holds a tab, a quote
+    or a line break; null is empty."""
+    text = F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+    return F.when(F.rlike(text, F.lit('[\t\n\r"]')), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
+
+
+def write_tagged_tsv(df: DataFrame, path: str, file_col: str, order: list[str] | None = None) -> str:
+    """One tab-separated file per value of ``file_col`` (``<path>/_f=<v>/part-*``,
+    pieces in order): header line, the type-tag line, then the rows in
+    ``order`` (default: as read).  Rows are dealt by ranges of (file, order),
+    so a large file is written by many tasks and only its first piece begins
+    with the header."""
     cols = [c for c in df.columns if c != file_col and not c.startswith("_")]
     tags = dtype_tags(df, cols)
-    header = "\t".join(cols)
-    tagline = "\t".join(tags[c] for c in cols)
-    data = df.select(F.col(file_col).alias("_f"), F.lit(2).alias("_k"),
+    place = [F.struct(*order)] if order else [F.monotonically_increasing_id()]
+    data = df.select(F.col(file_col).alias("_f"), F.lit(2).alias("_k"), place[0].alias("_o"),
                      F.concat_ws("\t", *[_tsv_cell(c) for c in cols]).alias("value"))
     files = df.select(F.col(file_col).alias("_f")).distinct()
-    head = files.select("_f", F.lit(0).alias("_k"), F.lit(header).alias("value"))
-    tag = files.select("_f", F.lit(1).alias("_k"), F.lit(tagline).alias("value"))
-    out = head.union(tag).union(data).repartition("_f").sortWithinPartitions("_f", "_k")
-    out.select("_f", "value").write.mode("overwrite").partitionBy("_f").option("lineSep", "\n") \
-        .text(path)
+    first = lambda k, line: files.select("_f", F.lit(k).alias("_k"), F.lit(None).cast(data.schema["_o"].dataType).alias("_o"),
+                                         F.lit("\t".join(line)).alias("value"))
+    out = first(0, cols).union(first(1, [tags[c] for c in cols])).union(data)
+    keys = ("_f", "_k", "_o")
+    out.repartitionByRange(*keys).sortWithinPartitions(*keys).select("_f", "value").write.mode("overwrite").partitionBy("_f") \
+        .option("lineSep", "\n").text(path)
     return path
 
 

@@ -20,9 +20,12 @@ from pyspark.sql import functions as F
 
 
 def pca_reduce(df: DataFrame, vec: str, k: int, out: str = "embedding", normalize: bool = False) -> DataFrame:
-    """Project ``vec`` onto its top-``k`` principal components."""
+    """Project ``vec`` onto its top-``k`` principal components; an empty
+    table stays one."""
     src = df.withColumn("_pv", array_to_vector(F.col(vec).cast("array<double>")))
-    dims = len(src.select(vec).first()[0])
+    dims = df.agg(F.max(F.size(vec))).first()[0]
+    if dims is None:
+        return df.withColumn(out, F.lit(None).cast("array<double>"))
     k = min(k, dims)
     model = PCA(k=k, inputCol="_pv", outputCol="_po").fit(src)
     res = model.transform(src).withColumn(out, vector_to_array("_po")).drop("_pv", "_po")

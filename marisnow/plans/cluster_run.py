@@ -19,7 +19,7 @@ from marisnow.operators.hdbscan import hdbscan
 from marisnow.operators.reduce import pca_reduce
 from marisnow.operators.rows import augmented_non_living, random_sample
 from marisnow.operators.vectors import append_log_area, merge_clusters
-from marisnow.schemas import DEFAULT_NON_LIVING_CLASSES
+from marisnow.schemas import DEFAULT_NON_LIVING_CLASSES, SAVED_KEYS
 
 log = logging.getLogger(__name__)
 
@@ -52,17 +52,9 @@ class RunConfig:
     non_living_classes: tuple = field(default_factory=lambda: tuple(DEFAULT_NON_LIVING_CLASSES))
     max_zip_mb: float = 500.0
 
-    SAVED_KEYS = (
-        "metadata_choice", "crop_path_token", "n_samples", "seed", "ssl_aug_profile",
-        "ssl_size_aware_canvas", "ssl_canvas_size", "umap_dims", "umap_n_neighbors", "umap_min_dist",
-        "min_cluster_size", "hdbscan_min_samples", "hdbscan_cluster_selection_epsilon",
-        "hdbscan_cluster_selection_method", "size_feature_mode", "size_feature_weight",
-        "fallback_kmeans_k", "max_clusters", "keep_noise_as_noise",
-    )
-
     def to_dict(self) -> dict:
         d = asdict(self)
-        return {k: d[k] for k in self.SAVED_KEYS}
+        return {k: d[k] for k in SAVED_KEYS}
 
 
 def cluster_features(features: DataFrame, id_col: str, vec_col: str, cfg: RunConfig) -> tuple[DataFrame, dict]:

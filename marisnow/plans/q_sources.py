@@ -267,26 +267,32 @@ def q_run_inventory(spark, d):
 
 # ------------------------------------------------------ round-trip sinks ---
 
-def _sample(df):
-    """The rows that SAMPLE_SQL states, of a table written and read whole."""
-    return random_sample(df, 2000, seed=42)
+INDEX_SQL = f"select object_id, full_path, top1, area, cruise from ({O.PARTICLES}) p"
 
 
-SAMPLE_SQL = f"(select * from ({O.PARTICLES}) p order by md5('42:' || object_id), object_id limit 2000)"
-
-
-@register("write_sample_index", f"select object_id, full_path, top1, area, cruise from {SAMPLE_SQL} s")
+@register("write_sample_index", INDEX_SQL)
 def q_write_sample_index(spark, d):
     run = scratch_path(spark, "run")
     whole = particles(spark, d).select("object_id", "full_path", "top1", "area", "cruise")
     RN.write_sample_index(whole, run)
-    back = RN.read_sample_index(spark, run, expected_rows=whole.count())
-    return _sample(back).select(F.col("object_id").cast("string").alias("object_id"), "full_path", "top1",
+    back = RN.read_table(spark, f"{run}/{RN.SAMPLE_INDEX}")
+    return back.select(F.col("object_id").cast("string").alias("object_id"), "full_path", "top1",
                        F.col("area").cast("double").alias("area"), "cruise")
 
 
+@register("read_sample_index", f"""
+select cruise, count(*) as n, count(distinct full_path) as paths, round(sum(area), 4) as area from ({O.PARTICLES}) p group by cruise""")
+def q_read_sample_index(spark, d):
+    """A saved index of another size than asked for is used as it is."""
+    run = scratch_path(spark, "run")
+    RN.write_sample_index(particles(spark, d).select("object_id", "full_path", "top1", "area", "cruise"), run, fmt="parquet")
+    back = RN.read_sample_index(spark, run, expected_rows=1, fmt="parquet")
+    return back.groupBy("cruise").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("full_path").alias("paths"),
+                                      F.round(F.sum("area"), 4).alias("area"))
+
+
 @register("load_export_inputs", f"""
-with s as {SAMPLE_SQL}, lab as ({O.LABELS})
+with s as ({O.PARTICLES}), lab as ({O.LABELS})
 select s.object_id, coalesce(lab.cluster_label, replace(coalesce(s.top1, 'nan'), '_', ' '))
   as object_annotation_category from s left join lab on s.object_id = lab.object_id""")
 def q_load_export_inputs(spark, d):
@@ -298,10 +304,53 @@ def q_load_export_inputs(spark, d):
         .withColumn("cluster_raw", F.lit(0)).withColumn("cluster_final", F.lit(0))
     RN.write_assignments(lab, run)
     sample, labels = RN.load_export_inputs(spark, run)
-    et = _sample(build_export_table(sample, labels))
+    et = build_export_table(sample, labels)
     return et.select(F.col("object_id").cast("string").alias("object_id"), "object_annotation_category")
 
 
+def run_settings(spark, d):
+    """A settings record for each cruise: those keys that differ, from its
+    particles; the others are the defaults."""
+    from marisnow.plans.cluster_run import RunConfig
+    per = particles(spark, d).groupBy("cruise").agg(
+        F.count(F.lit(1)).alias("n_samples"), F.floor(F.max("area")).cast("long").alias("seed"),
+        F.count_distinct("top1").cast("int").alias("min_cluster_size"))
+    same = {k: v for k, v in RunConfig().to_dict().items() if k not in per.columns}
+    return per.select(F.concat(F.lit("run_"), F.coalesce("cruise", F.lit("none"))).alias("run"), "n_samples", "seed", "min_cluster_size",
+                      *[F.lit(v).alias(k) for k, v in same.items() if v is not None],
+                      *[F.lit(None).cast("string").alias(k) for k, v in same.items() if v is None])
+
+
+CONFIG_SQL = f"""
+select 'run_' || coalesce(cruise, 'none') as run, count(*) as n_samples, cast(floor(max(area)) as bigint) as seed,
+  cast(count(distinct top1) as integer) as min_cluster_size, 20 as umap_dims, false as keep_noise_as_noise,
+  'eom' as hdbscan_cluster_selection_method, cast(null as varchar) as max_clusters from ({O.PARTICLES}) p group by cruise"""
+
+
+def _config_back(spark, path):
+    back = RN.load_run_configs(spark, path)
+    return back.select("run", F.col("n_samples").cast("long").alias("n_samples"), F.col("seed").cast("long").alias("seed"),
+                       F.col("min_cluster_size").cast("int").alias("min_cluster_size"), F.col("umap_dims").cast("int").alias("umap_dims"),
+                       F.col("keep_noise_as_noise").cast("boolean").alias("keep_noise_as_noise"), "hdbscan_cluster_selection_method",
+                       F.col("max_clusters").alias("max_clusters"))
+
+
+@register("run_config_save", CONFIG_SQL)
+def q_run_config_save(spark, d):
+    return _config_back(spark, RN.save_run_configs(run_settings(spark, d), scratch_path(spark, "configs")))
+
+
+@register("run_config_load", f"""
+select 'run_' || coalesce(cruise, 'none') as run, true as readable, count(*) as n_samples from ({O.PARTICLES}) p group by cruise
+union all select 'torn_' || coalesce(cruise, 'none'), false, null from ({O.PARTICLES}) p group by cruise""")
+def q_run_config_load(spark, d):
+    """Each run's settings beside a torn copy of them, which is unreadable."""
+    path = RN.save_run_configs(run_settings(spark, d), scratch_path(spark, "configs"))
+    torn = spark.read.text(path).select(F.regexp_replace("run", "^run_", "torn_").alias("run"), F.expr("left(value, 40)").alias("value"))
+    torn.write.mode("append").partitionBy("run").text(path)
+    return RN.load_run_configs(spark, path).select("run", "readable", F.col("n_samples").cast("long").alias("n_samples"))
+
+
 @register("write_assignments", f"""
 select cast(vec_id as varchar) as object_id, {O.clabel('(case when vec_id % 7 = 0 then -1 else label end)')}
   as cluster_label, case when vec_id % 7 = 0 then -1 else label end as cluster_raw from embeddings""")
@@ -441,11 +490,18 @@ def q_write_features(spark, d):
                        F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("s"))
 
 
-register("read_sample_index", f"select object_id, full_path, top1, area, cruise from {SAMPLE_SQL} s")(
-    q_write_sample_index)
-register("read_features", """
-select cast(vec_id as varchar) as object_id, len(embedding) as dim,
-  round(list_sum(list_transform(embedding, lambda x: x::double)), 4) as s from embeddings""")(q_write_features)
+@register("read_features", """
+select cast(vec_id as varchar) as object_id, len(embedding) as dim, round(embedding[1], 5) as head, round(embedding[len(embedding)], 5) as tail
+from embeddings where label is not null""")
+def q_read_features(spark, d):
+    """A store of every vector, read for the labelled ones."""
+    e = load(spark, d, "embeddings")
+    path = RN.write_features(e.select(F.col("vec_id").cast("string").alias("object_id"), F.lit("").alias("image_path"),
+                                      F.col("embedding").alias("features")), scratch_path(spark, "features"))
+    wanted = e.filter("label is not null").select(F.col("vec_id").cast("string").alias("object_id"))
+    back = RN.read_features(spark, path).join(wanted, "object_id", "left_semi")
+    return back.select("object_id", F.size("features").alias("dim"), F.round(F.element_at("features", 1).cast("double"), 5).alias("head"),
+                       F.round(F.element_at("features", -1).cast("double"), 5).alias("tail"))
 
 
 @register("dtype_tag_row", f"""

@@ -115,3 +115,12 @@ NA_TOKENS = [
 
 ASSIGNMENT_COLUMNS = ["object_id", "image_path", "cluster_raw", "cluster_final", "cluster_label"]
 VIEW2D_COLUMNS = ["object_id", "umap_x", "umap_y", "cluster_raw", "cluster_final", "cluster_label"]
+
+# The keys of a saved run configuration.
+SAVED_KEYS = (
+    "metadata_choice", "crop_path_token", "n_samples", "seed", "ssl_aug_profile",
+    "ssl_size_aware_canvas", "ssl_canvas_size", "umap_dims", "umap_n_neighbors", "umap_min_dist",
+    "min_cluster_size", "hdbscan_min_samples", "hdbscan_cluster_selection_epsilon",
+    "hdbscan_cluster_selection_method", "size_feature_mode", "size_feature_weight",
+    "fallback_kmeans_k", "max_clusters", "keep_noise_as_noise",
+)

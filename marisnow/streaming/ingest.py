@@ -9,12 +9,14 @@ with the same checkpoint location neither loses nor duplicates rows."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marisnow.functions import paths as PF
 from marisnow.operators.rows import dedup_first
+from marisnow.sources.runs import path_missing
 
 
 def metadata_stream(spark: SparkSession, folder: str, columns: list[str], sep: str = ",",
@@ -33,7 +35,9 @@ def metadata_stream(spark: SparkSession, folder: str, columns: list[str], sep: s
 def _known_paths(spark: SparkSession, table: str, path_col: str, batch_id: int) -> DataFrame | None:
     try:
         t = spark.read.parquet(table)
-    except Exception:  # noqa: BLE001 - table not created yet
+    except AnalysisException as e:
+        if not path_missing(e):  # anything but a table not created yet
+            raise
         return None
     return t.filter(F.col("batch_id") != batch_id).select(path_col).distinct()
 
@@ -44,8 +48,9 @@ def ingest_batch(batch: DataFrame, batch_id: int, table: str, path_col: str = "f
     # row order inside a file: the micro-batch is a static DataFrame here
     b = batch.withColumn("_row", F.monotonically_increasing_id()).filter(PF.valid_path(path_col))
     b = dedup_first(b, [path_col], ["_source_file", "_block", "_row"])
-    if rewrite:
+    if rewrite:  # two paths of a batch may become one
         b = b.withColumn(path_col, PF.rewrite_crops(path_col))
+        b = dedup_first(b, [path_col], ["_source_file", "_block", "_row"])
     known = _known_paths(spark, table, path_col, batch_id)
     if known is not None:
         b = b.join(known, path_col, "left_anti")

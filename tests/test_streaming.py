@@ -22,3 +22,10 @@ def test_incremental_ingest_keeps_first_and_skips_known(spark):
     q.awaitTermination(120)
     rows = {r.full_path: r.top1 for r in spark.read.parquet(table).collect()}
     assert rows == {"/x/Deconv_crops/1.png": "a", "/x/2.png": "c", "/x/3.png": "d"}
+
+
+def test_paths_that_become_one_are_admitted_once(spark):
+    root = tempfile.mkdtemp(prefix="ms-stream-")
+    _w(f"{root}/in/a.csv", "full_path,top1\n/r/Crops/1.png,a\n/r/Deconv_crops/1.png,b\n")
+    start_ingest(spark, f"{root}/in", f"{root}/table", f"{root}/ck", ["full_path", "top1"], trigger_once=True).awaitTermination(120)
+    assert [(r.full_path, r.top1) for r in spark.read.parquet(f"{root}/table").collect()] == [("/r/Deconv_crops/1.png", "a")]
