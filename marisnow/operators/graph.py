@@ -14,7 +14,7 @@ import logging
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marisnow.operators.metric import BUDGET, CELL_ROWS, MetricIndex
+from marisnow.operators.metric import BUDGET, MetricIndex
 from marisnow.session import materialize
 
 log = logging.getLogger(__name__)
@@ -123,7 +123,7 @@ def merge_roots(ptr: DataFrame) -> DataFrame:
 
 
 def mst_edges(points: DataFrame, id_col: str, vec_col: str, core_col: str | None = None,
-              metric: str = "euclidean", block_rows: int = CELL_ROWS, index: MetricIndex | None = None,
+              metric: str = "euclidean", block_rows: int | None = None, index: MetricIndex | None = None,
               near: DataFrame | None = None) -> DataFrame:
     """Minimum spanning tree (a, b, w) of the complete graph with weight
     max(core(a), core(b), d(a, b)) (plain distance when ``core_col`` is None),

@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 
 from marisnow.operators.graph import NEAR, _cut, global_rank, merge_roots, mst_edges
 from marisnow.operators.knn import knn
-from marisnow.operators.metric import CELL_ROWS, MetricIndex
+from marisnow.operators.metric import MetricIndex
 
 
 def core_distances(points: DataFrame, id_col: str, vec_col: str, min_samples: int,
-                   metric: str = "euclidean", block_rows: int = CELL_ROWS) -> DataFrame:
+                   metric: str = "euclidean", block_rows: int | None = None) -> DataFrame:
     """(id, core): distance to the min_samples-th neighbour, self included."""
     return _core(knn(points, id_col, vec_col, min_samples, metric, include_self=True, block_rows=block_rows), min_samples)
 
@@ -222,7 +222,7 @@ def select_clusters(tree: DataFrame, method: str = "eom", epsilon: float = 0.0)
 
 def hdbscan(points: DataFrame, id_col: str, vec_col: str, min_cluster_size: int = 100,
             min_samples: int | None = None, cluster_selection_epsilon: float = 0.0,
-            cluster_selection_method: str = "eom", metric: str = "euclidean", block_rows: int = CELL_ROWS) -> DataFrame:
+            cluster_selection_method: str = "eom", metric: str = "euclidean", block_rows: int | None = None) -> DataFrame:
     """(id, cluster_raw): density clusters, -1 = noise."""
     if min_cluster_size < 2:
         raise ValueError("min_cluster_size must be >= 2")

@@ -13,26 +13,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marisnow.operators.metric import CELL_ROWS, MetricIndex
+from marisnow.operators.metric import MetricIndex
 
 
 
-def _blocks_for(n: int, block_rows: int, parallelism: int | None = None) -> int:
-    """Blocks per side: enough to keep a block under ``block_rows`` rows,
-    and enough (B^2 >= parallelism) to give every core a block pair."""
-    b = max(1, math.ceil(n / max(1, block_rows)))
-    if parallelism and n > block_rows // 2:
-        # enough work to be worth spreading: one block pair per core at least
-        b = max(b, math.ceil(math.sqrt(parallelism)))
-    return min(b, max(1, n))
-
-
-def _prep(df: DataFrame, id_col: str, vec_col: str, nblocks: int) -> DataFrame:
-    return df.select(F.col(id_col).cast("long").alias("id"),
-                     F.col(vec_col).cast("array<double>").alias("v"),
-                     F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(nblocks)).cast("int").alias("blk"))
-
-
 def _matrix(s: pd.Series) -> np.ndarray:
     if len(s) == 0:
         return np.zeros((0, 0))
@@ -52,7 +36,7 @@ def _distances(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
 
 def knn(df: DataFrame, id_col: str, vec_col: str, k: int, metric: str = "cosine",
         include_self: bool = False, candidates: DataFrame | None = None,
-        block_rows: int = CELL_ROWS) -> DataFrame:
+        block_rows: int | None = None) -> DataFrame:
     """(id, nbr, rank, dist): the k nearest candidates of every point, ranked
     by (distance rounded to 1e-9, neighbour id).  ``candidates`` defaults to
     the points themselves (self pairs excluded unless ``include_self``);
@@ -76,8 +60,7 @@ def _dist_sum_fn(metric: str):
         if len(left) == 0 or len(right) == 0:
             return pd.DataFrame({"id": [], "lbl": [], "s": []})
         d = _distances(_matrix(left["v"]), _matrix(right["v"]), metric)
-        same = left["lbl"].to_numpy()[:, None] == right["lbl"].to_numpy()[None, :]
-        s = np.where(same, d, 0.0).sum(axis=1)
+        s = d.sum(axis=1)
         return pd.DataFrame({"id": left["id"].to_numpy(), "lbl": left["lbl"].to_numpy(), "s": s})
     return fn
 
@@ -86,17 +69,18 @@ def cluster_medoids(df: DataFrame, id_col: str, vec_col: str, label_col: str, me
                     block_rows: int = 2048) -> DataFrame:
     """(label, medoid id, medoid vector): the member with the least summed
     distance to the other members of its cluster (noise -1 excluded; ties
-    -> smallest id).  Same-cluster distance sums come from the blocked
-    all-pairs pass, so no pair is materialised even for a huge cluster."""
+    -> smallest id).  Every cluster is dealt into blocks by its size and its
+    blocks meet each other, so no pair is materialised even for a huge cluster
+    and no distance between clusters is computed."""
     pts = df.filter(F.col(label_col) != -1)
-    nb = _blocks_for(pts.count(), block_rows, df.sparkSession.sparkContext.defaultParallelism)
     base = pts.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"),
-                      F.col(label_col).cast("int").alias("lbl"),
-                      F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(nb)).cast("int").alias("blk"))
-    partner = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
+                      F.col(label_col).cast("int").alias("lbl"))
+    size = base.groupBy("lbl").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
+    base = base.join(size, "lbl").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     qx = base.select("id", "v", "lbl", F.col("blk").alias("qb"), partner.alias("cb"))
     cx = base.select(*[F.col(c).alias(c) for c in ("id", "v", "lbl")], partner.alias("qb"), F.col("blk").alias("cb"))
-    sums = (qx.groupBy("qb", "cb").cogroup(cx.groupBy("qb", "cb"))
+    sums = (qx.groupBy("lbl", "qb", "cb").cogroup(cx.groupBy("lbl", "qb", "cb"))
             .applyInPandas(_dist_sum_fn(metric), "id long, lbl int, s double")
             .groupBy("id", "lbl").agg(F.sum("s").alias("s")))
     best = sums.groupBy("lbl").agg(F.min(F.struct(F.round("s", 9).alias("s"), "id")).alias("m"))

@@ -42,8 +42,9 @@ from marisnow.session import materialize
 
 log = logging.getLogger(__name__)
 
-#: points in a cell on average, in a part at most (on average), cells, values in the table of pivots
-CELL_ROWS, PART_ROWS, MAX_PIVOTS, MAX_PIVOT_VALUES = 512, 1024, 4096, 4_000_000
+#: points in a cell on average: as many, or CELL_ROOT times the root of all, which balances the bounds' sharpness
+#: against the copies that pairs of parts make; points in a part at most (on average), cells, values in the table of pivots
+CELL_ROWS, CELL_ROOT, PART_ROWS, MAX_PIVOTS, MAX_PIVOT_VALUES = 512, 8, 2048, 4096, 4_000_000
 #: points that the pivots are fitted on, in the order of a hash of the id
 SAMPLE, ROUNDS = 16_384, 6
 #: points that a query meets before it has a bound, at least
@@ -149,7 +150,7 @@ class MetricIndex:
     """Index of the points ``(id_col, vec_col)``; ids are longs, vectors of
     one length."""
 
-    def __init__(self, df: DataFrame, id_col: str, vec_col: str, metric: str = "euclidean", cell_rows: int = CELL_ROWS):
+    def __init__(self, df: DataFrame, id_col: str, vec_col: str, metric: str = "euclidean", cell_rows: int | None = None):
         if metric not in ("euclidean", "cosine"):
             raise ValueError(f"unknown metric {metric}")
         self.spark, self.metric = df.sparkSession, metric
@@ -158,7 +159,8 @@ class MetricIndex:
         first = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
         self.n, self.dims = int(first["n"]), int(first["d"] or 0)
         most = max(1, min(MAX_PIVOTS, MAX_PIVOT_VALUES // max(self.dims, 1)))
-        k = max(1, min(most, math.ceil(self.n / max(1, cell_rows))))
+        cell_rows = cell_rows or max(CELL_ROWS, int(CELL_ROOT * self.n ** 0.5))
+        k = max(1, min(most, math.ceil(self.n / cell_rows)))
         x = rows.orderBy(F.xxhash64("id"), "id").limit(max(k, SAMPLE) if k > 1 else 1).select("v").toPandas()["v"]
         cells = Cells(np.zeros((0, self.dims)), np.zeros(0), np.zeros(0), metric, self.dims, 0.0)
         x = cells.unit(np.array([np.asarray(v, dtype=float) for v in x]).reshape(len(x), self.dims))

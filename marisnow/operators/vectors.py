@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 log = logging.getLogger(__name__)
 
 # Largest centroid table (clusters x dims) folded into one broadcast row; a
-# larger one is met pack by pack.
+# larger one is searched by a metric index.
 MAX_INLINE_CENTROID_VALUES = 4_000_000
 
 
@@ -90,16 +90,16 @@ def assign_noise(df: DataFrame, label: str, vec: str, out: str = "cluster_final"
     """-1 -> nearest mean centroid; no clusters -> 0; others unchanged.
 
     A centroid table within the size bound is folded into a single row and
-    broadcast, so the assignment is a narrow projection over the points.  A
-    larger one is met in packs of that bound: each point that is noise takes
-    the best of its distances to the packs, by the same formula."""
-    table, packs = centroid_packs(centroids(df, label, vec), label)
+    broadcast, so the assignment is a narrow projection over the points.
+    Beyond it the noise points search a metric index of the centroids."""
+    cents = centroids(df, label, vec)
+    table, packs = centroid_packs(cents, label)
     if packs > 1:
         from marisnow.operators.graph import _cut
+        from marisnow.operators.knn import nearest
         rows = _cut(df.withColumn("_rid", F.monotonically_increasing_id()))
-        cand = F.transform("_cents", lambda e: F.struct(sq_dist(F.col(vec), e["c"]).alias("d"), e["id"].alias("id")))
-        best = (rows.filter(F.col(label) == -1).join(table, how="cross")
-                .select("_rid", F.array_min(cand).alias("m")).groupBy("_rid").agg(F.min("m")["id"].alias("_near")))
+        best = nearest(rows.filter(F.col(label) == -1), "_rid", vec, _cut(cents), label, "centroid")
+        best = best.select(F.col("id").alias("_rid"), F.col("nbr").cast("int").alias("_near"))
         return rows.join(best, "_rid", "left").withColumn(out, F.when(F.col(label) != -1, F.col(label)).otherwise(
             F.coalesce("_near", F.lit(0)))).drop("_rid", "_near")
     j = df.join(F.broadcast(table), how="cross")
@@ -109,14 +109,15 @@ def assign_noise(df: DataFrame, label: str, vec: str, out: str = "cluster_final"
 
 
 def closest_pair(cents: DataFrame, label: str = "label") -> DataFrame:
-    """Closest pair of centroids (a < b): one row (a, b, dist); ties go to
-    the first pair in (a, b) order.  Theta self-join over the centroid
-    table, which has one row per cluster."""
-    a = cents.select(F.col(label).alias("a"), F.col("centroid").alias("ca"))
-    b = cents.select(F.col(label).alias("b"), F.col("centroid").alias("cb"))
-    pairs = a.join(b, F.col("a") < F.col("b")).select("a", "b", F.sqrt(sq_dist("ca", "cb")).alias("dist"))
-    best = pairs.agg(F.min(F.struct("dist", "a", "b")).alias("m"))
-    return best.select(F.col("m.a").alias("a"), F.col("m.b").alias("b"), F.col("m.dist").alias("dist"))
+    """Closest pair of centroids (a < b): one row (a, b, dist), none for
+    fewer than two; ties (to 1e-9) go to the first pair in (a, b) order.  The
+    closest pair is a centroid and its nearest neighbour, which a metric
+    index finds."""
+    from marisnow.operators.knn import knn
+    near = knn(cents, label, "centroid", 1, "euclidean")
+    kind = cents.schema[label].dataType
+    pair = F.struct(F.round("dist", 9).alias("r"), F.least("id", "nbr").cast(kind).alias("a"), F.greatest("id", "nbr").cast(kind).alias("b"), "dist")
+    return near.agg(F.min(pair).alias("m")).filter("m is not null").select("m.a", "m.b", "m.dist")
 
 
 def merge_plan(summaries: list[tuple[int, int, list[float]]], max_clusters: int) -> dict[int, int]:

@@ -113,3 +113,33 @@ def test_mutual_reachability_in_one_pass(spark):
     want = brute(x, x, 3, "euclidean", True)
     assert {(r.a, r.b) for r in got.itertuples()} == {(i, int(j)) for i, row in enumerate(want) for j in row}
     assert all(abs(r.w - max(core[r.a], core[r.b], r.d)) < 1e-6 for r in got.itertuples())
+
+
+def test_assign_noise_beyond_the_inlined_table(spark, monkeypatch):
+    from marisnow.operators import vectors as V
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.standard_normal(3)], int(i % 9) - 1) for i in range(180)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, lbl int")
+    small = {r.id: r.cluster_final for r in V.assign_noise(df, "lbl", "v").collect()}
+    monkeypatch.setattr(V, "MAX_INLINE_CENTROID_VALUES", 6)
+    large = {r.id: r.cluster_final for r in V.assign_noise(df, "lbl", "v").collect()}
+    assert small == large and all(v >= 0 for v in large.values())
+
+
+def test_closest_pair_and_medoids_by_brute_force(spark):
+    from marisnow.operators import vectors as V
+    from marisnow.operators.knn import cluster_medoids
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 6, (60, 2)).astype(float)  # many ties
+    cents = spark.createDataFrame([(i, [float(a) for a in r]) for i, r in enumerate(x)], "label int, centroid array<double>")
+    want = min((float(np.linalg.norm(x[i] - x[j])), i, j) for i in range(60) for j in range(i + 1, 60))
+    assert tuple(V.closest_pair(cents).first()) == (want[1], want[2], want[0])
+    assert V.closest_pair(cents.limit(1)).count() == 0
+    y, lab = rng.standard_normal((150, 3)), rng.integers(-1, 4, 150)
+    df = spark.createDataFrame([(i, [float(a) for a in r], int(c)) for i, (r, c) in enumerate(zip(y, lab))], "id long, v array<double>, lbl int")
+    got = {r.lbl: r.medoid_id for r in cluster_medoids(df, "id", "v", "lbl", block_rows=16).collect()}
+    for c in range(4):
+        m = np.flatnonzero(lab == c)
+        s = np.linalg.norm(y[m][:, None] - y[m][None], axis=-1).sum(1)
+        assert got[c] == m[int(s.argmin())]
+    assert set(got) == set(range(4))
