@@ -1,8 +1,8 @@
 """Main text of HTML pages by the line-block distribution.
 
 A page is stripped of its markup into lines, one per block element.  Text in
-page furniture (menus, footers, adverts, forms, comments ...) counts as a line
-without text.  The text lengths are summed over sliding windows of lines: a
+page furniture (elements such as nav and footer, or of names that say so) and
+lines that are mostly links count as lines without text.  The text lengths are summed over sliding windows of lines: a
 stretch ends where the sum dives to nothing, in a window of furniture only,
 and is kept if the sums to both sides of one of its lines surge over the
 threshold, so the short lines beside a long one stay.  This is done on every
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from itertools import accumulate
 
 import pyarrow as pa
@@ -27,10 +28,11 @@ THRESHOLD = 86
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style)\b.*?(?:</\1\s*>|\Z)"
-    r"|<(title|textarea|noscript|template|iframe|svg|math|canvas|select|button|object)\b[^>]*>.*?</\2\s*>"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-z][a-z0-9:-]*)([^>]*)>"
     r"|<[!?/][^>]*>", re.S | re.I)
+#: elements without text of the page; noscript is one outside an article only
+RAW = frozenset("title textarea noscript template iframe svg math canvas select button object".split())
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 LETTERS = re.compile(r"[a-z]+")
 CLOSING = re.compile(r"</([a-z][a-z0-9:-]*)", re.I)
@@ -42,35 +44,42 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 NESTED = frozenset("div section article main nav header footer aside form ul ol dl table tbody thead tr td th figure "
                    "blockquote details fieldset body html head menu dialog".split())
 FURNITURE = frozenset("nav footer aside form menu dialog".split())
-# Name parts that mark furniture, and name parts that mark content whatever stands beside them.
-FURNITURE_NAMES = frozenset("nav navbar navigation menu header footer sidebar aside ad ads advert advertisement adverts banner "
-                            "promo sponsor sponsored cookie cookies consent notice notices popup modal comment comments reply "
-                            "replies disqus form subscribe newsletter breadcrumb breadcrumbs share sharing social related "
-                            "pagination pager widget login search copyright legal toolbar skip complementary contentinfo "
-                            "disclaimer gdpr".split())
-CONTENT_NAMES = frozenset("article content entry post story body main text".split())
+# Name parts that mark furniture whatever stands beside them; those that do so alone or beside other such and plain parts.
+STRONG_NAMES = frozenset("nav navbar navigation menu footer sidebar aside ad ads advert advertisement adverts banner promo sponsor "
+                         "sponsored cookie cookies consent popup modal comment comments reply replies disqus subscribe newsletter "
+                         "breadcrumb breadcrumbs pagination pager widget login copyright toolbar contentinfo gdpr".split())
+WEAK_NAMES = frozenset("header notice notices form share sharing social related search skip legal complementary disclaimer".split())
+PLAIN_NAMES = frozenset("box bar bars link links list item items button buttons icon icons wrap wrapper container block area section "
+                        "group row col column inner outer top bottom left right site page global main content".split())
+#: share of a line's text in links from which on the line counts as links only
+LINKED = 0.6
 
 
 def _is_furniture(tag: str, attrs: str, in_article: bool) -> bool:
     if tag in FURNITURE or tag == "header" and not in_article:
         return True
-    if tag not in NESTED and tag not in ("p", "li", "span") or tag in ("body", "html", "main") or not attrs:
+    if tag not in NESTED and tag not in ("p", "li", "span") or tag in ("body", "html", "main", "article") or not attrs:
         return False
     for m in NAMES.finditer(attrs):
-        parts = set(LETTERS.findall((m[1] or m[2] or m[3] or "").lower()))
-        if parts & FURNITURE_NAMES and (not parts & CONTENT_NAMES or parts & {"comment", "comments", "ad", "ads"}):
-            return True
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            parts = set(LETTERS.findall(name))
+            if parts & STRONG_NAMES or parts & WEAK_NAMES and parts <= WEAK_NAMES | PLAIN_NAMES and not (in_article and "header" in parts):
+                return True
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, bool, int]]:
+def lines_of(page: str) -> list[tuple[str, bool, int, int]]:
     """(text, furniture, number of the outermost article or main element
-    around it, 0 if none) of the page's blocks in page order."""
-    lines: list[tuple[str, bool, int]] = []
+    around it, 0 if none, characters outside links) of the page's blocks in
+    page order."""
+    lines: list[tuple[str, bool, int, int]] = []
     articles = 0
     last = {m[1].lower(): m.start() for m in CLOSING.finditer(page)}  # where each tag closes for the last time
     stack: list[tuple[str, bool, int]] = []  # tag, furniture from here on, article from here on
+    opened: Counter = Counter()  # tags on the stack
     buffer: list[str] = []
+    linked = [0]  # characters of the buffer in links
+    links = 0
 
     def flush():
         if buffer:
@@ -78,25 +87,43 @@ def lines_of(page: str) -> list[tuple[str, bool, int]]:
             buffer.clear()
             if text:
                 _, furniture, article = stack[-1] if stack else ("", False, 0)
-                lines.append((text, furniture, article))
+                lines.append((text, furniture, article, 0 if linked[0] >= LINKED * len(text) else len(text)))
+        linked[0] = 0
 
-    at = 0
+    def put(text):
+        buffer.append(text)
+        if links:
+            linked[0] += len(text.strip())
+
+    at = skip = 0
     for m in TOKEN.finditer(page):
+        if m.start() < skip:  # inside an element without text
+            continue
+        at = max(at, skip)
         if m.start() > at:
-            buffer.append(page[at:m.start()])
+            put(page[at:m.start()])
         at = m.end()
-        name = m[4] or m[7]
+        name = m[3] or m[6]
         if not name:
             continue
-        tag, closing, attrs = name.lower(), (m[3] or m[6]) == "/", m[5] or m[8] or ""
+        tag, closing, attrs = name.lower(), (m[2] or m[5]) == "/", m[4] or m[7] or ""
         _, furniture, article = stack[-1] if stack else ("", False, 0)
+        if tag in RAW and not closing and not (tag == "noscript" and article) and last.get(tag, -1) >= at and not attrs.endswith("/"):
+            end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
+            skip = end.end() if end else len(page)
+            continue
+        if tag == "a":
+            links = max(0, links - 1) if closing else links + 1
         if closing:
-            if tag in INLINE and not any(s[0] == tag for s in stack):
+            if not opened[tag]:
+                if tag not in INLINE:
+                    flush()
                 continue
             flush()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
+            while stack:  # up to the tag itself
+                gone = stack.pop()[0]
+                opened[gone] -= 1
+                if gone == tag:
                     break
             continue
         marked = _is_furniture(tag, attrs, article > 0)
@@ -110,15 +137,27 @@ def lines_of(page: str) -> list[tuple[str, bool, int]]:
                 articles += 1
                 article = articles
             stack.append((tag, furniture or marked, article))
+            opened[tag] += 1
+    at = max(at, skip)
     if at < len(page):
-        buffer.append(page[at:])
+        put(page[at:])
     flush()
     return lines
 
 
 def kept_lines(lengths: list[int], window: int, threshold: int) -> list[bool]:
-    """Which lines stand in a stretch with a surge; all lines with text if
+    """Which lines with text stand in a stretch with a surge; all of them if
     there is none."""
+    return [length > 0 and k for length, k in zip(lengths, in_stretches(lengths, window, threshold))]
+
+
+def in_stretches(lengths: list[int], window: int, threshold: int) -> list[bool]:
+    """Which lines stand in a stretch with a surge, lines of length 0 inside
+    it included; all lines with text if there is none.
+
+    A stretch is a run of lines with text, less than ``window`` lines apart;
+    it surges where the lengths of some window of lines around one of its
+    lines sum up to ``threshold``."""
     n = len(lengths)
     sums = [0, *accumulate(lengths)]
     keep = [False] * n
@@ -127,22 +166,26 @@ def kept_lines(lengths: list[int], window: int, threshold: int) -> list[bool]:
     for i, length in enumerate(lengths):
         if not length:
             continue
-        if i - last >= window:  # dive: a whole window without text
+        if not last or i - last >= window:  # dive: a whole window without text
             keep[first:last] = [surge] * (last - first)
             first, surge = i, False
         last = i + 1
         surge = surge or sums[min(i + window, n)] - sums[max(i - window + 1, 0)] >= threshold
     keep[first:last] = [surge] * (last - first)
-    found = any(keep)
-    return [length > 0 and (k or not found) for length, k in zip(lengths, keep)]
+    return keep if any(keep) else [length > 0 for length in lengths]
 
 
 def main_text(page: str, window: int = WINDOW, threshold: int = THRESHOLD) -> str:
-    """The page's main text, its blocks joined by one space."""
+    """The page's main text, its blocks joined by one space.
+
+    A line's length is its text outside furniture; a line that is mostly
+    links counts 0, and goes unless it stands inside a kept stretch or in the
+    same article as one."""
     lines = lines_of(page)
-    keep = kept_lines([0 if furniture else len(text) for text, furniture, _ in lines], window, threshold)
-    found = {article for (_, _, article), k in zip(lines, keep) if k and article}
-    return " ".join(text for (text, furniture, article), k in zip(lines, keep) if k or article in found and not furniture)
+    keep = in_stretches([0 if furniture else own for _, furniture, _, own in lines], window, threshold)
+    keep = [k and not furniture for k, (_, furniture, _, _) in zip(keep, lines)]
+    found = {article for (_, _, article, _), k in zip(lines, keep) if k and article}
+    return " ".join(text for (text, furniture, article, _), k in zip(lines, keep) if k or article in found and not furniture)
 
 
 def extract(pages: DataFrame, html_col: str = "html", window: int = WINDOW, threshold: int = THRESHOLD) -> DataFrame:

@@ -85,3 +85,77 @@ def test_targets_are_decoded_and_resolved(spark):
             (2, "http://shop.net/es/q?a=1&b=2", ""), (3, "none", ""), (4, None, None), (5, "http://other.org/en/?a=1&b=2", "")]
     out = {r.page_id: r.verdict for r in urlfilter.judge(clashing(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()}
     assert out == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "block"}
+
+
+# ------------------------------------------------------------------- html --
+
+def kept_by_definition(lengths, window, threshold):
+    """Stretches and surges looked up line by line."""
+    n = len(lengths)
+    text = [i for i in range(n) if lengths[i]]
+    groups = []
+    for i in text:
+        if groups and i - groups[-1][-1] <= window:
+            groups[-1].append(i)
+        else:
+            groups.append([i])
+    keep = [False] * n
+    for g in groups:
+        around = [sum(lengths[j] for j in range(n) if abs(j - i) < window) for i in g]
+        if max(around) >= threshold:
+            for i in range(g[0], g[-1] + 1):
+                keep[i] = True
+    return keep if any(keep) else [x > 0 for x in lengths]
+
+
+def test_kept_lines_equal_their_definition():
+    from marisnow.llm.html import in_stretches
+    rng = random.Random(11)
+    for _ in range(400):
+        lengths = [rng.choice([0, 0, 0, 5, 12, 40, 90]) for _ in range(rng.randint(0, 25))]
+        window, threshold = rng.randint(1, 4), rng.choice([1, 20, 60, 130])
+        assert in_stretches(lengths, window, threshold) == kept_by_definition(lengths, window, threshold)
+
+
+def test_names_and_tags_of_furniture():
+    from marisnow.llm.html import main_text
+    body = "<p>" + "word " * 40 + "</p>"
+    text = ("word " * 40).strip()
+    for furniture in ('<div class="main-nav">m</div>', '<div class="footer-text">f</div>', '<div id=sidebar-content>s</div>',
+                      '<div class="share-buttons">s</div>', '<section class="comments"><p>' + "nice " * 60 + "</p></section>",
+                      '<p class="cookie-notice">c</p>', "<noscript>n</noscript>", "<select><option>o</select>"):
+        assert main_text(f"{furniture}<article>{body}</article>{furniture}") == text, furniture
+    for content in ('<p class="share-price">It rose.</p>', '<div class="social-history"><p>It rose.</p></div>',
+                    '<div class="notice-board">It rose.</div>', "<noscript>It rose.</noscript>", '<header class="header"><h1>It rose.</h1></header>'):
+        assert main_text(f"<nav>x</nav><article>{content}{body}</article>") == f"It rose. {text}", content
+
+
+def test_pages_without_helpful_names():
+    """Menus, teasers and footers of neutral divs go by their links."""
+    from marisnow.llm.html import main_text
+    rng = random.Random(5)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+    def menu(n):
+        return '<div class="k1"><ul>' + "".join(f'<li><a href="#">{words(rng.randint(1, 9))}</a></li>' for _ in range(n)) + "</ul></div>"
+
+    for _ in range(40):
+        paragraphs = [words(rng.randint(25, 60)) for _ in range(rng.randint(2, 6))]
+        inside = [f"<p>{p}</p>" for p in paragraphs]
+        wanted = list(paragraphs)
+        if rng.random() < 0.5:  # one short line and one link between paragraphs stay
+            at = rng.randint(1, len(inside) - 1)
+            inside.insert(at, '<p>See <a href="#">more of it</a> here.</p>')
+            wanted.insert(at, "See more of it here.")
+        page = f'<body>{menu(rng.randint(4, 12))}<div class="k2">{"".join(inside)}</div>{menu(rng.randint(4, 12))}</body>'
+        assert main_text(page) == " ".join(wanted)
+
+
+def test_broken_pages_take_linear_time():
+    from marisnow.llm.html import main_text
+    for bad in ("<button>x" * 8000, "<div>" * 8000 + "</b>" * 8000 + "x", "<p></span>" * 20_000, "<svg><a>" * 8000 + "</svg>"):
+        began = time.time()
+        main_text(bad)
+        assert time.time() - began < 2.0
