@@ -20,6 +20,7 @@ from marisnow.operators.reduce import pca_reduce
 from marisnow.operators.rows import augmented_non_living, random_sample
 from marisnow.operators.vectors import append_log_area, merge_clusters
 from marisnow.schemas import DEFAULT_NON_LIVING_CLASSES, SAVED_KEYS
+from marisnow.sources.runs import ASSIGN_SCHEMA
 
 log = logging.getLogger(__name__)
 
@@ -86,6 +87,11 @@ def cluster_run(spark: SparkSession, particles: DataFrame, features: DataFrame,
     flagged = augmented_non_living(particles, category_col, classes, "_nl")
     sample = random_sample(flagged, cfg.n_samples, cfg.seed)
     nl = sample.filter(F.col("_nl"))
+    if nl.isEmpty():  # nothing to cluster: the sample alone goes on to the export
+        log.warning("no non-living particle in the sample; clustering skipped")
+        none = spark.createDataFrame([], ASSIGN_SCHEMA)
+        return {"sample": sample.drop("_nl"), "assignments": none, "stats": {"clusters": 0, "noise": 0, "noise_pct": 0.0, "all_noise": True},
+                "embedding": spark.createDataFrame([], "id long, embedding array<double>")}
     feats = features.join(nl.select(F.col("object_id").cast("string").alias("object_id"),
                                     *([F.col("area")] if "area" in nl.columns else [])), "object_id")
     if cfg.size_feature_mode != "off" and "area" in feats.columns:
