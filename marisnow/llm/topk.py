@@ -9,7 +9,9 @@ Plan
    ties in length are split by id.
 3. Query blocks meet the first group of blocks - the longest vectors - and
    each query gets the k-th best score so far as its floor.
-4. Query blocks meet all other groups.  A block whose Cauchy-Schwarz bound
+4. Query blocks meet the other groups up to the one from which on
+   |q| max|x| is below every floor of the block; only these pairs are
+   shuffled.  A block whose Cauchy-Schwarz bound
    |q| max|x| is below a query's floor is skipped; inside a block partial
    sums over the leading rotated coordinates plus the bound on the residual
    prune most vectors, and the survivors get their exact integer score.
@@ -34,6 +36,8 @@ K = 10
 BLOCK, GROUP, QUERIES = 2048, 8, 1024
 #: share of the rotated coordinates in the partial sums
 HEAD = 0.25
+#: group numbers at which the lengths are looked up, at most
+MARKS = 4096
 #: relative slack for rounding in the bounds
 SLACK = 1e-9
 
@@ -179,17 +183,39 @@ def _numbered(blocks: DataFrame, name: str, each: int) -> tuple[DataFrame, int]:
     return out.drop("part", "offset"), count
 
 
+def last_groups(marks: list[tuple[int, float]], n_groups: int):
+    """Function of (longest query, least floor): the number of groups, in
+    their order of descending length, that may reach the floor.  ``marks``:
+    (group, its greatest length) of some groups in order."""
+    at = [m[0] for m in marks]
+    high = np.array([m[1] for m in marks])
+
+    def groups(longest: float, least: float) -> int:
+        if not np.isfinite(least):
+            return n_groups
+        fails = np.flatnonzero(longest * high * (1 + SLACK) + SLACK < least)
+        return at[int(fails[0])] if len(fails) else n_groups
+
+    return groups
+
+
 def _met(blocks: DataFrame, queries: DataFrame, groups: tuple[int, int], n_queries: int, basis: np.ndarray, dims: int,
-         k: int) -> DataFrame:
+         k: int, until=None) -> DataFrame:
     """Best of every cell: groups lo..hi-1 of blocks against each query
     block.  ``queries`` has the packed columns, its number ``qb`` and
-    ``floors``."""
+    ``floors``; with ``until`` (see :func:`last_groups`) and ``least``, a
+    block's least floor, only the groups that it allows."""
     lo, hi = groups
-    every = lambda a, b: F.explode(F.sequence(F.lit(a).cast("long"), F.lit(b - 1).cast("long")))
     if hi <= lo or not n_queries:
         return blocks.sparkSession.createDataFrame([], FOUND)
-    left = blocks.filter(F.col("group").between(lo, hi - 1)).withColumn("qb", every(0, n_queries))
-    right = queries.withColumn("group", every(lo, hi))
+    end = F.lit(hi).cast("long") if until is None else F.udf(lambda q, f: max(lo, min(hi, until(q, f))), "long")("high", "least")
+    right = (queries.withColumn("end", end).filter(F.col("end") > lo)
+             .withColumn("group", F.explode(F.sequence(F.lit(lo).cast("long"), F.col("end") - 1))).drop("end"))
+    if until is None:
+        left = blocks.filter(F.col("group").between(lo, hi - 1)).withColumn(
+            "qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_queries - 1).cast("long"))))
+    else:
+        left = blocks.join(right.select("group", F.col("qb").alias("q")), "group").withColumnRenamed("q", "qb")
 
     def run(key, x, q):
         x = x.sort_values(["high", "block"], ascending=[False, True])
@@ -238,17 +264,23 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_co
     none = F.udf(lambda m: np.full(m, -np.inf).tobytes(), "binary")
     first = written(_met(numbered, asked.withColumn("floors", none("n")), (0, min(1, n_groups)), n_asked, basis, dims, k), "topk-first")
     low = _best(first, k).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
-    rest = _met(numbered, _floors(asked, low), (1, n_groups), n_asked, basis, dims, k)
+    step = -(-n_groups // MARKS) or 1
+    marks = (numbered.filter((F.col("group") % step == 0) & (F.col("group") > 0)).groupBy("group").agg(F.max("high").alias("high"))
+             .orderBy("group").collect())  # MARKS rows at most
+    until = last_groups([(int(m["group"]), float(m["high"])) for m in marks], n_groups)
+    rest = _met(numbered, written(_floors(asked, low), "topk-asked"), (1, n_groups), n_asked, basis, dims, k, until)
     return _best(first.unionByName(rest), k).select("query_id", "rank", "vec_id", "score")
 
 
 def _floors(q: DataFrame, low: DataFrame) -> DataFrame:
-    """The query blocks with ``floors`` in the order of their ids."""
+    """The query blocks with ``floors`` in the order of their ids, and
+    ``least``, the smallest of them."""
     ids = q.select("block", "ids").mapInPandas(
         lambda it: (pd.concat([pd.DataFrame({"block": b, "id": np.frombuffer(i, np.int64),
                                              "at": np.arange(len(i) // 8)}) for b, i in zip(p["block"], p["ids"])])
                     for p in it if len(p)), "block long, id long, at long")
     packed = (ids.join(low, "id", "left").groupBy("block")
-              .agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "floor"))), lambda s: s["floor"]).alias("f")))
+              .agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "floor"))), lambda s: s["floor"]).alias("f"),
+                   F.min(F.coalesce("floor", F.lit(float("-inf")))).alias("least")))
     pack = F.udf(lambda f: np.array([-np.inf if x is None else x for x in f]).tobytes(), "binary")
     return q.join(packed, "block").withColumn("floors", pack("f")).drop("f")

@@ -159,3 +159,34 @@ def test_broken_pages_take_linear_time():
         began = time.time()
         main_text(bad)
         assert time.time() - began < 2.0
+
+
+def test_exact_topk_meets_only_groups_that_can_hold_a_hit(spark, monkeypatch):
+    from marisnow.llm import topk
+    for name, value in (("BLOCK", 8), ("GROUP", 2), ("QUERIES", 4)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((400, 5)) * np.r_[np.full(60, 3.0), np.full(340, 0.02)][:, None]  # few long ones
+    df = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    met = []
+    real = topk.last_groups
+
+    def counted(marks, n_groups):
+        until = real(marks, n_groups)
+        met.append((n_groups, marks, until))
+        return until
+
+    monkeypatch.setattr(topk, "last_groups", counted)
+    got = {}
+    for r in topk.top_k(df, df.filter("vec_id % 10 = 0 and vec_id < 60"), k=3, scale=64).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    v = np.floor(64 * x).astype(np.int64)
+    for q in range(0, 60, 10):
+        score = v @ v[q]
+        order = [i for i in np.lexsort((np.arange(400), -score)) if i != q][:3]
+        assert sorted(got[q]) == [(n, int(i), int(score[i])) for n, i in enumerate(order, 1)]
+    n_groups, marks, until = met[0]
+    length = np.sqrt((v[:60:10].astype(float) ** 2).sum(1)).max()
+    assert n_groups > 20 and until(length, min(s[2] for g in got.values() for s in g)) <= 6
+    assert until(length, float("-inf")) == n_groups and until(0.0, 1.0) <= 1
+    assert all(a[1] >= b[1] for a, b in zip(marks, marks[1:]))
