@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import logging
 
-import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -120,59 +119,25 @@ def closest_pair(cents: DataFrame, label: str = "label") -> DataFrame:
     return near.agg(F.min(pair).alias("m")).filter("m is not null").select("m.a", "m.b", "m.dist")
 
 
-def merge_plan(summaries: list[tuple[int, int, list[float]]], max_clusters: int) -> dict[int, int]:
-    """Greedy closest-centroid merging on the per-cluster summaries
-    (id, n, vector sum): merge b into a (a < b, closest pair first in (a, b)
-    order on ties), recompute the merged mean, until at most ``max_clusters``
-    remain; then renumber 0..K-1 in id order.  Works on K summary rows only."""
-    if max_clusters is None:
-        return {s[0]: s[0] for s in summaries}
-    if max_clusters <= 0:
-        raise ValueError("max_clusters must be >= 1")
-    ids = sorted(s[0] for s in summaries)
-    n = {s[0]: float(s[1]) for s in summaries}
-    vs = {s[0]: np.asarray(s[2], dtype=np.float64) for s in summaries}
-    owner = {i: i for i in ids}
-    cents = np.stack([vs[i] / n[i] for i in ids]) if ids else np.zeros((0, 0))
-    far = np.full((len(ids), len(ids)), np.inf)  # distances of pairs a < b, by differences at every size
-    for i in range(len(ids)):
-        far[i, i + 1:] = np.sqrt(((cents[i + 1:] - cents[i]) ** 2).sum(1))
-    alive = np.ones(len(ids), dtype=bool)
-    for _ in range(len(ids) - max_clusters):
-        ia, ib = np.unravel_index(int(np.argmin(far)), far.shape)  # the first minimum in (a, b) order
-        a, b = ids[ia], ids[ib]
-        vs[a] = vs[a] + vs[b]
-        n[a] += n[b]
-        cents[ia] = vs[a] / n[a]
-        for k, v in owner.items():
-            if v == b:
-                owner[k] = a
-        alive[ib] = False
-        far[ib, :] = far[:, ib] = np.inf
-        now = np.where(alive, np.sqrt(((cents - cents[ia]) ** 2).sum(1)), np.inf)
-        far[ia, ia + 1:], far[:ia, ia] = now[ia + 1:], now[:ia]
-    ids = [i for i, keep in zip(ids, alive) if keep]
-    dense = {old: new for new, old in enumerate(sorted(ids))}
-    return {k: dense[v] for k, v in owner.items()}
-
-
 def merge_clusters(df: DataFrame, label: str, vec: str, max_clusters: int | None,
                    out: str | None = None, compat_noise: bool = False) -> DataFrame:
     """Merge clusters until at most ``max_clusters`` remain (closest mean
-    centroids first), renumbered 0..K-1.  Noise stays -1 unless
-    ``compat_noise`` (then noise joins cluster 0 whenever a merge happens,
-    as the upstream renumbering does)."""
+    centroids first, ``merge.merge_map``), renumbered 0..K-1; with no more
+    clusters than that labels stay.  Noise stays -1 unless ``compat_noise``
+    (then noise joins cluster 0 whenever a merge happens, as the upstream
+    renumbering does); a null label stays null."""
+    from marisnow.operators.graph import _cut
+    from marisnow.operators.merge import merge_map
     out = out or label
     if max_clusters is not None and max_clusters <= 0:
         raise ValueError("max_clusters must be >= 1")
-    summ = cluster_summaries(df, label, vec)
-    rows = [(int(r[0]), int(r[1]), list(r[2])) for r in summ.select(label, "n", "vsum").collect()]
-    if max_clusters is None or len(rows) <= max_clusters:
+    if max_clusters is None:
+        return df.withColumn(out, F.col(label))
+    summ = _cut(cluster_summaries(df, label, vec).select(label, "n", "vsum").filter(F.col(label).isNotNull()))
+    if summ.count() <= max_clusters:
         return df.withColumn(out, F.col(label))
-    plan = merge_plan(rows, max_clusters)
-    spark = df.sparkSession
-    mapping = spark.createDataFrame([(int(k), int(v)) for k, v in plan.items()], "_old int, _new int")
-    j = df.join(F.broadcast(mapping), F.col(label) == F.col("_old"), "left")
+    mapping = _cut(merge_map(summ, label, max_clusters).select(F.col("old").alias("_old"), F.col("new").alias("_new")))
+    j = df.join(mapping, F.col(label) == F.col("_old"), "left")
     noise_to = F.lit(0) if compat_noise else F.lit(-1)
     return j.withColumn(out, F.when(F.col(label) == -1, noise_to).otherwise(F.col("_new"))).drop("_old", "_new")
 
