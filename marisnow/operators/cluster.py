@@ -39,21 +39,40 @@ def _squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2.0 * (x @ c.T) + (c * c).sum(1)[None, :], 0.0)
 
 
+def _packed(points: DataFrame) -> DataFrame:
+    """(x): the vectors of an Arrow batch as one binary value, which a scan
+    reads without a value a component."""
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                x = b.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary())], ["x"])
+
+    return points.mapInArrow(run, "x binary")
+
+
 def _step(points: DataFrame, starts: dict[int, np.ndarray], dims: int) -> dict[int, tuple[np.ndarray, float]]:
-    """One scan for all ``starts``: each one's new centres and its cost at the
-    old ones.  A task sends one row for each start and cluster it has met."""
+    """One scan of the packed points for all ``starts``: each one's new centres
+    and its cost at the old ones.  A task sends one row for each start and cluster it has met."""
+
+    every = np.concatenate(list(starts.values()))
+    lengths, edges = (every * every).sum(1), np.cumsum([0] + [len(c) for c in starts.values()])
 
     def run(batches):
         sums = {s: (np.zeros(len(c)), np.zeros(c.shape), np.zeros(len(c))) for s, c in starts.items()}
         for b in batches:
-            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
-            for s, c in starts.items():
-                d = _squared(x, c)
-                at = d.argmin(1)
-                n, total, cost = sums[s]
-                n += np.bincount(at, minlength=len(c))
-                cost += np.bincount(at, d[np.arange(len(x)), at], len(c))
-                total += (at[None, :] == np.arange(len(c))[:, None]).astype(float) @ x
+            for pack in b.column(0).to_pylist():
+                x = np.frombuffer(pack, np.float64).reshape(-1, dims)
+                own, product = (x * x).sum(1)[:, None], x @ every.T  # one product for all starts
+                for i, s in enumerate(starts):
+                    here = slice(edges[i], edges[i + 1])
+                    d = np.maximum(own - 2.0 * product[:, here] + lengths[here], 0.0)
+                    at = d.argmin(1)
+                    n, total, cost = sums[s]
+                    n += np.bincount(at, minlength=len(n))
+                    cost += np.bincount(at, d[np.arange(len(x)), at], len(n))
+                    total += (at[None, :] == np.arange(len(n))[:, None]).astype(float) @ x
         rows = [(s, i, n[i], cost[i], (total[i] / n[i]).tolist()) for s, (n, total, cost) in sums.items() for i in np.flatnonzero(n)]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.float64())))],
@@ -88,19 +107,20 @@ def kmeans_fallback(df: DataFrame, vec: str, k: int, seed: int = 42, n_init: int
         raise ValueError(f"fallback k={k} is larger than number of points={n}")
     first = points.orderBy(F.xxhash64("v"), "v").limit(max(sample, k)).toPandas()["v"]
     x = np.array([np.asarray(v, dtype=float) for v in first])
+    packs = materialize(_packed(points), df.sparkSession, "kmeans-packs")
     running = {s: starting_centres(x, k, seed + s) for s in range(max(1, n_init))}
     done: dict[int, tuple[float, np.ndarray]] = {}
     for _ in range(max_iter):
         if not running:
             break
-        moved = _step(points, running, x.shape[1])
+        moved = _step(packs, running, x.shape[1])
         for s, (centres, cost) in moved.items():
             if np.sqrt(((centres - running[s]) ** 2).sum(1)).max() <= tol:
                 done[s] = cost, running.pop(s)
             else:
                 running[s] = centres
     if running:  # those that still move at the limit
-        done |= {s: (cost, running[s]) for s, (_, cost) in _step(points, running, x.shape[1]).items()}
+        done |= {s: (cost, running[s]) for s, (_, cost) in _step(packs, running, x.shape[1]).items()}
     cost, centres = min(((c, s, m) for s, (c, m) in done.items()), key=lambda t: t[:2])[::2]
     log.info("kmeans: least cost %s of %d starts", cost, len(done))
 

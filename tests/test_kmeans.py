@@ -53,3 +53,14 @@ def test_refusals_and_null_vectors(spark):
     assert got[99] is None and {v for i, v in got.items() if i != 99} == {0, 1}
     same = frame(spark, np.ones((5, 2)))
     assert {r.cluster_final for r in cluster.kmeans_fallback(same, "v", 2, n_init=2).collect()} == {0}
+
+
+def test_a_scan_reads_packed_vectors(spark, monkeypatch):
+    from marisnow.operators import cluster
+    seen, step = [], cluster._step
+    monkeypatch.setattr(cluster, "_step", lambda points, *rest: seen.append(points.dtypes) or step(points, *rest))
+    rows = [(i, [float(i % 3) * 10, float(i % 2)]) for i in range(60)]
+    df = spark.createDataFrame(rows + [(60, None)], "id long, v array<double>")
+    got = {r.id: r.c for r in cluster.kmeans_fallback(df, "v", 3, n_init=2, out="c").collect()}
+    assert {tuple(d) for d in seen} == {(("x", "binary"),)}  # a vector's components are no values of the scan
+    assert got[60] is None and len({(i % 3, got[i]) for i in range(60)}) == 3
