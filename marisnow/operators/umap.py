@@ -3,11 +3,13 @@
 1. exact kNN (metric index) -> fuzzy simplicial set (``reduce.fuzzy_graph``);
 2. initial layout: PCA of the inputs, scaled to [-10, 10] (distributed);
 3. nodes get a dense index and are dealt into ranges of NODES; a range's
-   edges are packed once, in parts of bounded size, and so is the list of the
-   coordinates that each part needs from each range;
-4. E epochs of full-batch optimisation.  An epoch exchanges coordinates only:
-   every range sends each part the rows on its list, and whole to the parts
-   that draw their negatives from it.  A part returns its nodes' weighted sums
+   edges are packed once, in parts of bounded size, and dealt to TASKS rows of
+   tasks, where they are kept between epochs;
+4. E epochs of full-batch optimisation.  An epoch exchanges coordinates only,
+   as whole millionths: a range goes once to each task.  Where all coordinates
+   exceed STATE_BYTES, tasks form a grid: edges are also dealt by the column of
+   their other end, and a task gets the ranges of its column, of its nodes and
+   of their negatives.  A part returns its nodes' weighted sums
    of pulls (attractive term of the low-dimensional membership curve
    1 / (1 + a d^2b)) and pushes, clipped to [-4, 4]; a range averages its
    parts' sums and moves with a learning rate decaying 1 -> 0.
@@ -21,10 +23,13 @@ neighbour preservation, determinism and a plain numpy version of the epochs."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from marisnow.operators.graph import _cut, global_rank
 from marisnow.operators.knn import knn
@@ -34,6 +39,10 @@ from marisnow.operators.reduce import fuzzy_graph, pca_reduce
 NODES, EDGES, NEGATIVE_RANGES, KEEP_EVERY = 512, 32_768, 2, 5
 #: edges that are moved at once
 CHUNK = 8_192
+#: rows of tasks (more where a task would get more than TASK_EDGES edges), bytes of coordinates in a column of tasks
+TASKS, TASK_EDGES, STATE_BYTES = 16, 4 << 20, 32 << 20
+#: coordinates are exchanged as multiples of 1 / UNIT
+UNIT = 1e6
 
 
 def curve_params(min_dist: float, spread: float = 1.0) -> tuple[float, float]:
@@ -109,74 +118,103 @@ def forces(own: np.ndarray, there: np.ndarray, pool: np.ndarray, pool_ids: np.nd
     return total, weight
 
 
-def _layout_tables(graph: DataFrame, ids: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """``packs`` (range, part, u, v, w) and ``lists`` (src, range, part,
-    rows): the edges of every part, and the rows of range ``src`` that it
-    needs."""
+def _packed(y: np.ndarray, whole: type) -> bytes:
+    """Rounded coordinates as whole numbers; the least one stands for NaN."""
+    lost = np.isnan(y)
+    return np.where(lost, np.iinfo(whole).min, np.rint(np.where(lost, 0.0, y) * UNIT)).astype(whole).tobytes()
+
+
+def _unpacked(y: bytes, whole: type, dims: int) -> np.ndarray:
+    y = np.frombuffer(y, whole).reshape(-1, dims)
+    return np.where(y == np.iinfo(whole).min, np.nan, y / UNIT)
+
+
+@dataclass
+class Grid:
+    """The tasks of an epoch, by rows (of their edges' nodes) and columns (of
+    the other ends)."""
+
+    ranges: int
+    rows: int
+    columns: int
+
+    def column(self, src: Column) -> Column:
+        return F.floor(src * self.columns / self.ranges).cast("int")
+
+
+def _edge_packs(graph: DataFrame, ids: DataFrame, n: int, dims: int, width: int) -> tuple[DataFrame, Grid]:
+    """(task, col, range, part, u, v, w): the edges of every part, kept where
+    its task runs (to be unpersisted), and the grid.  ``width``: bytes of a
+    coordinate."""
+    ranges = -(-n // NODES)
+    grid = Grid(ranges, 1, max(1, min(ranges, -(-n * dims * width // STATE_BYTES))))
     number = lambda c: ids.select(F.col("id").alias(c), F.col("ix").alias("_" + c))
     both = graph.select("a", "b", "w").join(number("a"), "a").join(number("b"), "b")
     ends = both.select("w", F.explode(F.array(F.struct(F.col("_a").alias("u"), F.col("_b").alias("v")),
                                               F.struct(F.col("_b").alias("u"), F.col("_a").alias("v")))).alias("e"))
     edges = _cut(ends.select("e.u", "e.v", "w", F.floor(F.col("e.u") / NODES).cast("int").alias("range")))
-    size = edges.groupBy("range").agg(F.ceil(F.count(F.lit(1)) / EDGES).alias("parts"))
-    edges = _cut(edges.join(size, "range").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")).drop("parts"))
+    size = _cut(edges.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / EDGES).alias("parts")))
+    most = size.agg(F.sum("n")).first()[0] or 0
+    grid.rows = min(max(ranges, 1), max(TASKS, -(-most // (TASK_EDGES * grid.columns))))
+    col = grid.column(F.floor(F.col("v") / NODES))
+    dealt = (edges.join(size.drop("n"), "range").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")).withColumn("col", col)
+             .withColumn("task", F.pmod(F.col("range") + F.col("part"), F.lit(grid.rows)) * grid.columns + F.col("col")).drop("parts"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["u", "v"], kind="stable")
-        return pd.DataFrame({"range": [int(pdf["range"].iloc[0])], "part": [int(pdf["part"].iloc[0])],
+        return pd.DataFrame({**{c: [int(pdf[c].iloc[0])] for c in ("task", "col", "range", "part")},
                              **{c: [pdf[c].to_numpy(t).tobytes()] for c, t in (("u", np.int64), ("v", np.int64), ("w", np.float64))}})
 
-    packs = edges.groupBy("range", "part").applyInPandas(pack, "range int, part int, u binary, v binary, w binary")
-    need = edges.select("range", "part", F.floor(F.col("v") / NODES).cast("int").alias("src"), (F.col("v") % NODES).cast("int").alias("row"))
-    lists = need.groupBy("src", "range", "part").agg(F.array_sort(F.collect_set("row")).alias("rows"))  # NODES rows at most
-    return _cut(packs), _cut(lists)
+    packs = dealt.groupBy("task", "col", "range", "part").applyInPandas(
+        pack, "task int, col int, range int, part int, u binary, v binary, w binary")
+    packs = packs.repartitionById(grid.rows * grid.columns, F.col("task")).persist(StorageLevel.DISK_ONLY)
+    packs.count()  # how kept rows lie is known only then
+    return packs, grid
 
 
-def _epoch(state: DataFrame, packs: DataFrame, lists: DataFrame, parts: DataFrame, ranges: int, dims: int, a: float, b: float,
+def _epoch(state: DataFrame, packs: DataFrame, units: DataFrame, grid: Grid, dims: int, whole: type, a: float, b: float,
            seed: int, epoch: int, epochs: int, negatives: int) -> DataFrame:
-    """The state (range, y) after an epoch."""
-    drawn = F.udf(lambda own: negative_ranges(seed, epoch, own, ranges), "array<int>")
-    whole = parts.select(F.explode(drawn("range")).alias("src"), "range", "part", F.lit(1).alias("kind"), F.lit(None).cast("array<int>").alias("rows"))
-    own = parts.select(F.col("range").alias("src"), "range", "part", F.lit(2).alias("kind"), F.lit(None).cast("array<int>").alias("rows"))
-    asked = lists.select("src", "range", "part", F.lit(0).alias("kind"), "rows").unionByName(whole).unionByName(own)
-    rows_of = state.select(F.col("range").alias("src"), "y")
-
-    def send(pdfs):
-        for pdf in pdfs:
-            out = []
-            for m in pdf.itertuples():
-                y = np.frombuffer(m.y, np.float64).reshape(-1, dims)
-                at = np.arange(len(y)) if m.kind else np.asarray(m.rows, dtype=np.int64)
-                out.append((m.range, m.part, m.src, m.kind, (m.src * NODES + at).astype(np.int64).tobytes(), y[at].tobytes()))
-            yield pd.DataFrame(out, columns=["range", "part", "src", "kind", "ids", "y"])
-
-    sent = asked.join(rows_of, "src").mapInPandas(send, "range int, part int, src int, kind int, ids binary, y binary")
+    """The state (range, y) after an epoch; ``units``: (task, range) of the
+    parts."""
+    ranges, rows, columns = grid.ranges, grid.rows, grid.columns
+    in_column = lambda c: F.explode(F.transform(F.sequence(F.lit(0), F.lit(rows - 1)), lambda r: (r * columns + c).cast("int"))).alias("task")
+    if columns == 1:
+        sent = state.select(in_column(F.lit(0)), "range", "y")
+    else:
+        drawn = F.udf(lambda own: [own, *negative_ranges(seed, epoch, own, ranges)], "array<int>")
+        every = state.sparkSession.range(ranges).select(F.col("id").cast("int").alias("range"))
+        wanted = (every.select(in_column(grid.column(F.col("range"))), "range")
+                  .unionByName(units.select("task", F.explode(drawn("range")).alias("range"))).distinct())
+        sent = state.join(wanted, "range").select("task", "range", "y")
 
     def move(edge: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        if not len(edge):
-            return pd.DataFrame({"range": [], "part": [], "y": [], "total": [], "weight": []})
-        got = got.sort_values(["kind", "src"])
-        ids, ys = ({k: [c(r) for r in got[got["kind"] == k].itertuples()] for k in (0, 1, 2)} for c in (
-            lambda r: np.frombuffer(r.ids, np.int64), lambda r: np.frombuffer(r.y, np.float64).reshape(-1, dims)))
-        near_ids, near = np.concatenate(ids[0]), np.concatenate(ys[0])
-        u, v, w = (np.frombuffer(edge[c].iloc[0], t) for c, t in (("u", np.int64), ("v", np.int64), ("w", np.float64)))
-        total, weight = forces(ys[2][0], near[np.searchsorted(near_ids, v)], np.concatenate(ys[1]), np.concatenate(ids[1]), u % NODES,
-                               u, v, w, a, b, seed, epoch, negatives)
-        part = int(edge["part"].iloc[0])
-        return pd.DataFrame({"range": [int(edge["range"].iloc[0])], "part": [part], "y": [ys[2][0].tobytes()],
-                             "total": [total.tobytes()], "weight": [weight.tobytes()]})
+        sums = []
+        got = got.sort_values("range")
+        ys = {int(r.range): _unpacked(r.y, whole, dims) for r in got.itertuples()}
+        if len(edge):
+            near, start = np.concatenate(list(ys.values())), np.zeros(ranges, dtype=np.int64)
+            start[list(ys)] = np.cumsum([0, *map(len, ys.values())])[:-1]
+        for part in edge.itertuples():
+            u, v, w = (np.frombuffer(c, t) for c, t in ((part.u, np.int64), (part.v, np.int64), (part.w, np.float64)))
+            pools = negative_ranges(seed, epoch, int(part.range), ranges)
+            pool_ids = np.concatenate([r * NODES + np.arange(len(ys[r])) for r in pools])
+            own = ys[int(part.range)]
+            total, weight = forces(own, near[start[v // NODES] + v % NODES], np.concatenate([ys[r] for r in pools]), pool_ids, u % NODES,
+                                   u, v, w, a, b, seed, epoch, negatives)
+            sums.append((int(part.range), int(part.col), int(part.part), _packed(own, whole), total.tobytes(), weight.tobytes()))
+        return pd.DataFrame(sums, columns=["range", "col", "part", "y", "total", "weight"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("part")
-        y = np.frombuffer(pdf["y"].iloc[0], np.float64).reshape(-1, dims)
+        pdf = pdf.sort_values(["col", "part"])
+        y = _unpacked(pdf["y"].iloc[0], whole, dims)
         total = sum(np.frombuffer(t, np.float64).reshape(-1, dims) for t in pdf["total"])
         weight = sum(np.frombuffer(t, np.float64) for t in pdf["weight"])
         mean = total / np.where(weight > 0, weight, 1.0)[:, None]
-        y = np.round(y + (1.0 - epoch / float(epochs)) * mean, 6)
-        return pd.DataFrame({"range": [int(pdf["range"].iloc[0])], "y": [y.tobytes()]})
+        y = y + (1.0 - epoch / float(epochs)) * mean
+        return pd.DataFrame({"range": [int(pdf["range"].iloc[0])], "y": [_packed(y, whole)]})
 
-    moved = (packs.groupBy("range", "part").cogroup(sent.groupBy("range", "part"))
-             .applyInPandas(move, "range int, part int, y binary, total binary, weight binary"))
+    moved = (packs.groupBy("task").cogroup(sent.repartitionById(rows * columns, F.col("task")).groupBy("task"))
+             .applyInPandas(move, "range int, col int, part int, y binary, total binary, weight binary"))
     return moved.groupBy("range").applyInPandas(add, "range int, y binary")
 
 
@@ -196,29 +234,33 @@ def umap_reduce(df: DataFrame, id_col: str, vec_col: str, n_components: int = 20
     # dense index: node number = global rank of the id
     ids = _cut(global_rank(points.select("id"), ["id"], "ix").withColumn("ix", F.col("ix") - 1))
     n = ids.count()
-    ranges = -(-n // NODES)
+    whole = np.int32 if n_epochs <= 1000 else np.int64  # an epoch moves a node by its rate times 4 at most, from within 10
     init = _cut(pca_reduce(points, "_v", n_components, "y").select("id", "y"))
     ext = init.select(F.explode("y").alias("v")).agg(F.max(F.abs("v"))).first()[0] or 1.0
     start = init.join(ids, "id").select("ix", F.transform("y", lambda v: F.round(v * 10.0 / ext, 6)).alias("y"))
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ix")
-        return pd.DataFrame({"range": [int(pdf["range"].iloc[0])], "y": [np.array(pdf["y"].tolist(), dtype=np.float64).tobytes()]})
+        return pd.DataFrame({"range": [int(pdf["range"].iloc[0])], "y": [_packed(np.array(pdf["y"].tolist(), dtype=np.float64), whole)]})
 
     state = _cut(start.withColumn("range", F.floor(F.col("ix") / NODES).cast("int")).groupBy("range").applyInPandas(gather, "range int, y binary"))
-    packs, lists = _layout_tables(graph, ids, n)
-    parts = packs.select("range", "part")
-    still = _cut(state.join(parts.select("range").distinct(), "range", "left_anti"))  # ranges without an edge stay
-    state = state.join(parts.select("range").distinct(), "range", "left_semi")
-    for epoch in range(n_epochs):
-        state = _epoch(state.unionByName(still), packs, lists, parts, ranges, dims, a, b, seed, epoch, n_epochs, negative_rate)
-        if (epoch + 1) % KEEP_EVERY == 0 or epoch + 1 == n_epochs:
-            state = _cut(state)
+    packs, grid = _edge_packs(graph, ids, n, dims, np.dtype(whole).itemsize)
+    try:
+        units = _cut(packs.select("task", "range"))
+        linked = units.select("range").distinct()
+        still = _cut(state.join(linked, "range", "left_anti"))  # ranges without an edge stay
+        state = state.join(linked, "range", "left_semi")
+        for epoch in range(n_epochs):
+            state = _epoch(state.unionByName(still), packs, units, grid, dims, whole, a, b, seed, epoch, n_epochs, negative_rate)
+            if (epoch + 1) % KEEP_EVERY == 0 or epoch + 1 == n_epochs:
+                state = _cut(state)
+    finally:
+        packs.unpersist()
 
     def spread(pdfs):
         for pdf in pdfs:
             for r in pdf.itertuples():
-                y = np.frombuffer(r.y, np.float64).reshape(-1, dims)
+                y = _unpacked(r.y, whole, dims)
                 yield pd.DataFrame({"ix": r.range * NODES + np.arange(len(y)), "embedding": list(y)})
 
     out = state.unionByName(still).mapInPandas(spread, "ix long, embedding array<double>")

@@ -100,3 +100,43 @@ def test_layout_of_nothing_and_of_one_point(spark):
     df = spark.createDataFrame([(4, [1.0, 2.0])], "id long, v array<double>")
     from marisnow.operators.umap import umap_reduce
     assert umap_reduce(df.limit(0), "id", "v").count() == 0
+
+
+def test_an_epoch_sends_a_range_once_to_a_task(spark, monkeypatch):
+    """A grid of tasks gives what one column gives, kept edges are not sent
+    again, and no range goes twice to a task."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from marisnow.operators import umap
+    for name, value in (("NODES", 8), ("EDGES", 60), ("TASKS", 3)):
+        monkeypatch.setattr(umap, name, value)
+    x = np.random.default_rng(6).standard_normal((70, 5))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, v array<double>")
+    sent, real = [], DataFrame.repartitionById
+
+    def layout():
+        out = umap.umap_reduce(df, "id", "v", 3, 6, 0.1, "euclidean", 7, 3, 2)
+        return np.array([r.embedding for r in out.orderBy("id").collect()])
+
+    def deal(self, n, by):
+        sent.append((n, real(self, n, by)))
+        return sent[-1][1]
+
+    monkeypatch.setattr(DataFrame, "repartitionById", deal)
+    whole = layout()
+    tasks, last = sent[-1]
+    assert tasks == 3 and len(sent) == 4 and sorted(last.columns) == ["range", "task", "y"]  # the edges, then three epochs
+    assert last.count() == last.select("task", "range").distinct().count() == 3 * 9
+    sent.clear()
+    monkeypatch.setattr(umap, "STATE_BYTES", 300)
+    grid = layout()
+    tasks, last = sent[-1]
+    assert tasks == 3 * 3 and last.count() == last.select("task", "range").distinct().count() < 9 * 9
+    assert np.abs(grid - whole).max() < 1e-3
+
+
+def test_coordinates_as_whole_numbers():
+    from marisnow.operators.umap import _packed, _unpacked
+    y = np.array([[0.1, -9.999999], [np.nan, 123.456789], [-0.0000004, 1e-6]])
+    for whole in (np.int32, np.int64):
+        assert np.array_equal(_unpacked(_packed(y, whole), whole, 2), np.round(y, 6), equal_nan=True)
