@@ -4,7 +4,9 @@
 part starts before row i when running + size(i) > max and running > 0.  The
 running sums are a distributed prefix sum (per-partition totals + offsets);
 every row's next cut is a merge on it, and the cuts that count are reached by
-pointer doubling.  Nothing passes through the driver.
+pointer doubling.  Nothing passes through the driver.  Ranges have about
+``graph.RANGE_ROWS`` rows and a task has one, so a task's memory does not grow
+with the table or with a group.
 
 ``bundle_export`` writes one ZIP per part from a grouped pandas function:
 rows of a part (bounded by the part's byte budget) arrive in one task, which
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from marisnow.operators.graph import _cut
+from marisnow.operators.graph import _cut, ranges_for
 from marisnow.operators.hdbscan import _running
 
 log = logging.getLogger(__name__)
@@ -70,20 +72,21 @@ def prefix_sum(df: DataFrame, size_col: str, order: list[str], out: str = "cum")
     without funnelling rows through one task: range-partition by the order,
     total each partition, offset by the (few) partition totals, then run a
     window inside each partition."""
-    sorted_df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = ranges_for(df.count())
+    sorted_df = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     tagged = _cut(sorted_df.withColumn("_pid", F.spark_partition_id()))
     tot = tagged.groupBy("_pid").agg(F.sum(size_col).alias("_t"), F.count(F.lit(1)).alias("_n"))
     prev = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("_pid", F.coalesce(F.sum("_t").over(prev), F.lit(0)).alias("_to"),
                       F.coalesce(F.sum("_n").over(prev), F.lit(0)).alias("_no"))
     w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (tagged.join(F.broadcast(offs), "_pid")
+    return (tagged.repartitionById(ranges, F.col("_pid")).join(F.broadcast(offs), "_pid")
             .withColumn(out, F.sum(size_col).over(w) + F.col("_to"))
             .withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) + F.col("_no"))
             .drop("_pid", "_to", "_no"))
 
 
-def _first_above(points: DataFrame, queries: DataFrame) -> DataFrame:
+def _first_above(points: DataFrame, queries: DataFrame, ranges: int) -> DataFrame:
     """(rn, to): for each query (value, rn) the least row number among the
     points (value, rn) of a greater value; queries without one are left out.
     Row numbers rise with the points' values.
@@ -93,24 +96,25 @@ def _first_above(points: DataFrame, queries: DataFrame) -> DataFrame:
     both = (points.select("value", F.lit(0).alias("kind"), "rn")
             .unionByName(queries.select("value", F.lit(1).alias("kind"), "rn")))
     order = ["value", "kind", "rn"]  # at equal values points come first, so those that follow are greater
-    tagged = _cut(both.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()))
+    tagged = _cut(both.repartitionByRange(ranges, *order).withColumn("_pid", F.spark_partition_id()))
     point = F.when(F.col("kind") == 0, F.col("rn"))
     heads = tagged.groupBy("_pid").agg(F.min(point).alias("_first"))
     after = heads.select("_pid", F.min("_first").over(
         Window.orderBy(F.desc("_pid")).rowsBetween(Window.unboundedPreceding, -1)).alias("_later"))
     w = Window.partitionBy("_pid").orderBy(*(F.desc(c) for c in order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    here = tagged.withColumn("_here", F.min(point).over(w)).filter("kind = 1")
+    here = tagged.repartitionById(ranges, F.col("_pid")).withColumn("_here", F.min(point).over(w)).filter("kind = 1")
     return here.join(F.broadcast(after), "_pid").select("rn", F.coalesce("_here", "_later").alias("to")).filter("to is not null")
 
 
-def _reached(first: DataFrame, step: DataFrame) -> DataFrame:
+def _reached(first: DataFrame, step: DataFrame, ranges: int) -> DataFrame:
     """(rn): the rows ``first`` and all that follow them by the pointers
     (rn, to), which lead to greater rows.  Pointers double from round to
     round, so rounds are the logarithm of the longest way."""
     seen, jump = _cut(first.select("rn")), _cut(step)
     while not jump.isEmpty():
-        seen = _cut(seen.unionByName(seen.join(jump, "rn").select(F.col("to").alias("rn"))).distinct())
-        jump = _cut(jump.join(jump.select(F.col("rn").alias("to"), F.col("to").alias("far")), "to").select("rn", F.col("far").alias("to")))
+        seen = _cut(seen.unionByName(seen.join(jump.repartition(ranges, "rn"), "rn").select(F.col("to").alias("rn"))).distinct())
+        far = jump.select(F.col("rn").alias("to"), F.col("to").alias("far"))
+        jump = _cut(jump.repartition(ranges, "to").join(far.repartition(ranges, "to"), "to").select("rn", F.col("far").alias("to")))
     return seen
 
 
@@ -131,18 +135,21 @@ def bundle_plan(df: DataFrame, size_col: str, order: list[str], max_bytes: float
     src = df if group_col else df.withColumn("_g", F.lit("all"))
     src = src.withColumn("_sz", F.greatest(F.coalesce(F.col(size_col).cast("double"), F.lit(0.0)), F.lit(0.0)))
     cum = _cut(prefix_sum(src, "_sz", [g, *order], "_cum").withColumn("_prev", F.col("_cum") - F.col("_sz")))
+    n = cum.count()
+    deal = lambda df: df.repartition(ranges_for(n), "rn")
     ends = _cut(cum.groupBy(F.col(g).alias("_of")).agg(F.min("_rn").alias("_from"), F.max("_rn").alias("_to")))
     at = lambda value: cum.select(value.alias("value"), F.col("_rn").alias("rn"))
-    over = _first_above(at(F.col("_cum")), at(F.col("_prev") + F.lit(float(max_bytes))))
-    filled = _first_above(at(F.col("_prev")), at(F.col("_prev"))).withColumnRenamed("to", "filled")
+    over = _first_above(at(F.col("_cum")), at(F.col("_prev") + F.lit(float(max_bytes))), ranges_for(2 * n))
+    filled = _first_above(at(F.col("_prev")), at(F.col("_prev")), ranges_for(2 * n)).withColumnRenamed("to", "filled")
     last = cum.join(ends, F.col(g).eqNullSafe(F.col("_of"))).select(F.col("_rn").alias("rn"), "_to")
-    step = (over.join(filled, "rn").join(last, "rn").select("rn", F.greatest("to", "filled").alias("to"), "_to")
+    step = (deal(over).join(deal(filled), "rn").join(deal(last), "rn").select("rn", F.greatest("to", "filled").alias("to"), "_to")
             .filter(F.col("to") <= F.col("_to")).select("rn", "to"))
-    starts = _reached(ends.select(F.col("_from").alias("rn")), step)
+    starts = _reached(ends.select(F.col("_from").alias("rn")), step, ranges_for(n))
     flagged = cum.join(starts.select(F.col("rn").alias("_rn"), F.lit(1).alias("_cut")), "_rn", "left").withColumn(
         "_cut", F.coalesce("_cut", F.lit(0)))
-    run = _cut(_running(flagged, ["_rn"], "_cut").withColumnRenamed("cum", "_parts").drop("pos"))
-    base = run.join(ends.select(F.col("_from").alias("_rn")), "_rn", "left_semi").select(F.col(g).alias("_of"), (F.col("_parts") - 1).alias("_base"))
+    run = _cut(_running(flagged, ["_rn"], "_cut", ranges_for(n)).withColumnRenamed("cum", "_parts").drop("pos"))
+    # written like ``ends``, so that its size is known: one row a group, else a group's rows would meet in one task
+    base = _cut(run.join(ends.select(F.col("_from").alias("_rn")), "_rn", "left_semi").select(F.col(g).alias("_of"), (F.col("_parts") - 1).alias("_base")))
     res = (run.join(base, F.col(g).eqNullSafe(F.col("_of")))
            .withColumn(part_col, (F.col("_parts") - F.col("_base")).cast("int"))
            .drop("_of", "_base", "_parts", "_cut", "_cum", "_sz", "_prev").withColumnRenamed("_rn", "_row"))

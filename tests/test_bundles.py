@@ -61,3 +61,21 @@ def test_nothing_passes_through_the_driver(spark, monkeypatch):
         plan = bundle_plan(df, "size", ["k"], 9.0)
         assert not calls
     assert plan.agg(F.max("part")).first()[0] == 15
+
+
+def test_rows_of_a_group_are_many_tasks(spark, monkeypatch):
+    """Ranges of few rows: the same parts, and the group's rows do not meet in
+    one task, where a join's kind depends on what Spark knows beforehand."""
+    from marisnow.operators import graph
+    monkeypatch.setattr(graph, "RANGE_ROWS", 40)
+    rows = [("x", i, (i * 7) % 13) for i in range(1000)]
+    df = spark.createDataFrame(rows, "g string, k long, size long").repartition(5)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = bundle_plan(df, "size", ["k"], 25.0, group_col="g").withColumn("task", F.spark_partition_id())
+        got = plan.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert {(r.g, r.k): r.part for r in got} == greedy(rows, 25.0) and len(got) == 1000
+    tasks = [r.task for r in got]
+    assert max(map(tasks.count, set(tasks))) < 500
