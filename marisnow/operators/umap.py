@@ -155,7 +155,8 @@ def _edge_packs(graph: DataFrame, ids: DataFrame, n: int, dims: int, width: int)
     edges = _cut(ends.select("e.u", "e.v", "w", F.floor(F.col("e.u") / NODES).cast("int").alias("range")))
     size = _cut(edges.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / EDGES).alias("parts")))
     most = size.agg(F.sum("n")).first()[0] or 0
-    grid.rows = min(max(ranges, 1), max(TASKS, -(-most // (TASK_EDGES * grid.columns))))
+    # a row of tasks has no more nodes than some share of a column, whose negatives are sent too
+    grid.rows = min(max(ranges, 1), max(TASKS * -(-grid.columns // 5), -(-most // (TASK_EDGES * grid.columns))))
     col = grid.column(F.floor(F.col("v") / NODES))
     dealt = (edges.join(size.drop("n"), "range").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")).withColumn("col", col)
              .withColumn("task", F.pmod(F.col("range") + F.col("part"), F.lit(grid.rows)) * grid.columns + F.col("col")).drop("parts"))
