@@ -79,3 +79,33 @@ def test_rows_of_a_group_are_many_tasks(spark, monkeypatch):
     assert {(r.g, r.k): r.part for r in got} == greedy(rows, 25.0) and len(got) == 1000
     tasks = [r.task for r in got]
     assert max(map(tasks.count, set(tasks))) < 500
+
+
+@pytest.mark.parametrize("local", [True, False])
+@pytest.mark.parametrize("name,rows", [c for c in cases() if c[0] in ("zeros", "oversized", "skewed")])
+def test_parts_that_go_on_over_many_ranges(spark, monkeypatch, name, rows, local):
+    from marisnow.operators import bundles, graph
+    monkeypatch.setattr(graph, "RANGE_ROWS", 7)
+    if not local:
+        monkeypatch.setattr(graph, "LOCAL_POINTS", 0)
+        monkeypatch.setattr(bundles, "BROADCAST_MARKS", 0)
+    df = spark.createDataFrame(rows, "g string, k long, size long").repartition(6)
+    got = bundle_plan(df, "size", ["k"], 25.0, group_col="g").collect()
+    assert {(r.g, r.k): r.part for r in got} == greedy(rows, 25.0)
+    assert sorted(r["_row"] for r in got) == list(range(1, len(rows) + 1))
+
+
+def test_rows_are_written_once_and_only_what_is_kept(spark, monkeypatch):
+    from marisnow.operators import graph
+    written, write = [], graph.materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, **k: written.append((df.columns, write(df, **k))) or written[-1][1])
+    rows = [("x", i, 3 + i % 4, "pad" * 9) for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, k long, size long, pad string")
+    plan = bundle_plan(df, "size", ["k"], 11.0)
+    assert {r.k: r.part for r in plan.collect()} == {k: p for (_, k), p in greedy([r[:3] for r in rows], 11.0).items()}
+    assert sum("pad" in c for c, _ in written) == 1
+    assert sum(f.count() == 600 for _, f in written) == 1 and len(written) < 12
+    written.clear()
+    small = bundle_plan(df, F.col("size") * 2, ["k", "pad"], 22.0, keep=["size"])
+    assert small.columns == ["size", "_row", "part"] and not any("pad" in c for c, _ in written)
+    assert sorted((r["_row"], r.part) for r in small.collect()) == sorted((r["_row"], r.part) for r in plan.collect())
