@@ -143,3 +143,32 @@ def test_closest_pair_and_medoids_by_brute_force(spark):
         s = np.linalg.norm(y[m][:, None] - y[m][None], axis=-1).sum(1)
         assert got[c] == m[int(s.argmin())]
     assert set(got) == set(range(4))
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e4])
+def test_pairs_within_reach_are_never_missed(shift):
+    """Single precision loosens the caps by its error: also far from the
+    origin, at distance zero, and with the cap at the very distance."""
+    rng = np.random.default_rng(6)
+    q, c = rng.standard_normal((60, 20)) + shift, rng.standard_normal((80, 20)) + shift
+    q[:10] = c[:10]
+    d = np.sqrt(((q[:, None] - c[None]) ** 2).sum(-1))
+    cap = np.sort(d, axis=1)[:, 3]
+    r, col = metric.within(q, c, cap)
+    got = np.zeros(d.shape, bool)
+    got[r, col] = True
+    assert got[d <= cap[:, None]].all() and len(r) < 2 * (d <= cap[:, None]).sum()
+    assert metric.within(q, np.repeat(c[:1], 90, axis=0), np.full(60, 1e6)) is None  # too many to look at
+    c[0, 0] = np.nan
+    assert metric.within(q, c, cap) is None
+
+
+@pytest.mark.parametrize("kind", ["euclidean", "cosine"])
+def test_neighbours_with_and_without_the_single_product(spark, kind, monkeypatch):
+    x = np.concatenate([np.random.default_rng(7).standard_normal((240, 3)), blobs(60, 3, 2)])
+    x = np.concatenate([x, x[:15]])
+    monkeypatch.setattr(metric, "BUDGET", 30)
+    for close in (64, 0):
+        monkeypatch.setattr(metric, "CLOSE", close)
+        got = MetricIndex(frame(spark, x), "id", "v", kind, cell_rows=20).knn(5).toPandas().sort_values(["id", "rank"])
+        assert (got["nbr"].to_numpy().reshape(-1, 5) == brute(x, x, 5, kind, True)).all()
