@@ -121,7 +121,9 @@ def kmeans_fallback(df: DataFrame, vec: str, k: int, seed: int = 42, n_init: int
                 running[s] = centres
     if running:  # those that still move at the limit
         done |= {s: (cost, running[s]) for s, (_, cost) in _step(packs, running, x.shape[1]).items()}
-    cost, centres = min(((c, s, m) for s, (c, m) in done.items()), key=lambda t: t[:2])[::2]
+    least = min(c for c, _ in done.values())
+    # equal costs differ by the order in which tasks are summed: the first start of those counts
+    cost, centres = done[min(s for s, (c, _) in done.items() if c <= least * (1 + 1e-9))]
     log.info("kmeans: least cost %s of %d starts", cost, len(done))
 
     @F.pandas_udf("int")
